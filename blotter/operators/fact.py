@@ -149,7 +149,7 @@ def star_view(fact: DataFrame, dims: Mapping[str, DataFrame], roles: Sequence[st
     dimension are read.
     """
     out = fact
-    for role in (roles or list(STAR_ROLES)):
+    for role in (list(STAR_ROLES) if roles is None else roles):
         dim_name, fk, dk, cols = STAR_ROLES[role]
         dim = dims[dim_name]
         keep = {s: d for s, d in cols.items() if s in dim.columns}
