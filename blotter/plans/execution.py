@@ -79,6 +79,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an input that arrives in fewer partitions than the cluster has
+    cores (e.g. one small file) over ``min_partitions`` (default: the
+    session's default parallelism) so later stages use every core.
+
+    Large inputs are split by the file scan already and are left untouched,
+    so at scale this adds no shuffle.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int, label: str = "") -> DataFrame:
     """Broadcast ``df`` only if a count proves it has at most ``max_rows`` rows.
 

@@ -21,7 +21,7 @@ from ..operators.silver import silver as silver_op
 from ..sources.csv import with_ingest_audit
 from ..sources.fixture import incidents
 from ..sources.tables import Layout, materialize, read_table
-from .execution import cut_lineage
+from .execution import cut_lineage, spread
 
 
 @dataclass
@@ -64,7 +64,7 @@ def run_batch(spark: SparkSession, layout: Layout, bronze: DataFrame, cfg: C.Con
         if timings is not None:
             timings[name] = round(time.perf_counter() - t0, 3)
 
-    step("bronze", lambda: materialize(bronze, layout.path("lacrime_incidents_bronze")))
+    step("bronze", lambda: materialize(spread(bronze), layout.path("lacrime_incidents_bronze")))
     b = read_table(spark, layout.path("lacrime_incidents_bronze"))
     step("silver", lambda: materialize(silver_op(b, cfg, ts), layout.path("lacrime_incidents_silver")))
     s = read_table(spark, layout.path("lacrime_incidents_silver"))
