@@ -353,7 +353,6 @@ WHERE vict_descent IS NOT NULL AND vict_descent NOT IN ({_in(C.PROFILE_DESCENT_C
   count(DISTINCT f.{fk}) FILTER (WHERE f.{fk} IS NOT NULL AND d.k IS NULL) AS orphan_keys
 FROM fact f LEFT JOIN (SELECT DISTINCT {dk} AS k FROM {dim}) d ON f.{fk} = d.k""" for fk, dim, dk in FK_ROLES))
     q["duplicate_keys"] = W('SELECT dr_no, count(*) AS "rows" FROM incidents WHERE dr_no IS NOT NULL '
-                            
                             "GROUP BY dr_no HAVING count(*) > 1")
     q["key_collisions"] = W(" UNION ALL ".join(f"""SELECT {_q(name)} AS dimension, CAST(coalesce(sum(m), 0) AS BIGINT) AS members,
   count(*) AS distinct_keys, count(*) FILTER (WHERE m > 1) AS colliding_keys
