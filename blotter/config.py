@@ -221,6 +221,8 @@ class Config:
     grid_step: float = 0.05
     # Exact (count_distinct) or approximate (HLL++) cardinality profile.
     approx_distinct: bool = False
+    # Exact (percentile) or approximate (percentile_approx) quantiles.
+    approx_percentile: bool = False
     # Extra opt-in columns.
     weapon_category: bool = False
     crime_category: bool = False

@@ -40,6 +40,22 @@ def numeric_stats(df: DataFrame, cols: Sequence[str], median: bool = False) -> D
     return df.agg(*aggs)
 
 
+def percentile_expr(col: Column | str, p: float, approx: bool = False, accuracy: int = 10_000) -> Column:
+    """A5: exact interpolated percentile (as DOUBLE), or opt-in approximate.
+
+    The exact aggregate keeps a value -> count map per task and merges maps,
+    so its memory grows with the distinct values, not the rows."""
+    c = F.col(col) if isinstance(col, str) else col
+    if approx:
+        return F.percentile_approx(c, p, accuracy).cast("double")
+    return F.percentile(c, p)
+
+
+def date_span(col: Column | str) -> Column:
+    """Days between the earliest and the latest value (aggregate)."""
+    return F.datediff(F.max(col), F.min(col))
+
+
 def value_counts(df: DataFrame, keys: Sequence[str | Column], name: str = "count") -> DataFrame:
     """Row count per key combination (NULL is a group)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import expressions as X
+from ..functions.audit import load_audit
 from ..functions.keys import surrogate_key
 from ..sources.spines import date_spine, minute_spine
 
@@ -35,7 +36,7 @@ def dedup(df: DataFrame, keys: Sequence[str], payload: Sequence[str] = ()) -> Da
 
 
 def _audit(flow: str, ts: Column | None) -> dict[str, Column]:
-    return {"created_by": F.lit(flow), "created_date": ts if ts is not None else F.current_timestamp()}
+    return load_audit(flow, ts, "created_date")
 
 
 # ---------------------------------------------------------------- D1 date

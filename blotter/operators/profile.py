@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import expressions as X
-from .aggregates import distinct_with_null, first_k, sample_violations, top_k, value_counts
+from .aggregates import (date_span, distinct_with_null, first_k, percentile_expr, sample_violations, top_k,
+                         value_counts)
 
 CNT = "count"
 
@@ -186,7 +187,8 @@ def _spec_lag(df: DataFrame, cfg: C.Config) -> Spec:
     lag = _lag()
     aggs = [F.min(lag).alias("min_days"), F.max(lag).alias("max_days"),
             F.round(F.avg(lag), 4).alias("avg_days"),
-            F.percentile(lag, 0.5).alias("median_days"), F.percentile(lag, 0.9).alias("p90_days")]
+            percentile_expr(lag, 0.5, cfg.approx_percentile).alias("median_days"),
+            percentile_expr(lag, 0.9, cfg.approx_percentile).alias("p90_days")]
     return aggs, {}, lambda one: one.select("min_days", "max_days", "avg_days", "median_days", "p90_days")
 
 
@@ -252,7 +254,7 @@ def _spec_location(df: DataFrame, cfg: C.Config) -> Spec:
 def _spec_age_stats(df: DataFrame, cfg: C.Config) -> Spec:
     a = F.col("vict_age")
     aggs = [F.min(a).alias("min_age"), F.max(a).alias("max_age"), F.round(F.avg(a), 4).alias("avg_age"),
-            F.percentile(a, 0.5).alias("median_age"), F.count(a).alias("age_non_null")]
+            percentile_expr(a, 0.5, cfg.approx_percentile).alias("median_age"), F.count(a).alias("age_non_null")]
     return aggs, {}, lambda one: one.select("min_age", "max_age", "avg_age", "median_age",
                                         F.col("age_non_null").alias("non_null_count"))
 
@@ -307,7 +309,7 @@ def _spec_key_stats(df: DataFrame, cfg: C.Config) -> Spec:
     a = F.col("vict_age")
     distinct_cols = ["crm_cd", "area", "rpt_dist_no", "location"]
     exprs = [
-        F.datediff(F.max("date_occ"), F.min("date_occ")),
+        date_span("date_occ"),
         F.round(F.avg(_lag()), 2),
         F.count("weapon_used_cd"),
         F.count_if(F.col("weapon_used_cd").isNull()),
@@ -386,9 +388,10 @@ def illogical_dates(df: DataFrame) -> DataFrame:
     return _run(df, _spec_illogical(df, C.DEFAULT))
 
 
-def lag_stats(df: DataFrame) -> DataFrame:
-    """Reporting lag in days: min, max, avg, exact median and p90."""
-    return _run(df, _spec_lag(df, C.DEFAULT))
+def lag_stats(df: DataFrame, cfg: C.Config = C.DEFAULT) -> DataFrame:
+    """Reporting lag in days: min, max, avg, median and p90 (exact unless
+    ``cfg.approx_percentile``)."""
+    return _run(df, _spec_lag(df, cfg))
 
 
 def time_validity(df: DataFrame) -> DataFrame:
@@ -421,9 +424,10 @@ def location_stats(df: DataFrame) -> DataFrame:
     return _run(df, _spec_location(df, C.DEFAULT))
 
 
-def age_stats(df: DataFrame) -> DataFrame:
-    """Raw victim age: min, max, avg, exact median, non-null."""
-    return _run(df, _spec_age_stats(df, C.DEFAULT))
+def age_stats(df: DataFrame, cfg: C.Config = C.DEFAULT) -> DataFrame:
+    """Raw victim age: min, max, avg, median (exact unless
+    ``cfg.approx_percentile``), non-null."""
+    return _run(df, _spec_age_stats(df, cfg))
 
 
 def age_validity(df: DataFrame, cfg: C.Config = C.DEFAULT) -> DataFrame:

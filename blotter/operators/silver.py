@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import expressions as X
+from ..functions.audit import load_audit
 from .quality import expect_all_or_drop
 
 
@@ -104,8 +105,7 @@ def enrich(df: DataFrame, cfg: C.Config = C.DEFAULT, ts: Column | None = None) -
         "age_group": age_group_expr(),
         "time_period": X.time_period("hour"),
         **flag_exprs(),
-        "silver_processed_datetime": ts if ts is not None else F.current_timestamp(),
-        "created_by": F.lit(C.FLOW_SILVER),
+        **load_audit(C.FLOW_SILVER, ts, "silver_processed_datetime"),
     })
 
 

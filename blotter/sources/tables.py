@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -58,20 +59,30 @@ class Layout:
 
     def tables(self, spark: SparkSession) -> list[str]:
         """Tables of the layout that exist."""
-        jvm = spark.sparkContext._jvm
-        hconf = spark.sparkContext._jsc.hadoopConfiguration()
-        out = []
-        for t in TABLES:
-            p = jvm.org.apache.hadoop.fs.Path(self.path(t))
-            if p.getFileSystem(hconf).exists(p):
-                out.append(t)
-        return out
+        return [t for t in TABLES if table_exists(spark, self.path(t))]
+
+    def use(self, spark: SparkSession) -> None:
+        """Make the layout's catalog/schema current when the session has them."""
+        if self.catalog:
+            spark.catalog.setCurrentCatalog(self.catalog)
+        if self.schema and spark.catalog.databaseExists(self.schema):
+            spark.catalog.setCurrentDatabase(self.schema)
 
     def comment(self, table: str, text: str) -> None:
         """Record a table comment (K3); documentation only."""
         self.comments[table] = text
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a readable Parquet table exists at ``path`` (only the file
+    listing and footers are touched; no job runs)."""
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Batch snapshot of a table."""
     return spark.read.parquet(path)

@@ -5,9 +5,10 @@ processes whatever is new since its checkpoint and stops:
 
 1. bronze  - CSV directory -> Parquet (file source remembers seen files)
 2. silver  - bronze stream -> quality gate (+ observed metrics) -> enrich
-3. dims    - date/time are batch tables; the six data dimensions are
-             streaming ``dropDuplicates`` on the natural key (first row seen
-             wins; state holds one entry per dimension member)
+3. dims    - date/time are batch tables; each data dimension inserts the
+             members it has not seen yet (micro-batch pre-aggregated, then
+             anti-joined with the table; or, opt-in, streaming
+             ``dropDuplicates`` on the natural key)
 4. fact    - silver stream joined to static snapshots of the dimensions
              (stream-static left joins, broadcast after a size check)
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
@@ -30,7 +32,8 @@ from ..operators.fact import fact_incidents
 from ..operators.silver import silver as silver_op
 from ..sources.csv import stream_incidents_csv, with_ingest_audit
 from ..sources.schema import INCIDENT_SCHEMA
-from ..sources.tables import Layout, append_flow, materialize, read_table, stream_table
+from ..plans.execution import broadcast_if_small
+from ..sources.tables import Layout, append_flow, materialize, read_table, stream_table, table_exists
 
 BRONZE = "lacrime_incidents_bronze"
 SILVER = "lacrime_incidents_silver"
@@ -74,10 +77,6 @@ def _await(q, report: RunReport, name: str) -> None:
     report.rows[name] = report.rows.get(name, 0) + rows
 
 
-def _progress_dicts(q) -> list[dict]:
-    return [p if isinstance(p, dict) else dict(p) for p in q.recentProgress]
-
-
 def bronze_flow(spark: SparkSession, layout: Layout, source_dir: str,
                 schema: T.StructType = INCIDENT_SCHEMA, max_files_per_trigger: int | None = None):
     """X1 + S4 + K1: ingest new CSV files into the bronze table."""
@@ -94,17 +93,57 @@ def silver_flow(spark: SparkSession, layout: Layout, cfg: C.Config = C.DEFAULT,
     return append_flow(out, layout.path(SILVER), layout.checkpoint("silver"), name="silver_transform")
 
 
+def _merge_new_members(name: str, fn, path: str, cfg: C.Config):
+    """foreachBatch body: insert the micro-batch's dimension members that the
+    table does not hold yet.
+
+    The micro-batch is deduplicated as a batch aggregate (partial aggregation
+    per task, so a key holding most rows is collapsed before any shuffle),
+    then anti-joined (NULL-safe) with the existing members, which are few
+    and broadcast after a size check. Re-running a batch after a failure
+    finds its members already present, so the insert is idempotent.
+    """
+    key, natural = D.NATURAL_KEYS[name]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        members = fn(batch, cfg)
+        if table_exists(spark, path):
+            existing = broadcast_if_small(read_table(spark, path).select(*natural), cfg.broadcast_max_rows, name)
+            cond = None
+            for c in natural:
+                e = F.col(f"m.{c}").eqNullSafe(F.col(f"e.{c}"))
+                cond = e if cond is None else cond & e
+            members = members.alias("m").join(existing.alias("e"), cond, "left_anti")
+        members.write.mode("append").parquet(path)
+    return run
+
+
 def dimension_flows(spark: SparkSession, layout: Layout, cfg: C.Config = C.DEFAULT,
-                    schema: T.StructType = INCIDENT_SCHEMA) -> list:
-    """One insert-only dedup stream per data dimension; D1/D2 are batch."""
+                    schema: T.StructType = INCIDENT_SCHEMA, stateful: bool = False) -> list:
+    """One insert-only flow per data dimension; D1/D2 are batch tables.
+
+    Default: ``foreachBatch`` merge of new members (skew-proof, see
+    ``_merge_new_members``). ``stateful=True``: streaming ``dropDuplicates``
+    on the natural key with a Parquet file sink (first row seen wins; state
+    holds one entry per member, but every row of a micro-batch is shuffled
+    by key first).
+    """
     for name, build in (("dim_date", lambda: D.dim_date(spark, cfg)), ("dim_time", lambda: D.dim_time(spark, cfg))):
-        if name not in layout.tables(spark):
+        if not table_exists(spark, layout.path(name)):
             materialize(build(), layout.path(name))
     queries = []
     sschema = silver_schema(spark, cfg, schema)
     for name, fn in D.DATA_DIMS.items():
         s = stream_table(spark, layout.path(SILVER), sschema)
-        queries.append((name, append_flow(fn(s, cfg), layout.path(name), layout.checkpoint(name), name=name)))
+        if stateful:
+            q = append_flow(fn(s, cfg), layout.path(name), layout.checkpoint(name), name=name)
+        else:
+            q = (s.writeStream.queryName(name)
+                 .option("checkpointLocation", layout.checkpoint(f"{name}_merge"))
+                 .foreachBatch(_merge_new_members(name, fn, layout.path(name), cfg))
+                 .trigger(availableNow=True).start())
+        queries.append((name, q))
     return queries
 
 
@@ -118,12 +157,12 @@ def fact_flow(spark: SparkSession, layout: Layout, cfg: C.Config = C.DEFAULT,
 
 
 def run_flows(spark: SparkSession, layout: Layout, source_dir: str, cfg: C.Config = C.DEFAULT,
-              schema: T.StructType = INCIDENT_SCHEMA) -> RunReport:
+              schema: T.StructType = INCIDENT_SCHEMA, stateful_dims: bool = False) -> RunReport:
     """Run all flows once, in dependency order, on what is new."""
     report = RunReport()
     _await(bronze_flow(spark, layout, source_dir, schema), report, BRONZE)
     _await(silver_flow(spark, layout, cfg, schema), report, SILVER)
-    for name, q in dimension_flows(spark, layout, cfg, schema):
+    for name, q in dimension_flows(spark, layout, cfg, schema, stateful=stateful_dims):
         _await(q, report, name)
     _await(fact_flow(spark, layout, cfg, schema), report, FACT)
     return report

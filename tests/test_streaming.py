@@ -3,6 +3,8 @@ every layer with the batch pipeline over the same files."""
 
 from collections import Counter
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from blotter.operators.fact import AUDIT_COLUMNS
@@ -20,7 +22,8 @@ def _multiset(df, drop=()):
     return Counter(tuple(r) for r in df.select(*cols).collect())
 
 
-def test_stream_matches_batch(spark, scratch):
+@pytest.mark.parametrize("stateful", [False, True])
+def test_stream_matches_batch(spark, scratch, stateful):
     src = f"{scratch}/input"
     parts = incidents(spark, SF001).withColumn("__part", F.pmod(F.coalesce("dr_no", F.lit(0)), F.lit(3)))
     for i in range(3):
@@ -35,12 +38,12 @@ def test_stream_matches_batch(spark, scratch):
         shutil.copy(f, f"{src}/part{i}.csv")
 
     layout = Layout(f"{scratch}/tables", checkpoints=f"{scratch}/checkpoints")
-    r1 = flows.run_flows(spark, layout, src)
+    r1 = flows.run_flows(spark, layout, src, stateful_dims=stateful)
     assert r1.rows[flows.BRONZE] > 0
     assert r1.quality["rows_in"] == r1.rows[flows.BRONZE]
     f = glob.glob(f"{src}_2/part-*.csv")[0]
     shutil.copy(f, f"{src}/part2.csv")
-    r2 = flows.run_flows(spark, layout, src)
+    r2 = flows.run_flows(spark, layout, src, stateful_dims=stateful)
     assert r2.rows[flows.BRONZE] > 0          # only the new file is read
     assert r1.rows[flows.BRONZE] + r2.rows[flows.BRONZE] == 1500
 
