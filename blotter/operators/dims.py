@@ -225,12 +225,58 @@ NATURAL_KEYS = {
 }
 
 
+# (natural key columns, payload columns) read from silver by each dimension.
+DIM_COLUMNS = {
+    "dim_status": (["status"], ["status_desc"]),
+    "dim_location": (["area", "rpt_dist_no"], ["area_name"]),
+    "dim_premise": (["premis_cd"], ["premis_desc"]),
+    "dim_weapon": (["weapon_used_cd"], ["weapon_desc"]),
+    "dim_crime_type": (["crm_cd"], ["crm_cd_desc", "part_1_2"]),
+    "dim_victim_demographics": (["vict_age_clean", "vict_sex", "vict_descent"], ["age_group"]),
+}
+
+
+def dimension_members(silver: DataFrame) -> DataFrame:
+    """Members of all six data dimensions from one pass over silver.
+
+    One ``GROUPING SETS`` aggregate with a grouping set per dimension: each
+    row is expanded once per set and pre-aggregated per task (hot keys
+    collapse before the shuffle); the surviving payload of each member is the
+    smallest one, as in ``dedup``. ``__gid`` tells the sets apart.
+    """
+    keys: list[str] = []
+    for k, _ in DIM_COLUMNS.values():
+        keys += [c for c in k if c not in keys]
+    payloads = [F.min(F.struct(*p)).alias(f"__p_{name}") for name, (_, p) in DIM_COLUMNS.items()]
+    return (silver.groupingSets([[F.col(c) for c in k] for k, _ in DIM_COLUMNS.values()], *[F.col(c) for c in keys])
+            .agg(*payloads, F.grouping_id().alias("__gid")))
+
+
+def _members_of(members: DataFrame, name: str) -> DataFrame:
+    keys: list[str] = []
+    for k, _ in DIM_COLUMNS.values():
+        keys += [c for c in k if c not in keys]
+    k, payload = DIM_COLUMNS[name]
+    gid = sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in k)
+    return members.filter(F.col("__gid") == gid).select(
+        *k, *[F.col(f"__p_{name}.{p}").alias(p) for p in payload])
+
+
 def build_dims(spark: SparkSession, silver: DataFrame, cfg: C.Config = C.DEFAULT,
-               ts: Column | None = None) -> dict[str, DataFrame]:
-    """All eight dimensions as DataFrames (nothing is computed here)."""
+               ts: Column | None = None, fused: bool = False) -> dict[str, DataFrame]:
+    """All eight dimensions as DataFrames (nothing is computed here).
+
+    ``fused=True`` derives the six data dimensions from one persisted
+    ``dimension_members`` pass instead of one aggregation of silver each
+    (batch silver only; the builders then run on the small member frames, so
+    the results are identical). It saves jobs on small inputs; on large ones
+    the separate aggregations are cheaper, because they read disjoint
+    columns and each evaluates only its own payload aggregate.
+    """
     out = {"dim_date": dim_date(spark, cfg), "dim_time": dim_time(spark, cfg, ts)}
+    members = dimension_members(silver).persist() if fused and not silver.isStreaming else None
     for name, fn in DATA_DIMS.items():
-        out[name] = fn(silver, cfg, ts)
+        out[name] = fn(silver if members is None else _members_of(members, name), cfg, ts)
     return out
 
 

@@ -12,6 +12,7 @@ and AQE's skew-join handling splits the hot partitions.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,18 +24,22 @@ from ..plans.execution import broadcast_if_small
 
 def star_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]],
               keep: Mapping[str, str], label: str, null_safe: bool = False,
-              max_rows: int = C.DEFAULT.broadcast_max_rows) -> DataFrame:
+              max_rows: int = C.DEFAULT.broadcast_max_rows, known_rows: int | None = None) -> DataFrame:
     """Left join ``facts`` with ``dim`` on ``(fact expression, dim column)`` pairs.
 
     Only the key columns and the ``keep`` columns (renamed ``src -> dst``) of
     the dimension are read. ``null_safe`` compares with ``<=>`` so NULL
     parts match the NULL member; Catalyst still turns it into hashable
-    equi-join keys.
+    equi-join keys. ``known_rows`` is a size bound fixed by construction
+    (the date and time spines); otherwise the dimension is counted.
     """
     kcols = [f"__{label}_k{i}" for i in range(len(on))]
     side = dim.select(*[F.col(dc).alias(k) for (_, dc), k in zip(on, kcols)],
                       *[F.col(src).alias(dst) for src, dst in keep.items()])
-    side = broadcast_if_small(side, max_rows, label)
+    if known_rows is not None and known_rows <= max_rows:
+        side = F.broadcast(side)
+    else:
+        side = broadcast_if_small(side, max_rows, label)
     cond = None
     for (fe, _), k in zip(on, kcols):
         c = fe.eqNullSafe(side[k]) if null_safe else (fe == side[k])
@@ -42,6 +47,14 @@ def star_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]]
     return facts.join(side, cond, "left").drop(*kcols)
 
 
+MINUTES_PER_DAY = 1440
+
+
+def spine_days(cfg: C.Config) -> int:
+    """Rows of the date dimension: fixed by the configured range."""
+    return (date.fromisoformat(cfg.date_end) - date.fromisoformat(cfg.date_start)).days + 1
+
+
 FACT_COLUMNS = [
     "incident_key", "dr_no",
     "date_occurred_key", "date_reported_key", "time_occurred_key", "location_key",
@@ -59,13 +72,14 @@ def attach_foreign_keys(silver: DataFrame, dims: Mapping[str, DataFrame],
                         cfg: C.Config = C.DEFAULT) -> DataFrame:
     """The nine left joins, adding one foreign key each."""
     m = cfg.broadcast_max_rows
+    days = spine_days(cfg)
     f = silver
     f = star_join(f, dims["dim_date"], [(F.col("date_occ").cast("date"), "full_date")],
-                  {"date_key": "date_occurred_key"}, "date_occ", max_rows=m)
+                  {"date_key": "date_occurred_key"}, "date_occ", max_rows=m, known_rows=days)
     f = star_join(f, dims["dim_date"], [(F.col("date_rptd").cast("date"), "full_date")],
-                  {"date_key": "date_reported_key"}, "date_rptd", max_rows=m)
+                  {"date_key": "date_reported_key"}, "date_rptd", max_rows=m, known_rows=days)
     f = star_join(f, dims["dim_time"], [(F.col("time_occ"), "time_occ")],
-                  {"time_key": "time_occurred_key"}, "time", max_rows=m)
+                  {"time_key": "time_occurred_key"}, "time", max_rows=m, known_rows=MINUTES_PER_DAY)
     f = star_join(f, dims["dim_location"], [(F.col("area"), "area"), (F.col("rpt_dist_no"), "rpt_dist_no")],
                   {"location_key": "location_key"}, "location", max_rows=m)
     f = star_join(f, dims["dim_crime_type"], [(F.col("crm_cd"), "crm_cd")],
@@ -153,5 +167,7 @@ def star_view(fact: DataFrame, dims: Mapping[str, DataFrame], roles: Sequence[st
         dim_name, fk, dk, cols = STAR_ROLES[role]
         dim = dims[dim_name]
         keep = {s: d for s, d in cols.items() if s in dim.columns}
-        out = star_join(out, dim, [(F.col(fk), dk)], keep, role, max_rows=cfg.broadcast_max_rows)
+        known = {"dim_date": spine_days(cfg), "dim_time": MINUTES_PER_DAY}.get(dim_name)
+        out = star_join(out, dim, [(F.col(fk), dk)], keep, role, max_rows=cfg.broadcast_max_rows,
+                        known_rows=known)
     return out

@@ -87,10 +87,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Large inputs are split by the file scan already and are left untouched,
     so at scale this adds no shuffle.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int, label: str = "") -> DataFrame:

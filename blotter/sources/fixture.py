@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.execution import spread
+
 INCIDENTS_SQL = """SELECT
   CASE WHEN o_orderkey % 997 = 5 THEN NULL ELSE o_orderkey END AS dr_no,
   CASE WHEN o_orderkey % 89 = 7 THEN NULL ELSE o_orderdate + INTERVAL '25' YEAR + (CAST(o_orderkey % 31 AS INT) - 1) * INTERVAL '1' DAY END AS date_rptd,
@@ -48,13 +50,15 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Only the columns the view uses are read (Catalyst prunes the parquet
     scans); nation is tiny and customer is joined by key, so Spark picks a
-    broadcast or a shuffle join from the sizes at hand.
+    broadcast or a shuffle join from the sizes at hand. An orders input that
+    arrives in fewer partitions than the session has cores (one small file)
+    is spread first so the per-row projection uses every core.
     """
     text = (INCIDENTS_SQL.replace("FROM orders JOIN customer", "FROM {orders} JOIN {customer}")
             .replace("JOIN nation ON", "JOIN {nation} ON"))
     return spark.sql(
         text,
-        orders=read_driver_table(spark, sf_dir, "orders"),
+        orders=spread(read_driver_table(spark, sf_dir, "orders")),
         customer=read_driver_table(spark, sf_dir, "customer"),
         nation=read_driver_table(spark, sf_dir, "nation"),
     )

@@ -136,3 +136,12 @@ def test_scan_prunes_columns_and_pushes_filters(spark, tables):
     plan = _plan(q)
     assert "PushedFilters: [IsNotNull(status), EqualTo(status,AA)]" in plan
     assert "ReadSchema: struct<dr_no:bigint,status:string>" in plan
+
+
+def test_fused_dimension_members_equal_separate_builds(spark, layers):
+    sep = D.build_dims(spark, layers.silver)
+    fused = D.build_dims(spark, layers.silver, fused=True)
+    for name in D.DATA_DIMS:
+        a = Counter(map(tuple, sep[name].drop("created_date").collect()))
+        b = Counter(map(tuple, fused[name].drop("created_date").collect()))
+        assert a == b, name
