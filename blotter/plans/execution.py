@@ -25,10 +25,8 @@ SESSION_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Streaming deduplication and the stream-static joins keep small state;
-    # file sinks + checkpoints give exactly-once output across restarts.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+    # Remove reliable-checkpoint files once their DataFrame is garbage.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -7,6 +7,7 @@ out of the outputs so results are comparable across runs and engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,10 @@ from ..operators import profile as R
 from ..operators import quality as Q
 from ..operators import silver as S
 from ..operators.fact import AUDIT_COLUMNS, FOREIGN_KEYS, fact_null_fk_counts
+from ..sources.csv import with_ingest_audit
 from ..sources.fixture import incidents
+from ..sources.tables import append_flow, read_table
+from .execution import checkpoint_dir
 from .pipeline import Layers, bronze_from_fixture, build_layers
 
 # Key mode md5 is reproducible in any SQL engine; as-of fixed for R11.
@@ -41,12 +45,6 @@ def _silver(spark: SparkSession, sf_dir: str, cfg: C.Config = CFG) -> DataFrame:
     return S.silver(bronze_from_fixture(spark, sf_dir), cfg)
 
 
-def _star(roles, cfg: C.Config = CFG):
-    def build(spark: SparkSession, sf_dir: str) -> Layers:
-        return _layers(spark, sf_dir, cfg)
-    return build, roles
-
-
 # ---------------------------------------------------------------- E / Q
 def _bronze_step(fn) -> Query:
     def q(spark, sf_dir):
@@ -65,6 +63,27 @@ def q_silver(spark, sf_dir):
     return _drop_ts(_silver(spark, sf_dir))
 
 
+def _stream_root(spark: SparkSession) -> str:
+    """Shared folder for a registered streaming run: the checkpoint folder the
+    cluster names, else the session's warehouse folder."""
+    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/blotter_stream_silver/{uuid.uuid4().hex}"
+
+
+def q_stream_silver(spark, sf_dir):
+    """X1/X2/X5 on Structured Streaming: the orders table read as a file
+    stream, joined to static customer/nation, gated and enriched, written by
+    a Parquet file sink with its own checkpoint (availableNow), read back."""
+    root = _stream_root(spark)
+    orders_path = f"{sf_dir.rstrip('/')}/orders.parquet"
+    stream = (spark.readStream.schema(spark.read.parquet(orders_path).schema)
+              .option("pathGlobFilter", "orders.parquet").parquet(sf_dir))
+    bronze = with_ingest_audit(incidents(spark, sf_dir, orders=stream), source="incidents")
+    q = append_flow(S.silver(bronze, CFG), f"{root}/silver", f"{root}/_checkpoint", name=None)
+    q.awaitTermination()
+    return _drop_ts(read_table(spark, f"{root}/silver"))
+
+
 def q_expect_drop(spark, sf_dir):
     return Q.expect_all_or_drop(incidents(spark, sf_dir), CFG.rules)
 
@@ -203,6 +222,7 @@ def registry() -> dict[str, Query]:
         "days_to_report": _bronze_step(S.days_to_report),
         "incident_flags": _bronze_step(S.incident_flags),
         "silver": q_silver,
+        "stream_silver": q_stream_silver,
         "expect_drop": q_expect_drop,
         "expectation_metrics": q_expectation_metrics,
         "quarantine": q_quarantine,

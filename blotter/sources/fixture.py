@@ -45,7 +45,7 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def incidents(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """The 28-column incident source over ``sf_dir``'s orders/customer/nation.
 
     Only the columns the view uses are read (Catalyst prunes the parquet
@@ -53,12 +53,15 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     broadcast or a shuffle join from the sizes at hand. An orders input that
     arrives in fewer partitions than the session has cores (one small file)
     is spread first so the per-row projection uses every core.
+
+    ``orders`` replaces the orders table, e.g. with a stream over it: the
+    result is then a stream (stream-static joins to customer and nation).
     """
     text = (INCIDENTS_SQL.replace("FROM orders JOIN customer", "FROM {orders} JOIN {customer}")
             .replace("JOIN nation ON", "JOIN {nation} ON"))
     return spark.sql(
         text,
-        orders=spread(read_driver_table(spark, sf_dir, "orders")),
+        orders=orders if orders is not None else spread(read_driver_table(spark, sf_dir, "orders")),
         customer=read_driver_table(spark, sf_dir, "customer"),
         nation=read_driver_table(spark, sf_dir, "nation"),
     )

@@ -337,6 +337,7 @@ def oracle_registry() -> dict[str, str]:
     q["days_to_report"] = _bronze_step("days_to_report")
     q["incident_flags"] = _bronze_step("vict_age_clean, is_weapon_involved, is_juvenile_victim, is_arrested")
     q["silver"] = W("SELECT * FROM silver")
+    q["stream_silver"] = q["silver"]
     # Q1-Q7
     q["expect_drop"] = W(f"SELECT {src} FROM incidents WHERE {ALL_RULES}")
     q["expectation_metrics"] = W(f"""SELECT rule, __n AS rows_checked, __n - failed AS passed, failed,

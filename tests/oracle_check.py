@@ -18,6 +18,8 @@ ROOT = os.path.dirname(HERE)
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
+STRICT = bool(os.environ.get("ORACLE_STRICT"))
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -76,7 +78,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 9)
+        return v if STRICT else round(v, 9)
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
