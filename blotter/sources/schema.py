@@ -67,7 +67,7 @@ def infer_and_pin_schema(spark: SparkSession, path: str, schema_file: str | None
 
 
 def load_pinned_schema(spark: SparkSession, schema_file: str) -> T.StructType:
-    text = "".join(r.value for r in spark.read.text(schema_file).collect())
+    text = "".join(r.value for r in spark.read.text(schema_file, wholetext=True).collect())
     return schema_from_json(text)
 
 
