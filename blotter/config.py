@@ -206,6 +206,10 @@ class Config:
     # "xxhash64" (fastest) or "parity" (abs(Murmur3 hash) % M, as the original
     # notebooks compute it).
     key_mode: str = "md5"
+    # Reduce dimension keys modulo 1e6 / 1e7 as the original notebooks do.
+    # Off by default: full-width keys make collisions (which would fan out
+    # star joins) negligible. "parity" mode always applies the moduli.
+    key_modulus: bool = False
     date_start: str = "2019-01-01"
     date_end: str = "2029-12-31"
     fiscal_start_month: int = 10
@@ -231,5 +235,9 @@ class Config:
     def with_(self, **kw) -> "Config":
         return replace(self, **kw)
 
+    def modulus(self, m: int) -> int | None:
+        """The modulus for a dimension key, or None for a full-width key."""
+        return m if (self.key_modulus or self.key_mode == "parity") else None
+
 
 DEFAULT = Config()

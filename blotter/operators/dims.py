@@ -119,7 +119,7 @@ def dim_status(silver: DataFrame, cfg: C.Config = C.DEFAULT, ts: Column | None =
     """D3: non-null status codes; key = hash(status) % 1e6."""
     d = dedup(silver.filter(F.col("status").isNotNull()), ["status"], ["status_desc"])
     return d.select(
-        surrogate_key(F.col("status"), C.MOD_SMALL, cfg.key_mode).alias("status_key"),
+        surrogate_key(F.col("status"), cfg.modulus(C.MOD_SMALL), cfg.key_mode).alias("status_key"),
         "status", "status_desc", *[v.alias(k) for k, v in _audit("dim_status_flow", ts).items()])
 
 
@@ -129,7 +129,7 @@ def dim_location(silver: DataFrame, cfg: C.Config = C.DEFAULT, ts: Column | None
     d = dedup(silver.filter(F.col("area").isNotNull()), ["area", "rpt_dist_no"], ["area_name"])
     text = F.concat(F.col("area").cast("string"), F.lit("_"), F.col("rpt_dist_no").cast("string"))
     return d.select(
-        surrogate_key(text, C.MOD_LARGE, cfg.key_mode).alias("location_key"),
+        surrogate_key(text, cfg.modulus(C.MOD_LARGE), cfg.key_mode).alias("location_key"),
         "area", "area_name", "rpt_dist_no",
         X.region_of("area").alias("geographic_region"),
         *[v.alias(k) for k, v in _audit("dim_location_flow", ts).items()])
@@ -139,7 +139,7 @@ def dim_premise(silver: DataFrame, cfg: C.Config = C.DEFAULT, ts: Column | None
     """Non-null premise codes with an ordered regex category; key % 1e6."""
     d = dedup(silver.filter(F.col("premis_cd").isNotNull()), ["premis_cd"], ["premis_desc"])
     return d.select(
-        surrogate_key(F.col("premis_cd"), C.MOD_SMALL, cfg.key_mode).alias("premise_key"),
+        surrogate_key(F.col("premis_cd"), cfg.modulus(C.MOD_SMALL), cfg.key_mode).alias("premise_key"),
         "premis_cd", "premis_desc",
         X.regex_category("premis_desc", C.PREMISE_CATEGORIES, C.PREMISE_OTHER).alias("premise_category"),
         *[v.alias(k) for k, v in _audit("dim_premise_flow", ts).items()])
@@ -159,7 +159,7 @@ def dim_weapon(silver: DataFrame, cfg: C.Config = C.DEFAULT, ts: Column | None =
     code = F.col("weapon_used_cd")
     cols = [
         F.when(code.isNull(), F.lit(C.NO_WEAPON_KEY).cast("bigint"))
-         .otherwise(surrogate_key(code, C.MOD_SMALL, cfg.key_mode)).alias("weapon_key"),
+         .otherwise(surrogate_key(code, cfg.modulus(C.MOD_SMALL), cfg.key_mode)).alias("weapon_key"),
         F.coalesce(code, F.lit(C.NO_WEAPON_CODE)).alias("weapon_used_cd"),
         F.when(code.isNull(), C.NO_WEAPON_DESC).otherwise(F.col("weapon_desc")).alias("weapon_desc"),
     ]
@@ -176,7 +176,7 @@ def crime_category_expr(desc: Column | str = "crm_cd_desc") -> Column:
 def dim_crime_type(silver: DataFrame, cfg: C.Config = C.DEFAULT, ts: Column | None = None) -> DataFrame:
     """Non-null crime codes with description and part; key % 1e6."""
     d = dedup(silver.filter(F.col("crm_cd").isNotNull()), ["crm_cd"], ["crm_cd_desc", "part_1_2"])
-    cols = [surrogate_key(F.col("crm_cd"), C.MOD_SMALL, cfg.key_mode).alias("crime_type_key"),
+    cols = [surrogate_key(F.col("crm_cd"), cfg.modulus(C.MOD_SMALL), cfg.key_mode).alias("crime_type_key"),
             "crm_cd", "crm_cd_desc", "part_1_2"]
     if cfg.crime_category:
         cat = crime_category_expr()
@@ -197,7 +197,7 @@ def dim_victim(silver: DataFrame, cfg: C.Config = C.DEFAULT, ts: Column | None =
     d = dedup(silver, ["vict_age_clean", "vict_sex", "vict_descent"], ["age_group"])
     return d.select(
         surrogate_key(victim_text(F.col("vict_age_clean"), F.col("vict_sex"), F.col("vict_descent")),
-                      C.MOD_LARGE, cfg.key_mode).alias("victim_demographic_key"),
+                      cfg.modulus(C.MOD_LARGE), cfg.key_mode).alias("victim_demographic_key"),
         "vict_age_clean", "age_group", "vict_sex",
         X.code_label("vict_sex", C.SEX_LABELS, C.LABEL_UNKNOWN).alias("sex_desc"),
         "vict_descent",

@@ -120,21 +120,21 @@ SILVER = f"""SELECT *, {AGE_GROUP} AS age_group,
   {FLAGS}
 FROM silver0"""
 
-DIM_STATUS = f"""SELECT {_key('status', C.MOD_SMALL)} AS status_key, status, min(status_desc) AS status_desc,
+DIM_STATUS = f"""SELECT {_key('status', None)} AS status_key, status, min(status_desc) AS status_desc,
   'dim_status_flow' AS created_by
 FROM silver WHERE status IS NOT NULL GROUP BY status"""
 
-DIM_LOCATION = f"""SELECT {_key("CAST(area AS VARCHAR) || '_' || CAST(rpt_dist_no AS VARCHAR)", C.MOD_LARGE)} AS location_key,
+DIM_LOCATION = f"""SELECT {_key("CAST(area AS VARCHAR) || '_' || CAST(rpt_dist_no AS VARCHAR)", None)} AS location_key,
   area, min(area_name) AS area_name, rpt_dist_no, {_region('area')} AS geographic_region,
   'dim_location_flow' AS created_by
 FROM silver WHERE area IS NOT NULL GROUP BY area, rpt_dist_no"""
 
-DIM_PREMISE = f"""SELECT {_key('premis_cd', C.MOD_SMALL)} AS premise_key, premis_cd, premis_desc,
+DIM_PREMISE = f"""SELECT {_key('premis_cd', None)} AS premise_key, premis_cd, premis_desc,
   {_regex('premis_desc', C.PREMISE_CATEGORIES, C.PREMISE_OTHER)} AS premise_category,
   'dim_premise_flow' AS created_by
 FROM (SELECT premis_cd, min(premis_desc) AS premis_desc FROM silver WHERE premis_cd IS NOT NULL GROUP BY premis_cd)"""
 
-DIM_WEAPON = f"""SELECT CASE WHEN weapon_used_cd IS NULL THEN {C.NO_WEAPON_KEY} ELSE {_key('weapon_used_cd', C.MOD_SMALL)} END AS weapon_key,
+DIM_WEAPON = f"""SELECT CASE WHEN weapon_used_cd IS NULL THEN {C.NO_WEAPON_KEY} ELSE {_key('weapon_used_cd', None)} END AS weapon_key,
   coalesce(weapon_used_cd, {C.NO_WEAPON_CODE}) AS weapon_used_cd,
   CASE WHEN weapon_used_cd IS NULL THEN {_q(C.NO_WEAPON_DESC)} ELSE weapon_desc END AS weapon_desc,
   'dim_weapon_flow' AS created_by
@@ -146,7 +146,7 @@ def dim_crime_sql(categories: bool = False) -> str:
     if categories:
         cat = _regex("crm_cd_desc", C.CRIME_CATEGORIES, C.CRIME_OTHER)
         extra = f"{cat} AS crime_category, ({cat}) = 'Violent' AS is_violent, "
-    return f"""SELECT {_key('crm_cd', C.MOD_SMALL)} AS crime_type_key, crm_cd, crm_cd_desc, part_1_2,
+    return f"""SELECT {_key('crm_cd', None)} AS crime_type_key, crm_cd, crm_cd_desc, part_1_2,
   {extra}'dim_crime_type_flow' AS created_by
 FROM (SELECT crm_cd, p.crm_cd_desc AS crm_cd_desc, p.part_1_2 AS part_1_2 FROM (
   SELECT crm_cd, min(struct_pack(crm_cd_desc := crm_cd_desc, part_1_2 := part_1_2)) AS p
@@ -155,7 +155,7 @@ FROM (SELECT crm_cd, p.crm_cd_desc AS crm_cd_desc, p.part_1_2 AS part_1_2 FROM (
 
 VICTIM_TEXT = ("coalesce(CAST(vict_age_clean AS VARCHAR), 'null') || '_' || coalesce(vict_sex, 'null')"
                " || '_' || coalesce(vict_descent, 'null')")
-DIM_VICTIM = f"""SELECT {_key(VICTIM_TEXT, C.MOD_LARGE)} AS victim_demographic_key,
+DIM_VICTIM = f"""SELECT {_key(VICTIM_TEXT, None)} AS victim_demographic_key,
   vict_age_clean, age_group, vict_sex, {_labels('vict_sex', C.SEX_LABELS, C.LABEL_UNKNOWN)} AS sex_desc,
   vict_descent, {_labels('vict_descent', C.DESCENT_LABELS, C.LABEL_UNKNOWN)} AS descent_desc,
   'dim_victim_demographics_flow' AS created_by
