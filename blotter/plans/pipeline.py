@@ -54,8 +54,13 @@ def build_layers(spark: SparkSession, bronze: DataFrame, cfg: C.Config = C.DEFAU
 
 
 def run_batch(spark: SparkSession, layout: Layout, bronze: DataFrame, cfg: C.Config = C.DEFAULT,
-              ts: Column | None = None, timings: dict | None = None) -> Layers:
-    """Materialize bronze, silver, the eight dimensions and the fact."""
+              ts: Column | None = None, timings: dict | None = None,
+              fact_partition_by: list[str] | None = None) -> Layers:
+    """Materialize bronze, silver, the eight dimensions and the fact.
+
+    ``fact_partition_by`` writes the fact partitioned by those columns (e.g.
+    ``["date_occurred_key"]``) so date filters prune whole directories.
+    """
     import time
 
     def step(name, fn):
@@ -76,6 +81,7 @@ def run_batch(spark: SparkSession, layout: Layout, bronze: DataFrame, cfg: C.Con
     for name, df in built.items():
         step(name, lambda df=df, name=name: materialize(df, layout.path(name)))
     dims = {name: read_table(spark, layout.path(name)) for name in built}
-    step("fact", lambda: materialize(fact_incidents(s, dims, cfg, ts), layout.path("fact_crime_incidents")))
+    step("fact", lambda: materialize(fact_incidents(s, dims, cfg, ts), layout.path("fact_crime_incidents"),
+                                     partition_by=fact_partition_by))
     fact = read_table(spark, layout.path("fact_crime_incidents"))
     return Layers(b, s, dims, fact)
