@@ -219,8 +219,10 @@ class Config:
     # Reference date for "future date" checks (None -> current_date()).
     as_of: str | None = None
     # Dimensions are broadcast only after a row count proves them at most
-    # this large; larger ones go through a shuffle join (AQE splits skew).
-    broadcast_max_rows: int = 2_000_000
+    # this large (star joins project a dimension to its key plus one or two
+    # columns, so ~20 MB); larger ones go through a shuffle join (AQE splits
+    # skew). Real dimensions hold thousands of rows.
+    broadcast_max_rows: int = 500_000
     # Grid step in degrees for the density mart.
     grid_step: float = 0.05
     # Exact (count_distinct) or approximate (HLL++) cardinality profile.

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
@@ -23,13 +23,17 @@ def _passes_all(rules: Mapping[str, str]) -> Column:
     return cond
 
 
-def expect_all_or_drop(df: DataFrame, rules: Mapping[str, str], observe_name: str | None = None) -> DataFrame:
+def expect_all_or_drop(df: DataFrame, rules: Mapping[str, str],
+                       observe_name: "str | Observation | None" = None) -> DataFrame:
     """Q1: keep rows passing every rule.
 
     With ``observe_name`` the input row count and per-rule failure counts are
-    attached as observed metrics before the filter (works for streams too).
+    attached as observed metrics before the filter, computed by the same pass
+    that writes the rows: a name for streams (metrics in the query
+    progress), or a ``pyspark.sql.Observation`` for batch (``.get`` after the
+    action).
     """
-    if observe_name:
+    if observe_name is not None:
         metrics = [F.count(F.lit(1)).alias("rows_in")]
         metrics += [F.count_if(~X.rule(t)).alias(f"failed_{n}") for n, t in rules.items()]
         metrics.append(F.count_if(~_passes_all(rules)).alias("rows_dropped"))
@@ -76,7 +80,7 @@ def unexpected_values(df: DataFrame, col: str, allowed: Sequence[str], max_rows:
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
-                max_rows: int = 2_000_000, label: str | None = None) -> DataFrame:
+                max_rows: int = 500_000, label: str | None = None) -> DataFrame:
     """Q5: one row: rows with a NULL key, and rows whose non-null key has no
     parent. The child is reduced to (key, rows) before the anti join."""
     keyed = child.groupBy(F.col(child_key).alias("__k")).agg(F.count(F.lit(1)).alias("__rows"))

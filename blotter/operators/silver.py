@@ -117,12 +117,13 @@ SILVER_NEW_COLUMNS = [
 
 
 def silver(bronze: DataFrame, cfg: C.Config = C.DEFAULT, ts: Column | None = None,
-           observe_name: str | None = None) -> DataFrame:
+           observe_name=None) -> DataFrame:
     """Quality gate (drop rows failing any rule; NULL fails) + E1-E9.
 
     The gate only reads source columns, so Catalyst pushes it into the scan.
-    ``observe_name`` attaches per-rule failure counts as observed metrics
-    (visible in a streaming query's progress or after a batch action).
+    ``observe_name`` (a name, or a ``pyspark.sql.Observation`` for batch)
+    attaches per-rule failure counts as observed metrics, computed while the
+    rows are written.
     """
     kept = expect_all_or_drop(bronze, cfg.rules, observe_name=observe_name)
     return enrich(kept, cfg, ts)

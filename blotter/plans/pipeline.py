@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from .. import config as C
 from ..operators import dims as D
@@ -30,6 +30,8 @@ class Layers:
     silver: DataFrame
     dims: dict[str, DataFrame]
     fact: DataFrame
+    # Quality-gate metrics observed while silver was written (run_batch).
+    quality: dict | None = None
 
     def star(self, roles=None, cfg: C.Config = C.DEFAULT) -> DataFrame:
         return star_view(self.fact, self.dims, roles, cfg)
@@ -71,7 +73,9 @@ def run_batch(spark: SparkSession, layout: Layout, bronze: DataFrame, cfg: C.Con
 
     step("bronze", lambda: materialize(spread(bronze), layout.path("lacrime_incidents_bronze")))
     b = read_table(spark, layout.path("lacrime_incidents_bronze"))
-    step("silver", lambda: materialize(silver_op(b, cfg, ts), layout.path("lacrime_incidents_silver")))
+    gate = Observation("silver_expectations")
+    step("silver", lambda: materialize(silver_op(b, cfg, ts, observe_name=gate),
+                                       layout.path("lacrime_incidents_silver")))
     s = read_table(spark, layout.path("lacrime_incidents_silver"))
     # One pruned aggregation of silver per dimension: the dimensions read
     # disjoint columns, so separate scans decode nothing twice, and each
@@ -84,4 +88,4 @@ def run_batch(spark: SparkSession, layout: Layout, bronze: DataFrame, cfg: C.Con
     step("fact", lambda: materialize(fact_incidents(s, dims, cfg, ts), layout.path("fact_crime_incidents"),
                                      partition_by=fact_partition_by))
     fact = read_table(spark, layout.path("fact_crime_incidents"))
-    return Layers(b, s, dims, fact)
+    return Layers(b, s, dims, fact, quality=dict(gate.get))

@@ -57,3 +57,6 @@ def test_batch_pipeline_tables_and_layer_counts(spark, scratch):
         "fact_crime_incidents"}
     counts = {r.layer: r.rows for r in layer_counts(L.bronze, L.silver, L.fact).collect()}
     assert counts == {"Bronze": 1500, "Silver": 1446, "Fact": 1446}
+    # Gate metrics were observed by the silver write itself.
+    assert L.quality["rows_in"] == 1500 and L.quality["rows_dropped"] == 54
+    assert L.quality["failed_valid_primary_key"] == 2 and L.quality["failed_valid_date_range"] == 3
