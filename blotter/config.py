@@ -223,6 +223,9 @@ class Config:
     # columns, so ~20 MB); larger ones go through a shuffle join (AQE splits
     # skew). Real dimensions hold thousands of rows.
     broadcast_max_rows: int = 500_000
+    # Salt buckets for a dimension join that cannot be broadcast: fact rows
+    # spread over this many tasks per key (the dimension is replicated).
+    salt_buckets: int = 16
     # Grid step in degrees for the density mart.
     grid_step: float = 0.05
     # Exact (count_distinct) or approximate (HLL++) cardinality profile.

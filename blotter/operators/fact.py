@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,8 @@ from ..plans.execution import broadcast_if_small
 
 def star_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]],
               keep: Mapping[str, str], label: str, null_safe: bool = False,
-              max_rows: int = C.DEFAULT.broadcast_max_rows, known_rows: int | None = None) -> DataFrame:
+              max_rows: int = C.DEFAULT.broadcast_max_rows, known_rows: int | None = None,
+              salt_buckets: int = C.DEFAULT.salt_buckets) -> DataFrame:
     """Left join ``facts`` with ``dim`` on ``(fact expression, dim column)`` pairs.
 
     Only the key columns and the ``keep`` columns (renamed ``src -> dst``) of
@@ -32,19 +34,36 @@ def star_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]]
     parts match the NULL member; Catalyst still turns it into hashable
     equi-join keys. ``known_rows`` is a size bound fixed by construction
     (the date and time spines); otherwise the dimension is counted.
+
+    A dimension above ``max_rows`` is shuffle-joined with salting: every fact
+    row draws a salt in ``[0, salt_buckets)`` and the dimension side is
+    replicated once per salt, so a key holding most fact rows is spread over
+    ``salt_buckets`` tasks (streams have no AQE skew handling). Each fact row
+    still meets exactly one copy of its member, whatever salt it drew.
     """
     kcols = [f"__{label}_k{i}" for i in range(len(on))]
     side = dim.select(*[F.col(dc).alias(k) for (_, dc), k in zip(on, kcols)],
                       *[F.col(src).alias(dst) for src, dst in keep.items()])
-    if known_rows is not None and known_rows <= max_rows:
+    small = known_rows is not None and known_rows <= max_rows
+    if small:
         side = F.broadcast(side)
     else:
-        side = broadcast_if_small(side, max_rows, label)
+        checked = broadcast_if_small(side, max_rows, label)
+        small = checked is not side
+        side = checked
+    salt = None
+    if not small and salt_buckets > 1:
+        salt = f"__{label}_salt"
+        side = side.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        facts = facts.withColumn(salt, (F.rand() * salt_buckets).cast("int"))
     cond = None
     for (fe, _), k in zip(on, kcols):
         c = fe.eqNullSafe(side[k]) if null_safe else (fe == side[k])
         cond = c if cond is None else cond & c
-    return facts.join(side, cond, "left").drop(*kcols)
+    if salt is not None:
+        cond = cond & (facts[salt] == side[salt])
+    out = facts.join(side, cond, "left").drop(*kcols)
+    return out.drop(facts[salt], side[salt]) if salt is not None else out
 
 
 MINUTES_PER_DAY = 1440
@@ -73,27 +92,28 @@ def attach_foreign_keys(silver: DataFrame, dims: Mapping[str, DataFrame],
     """The nine left joins, adding one foreign key each."""
     m = cfg.broadcast_max_rows
     days = spine_days(cfg)
+    sj = partial(star_join, salt_buckets=cfg.salt_buckets)
     f = silver
-    f = star_join(f, dims["dim_date"], [(F.col("date_occ").cast("date"), "full_date")],
+    f = sj(f, dims["dim_date"], [(F.col("date_occ").cast("date"), "full_date")],
                   {"date_key": "date_occurred_key"}, "date_occ", max_rows=m, known_rows=days)
-    f = star_join(f, dims["dim_date"], [(F.col("date_rptd").cast("date"), "full_date")],
+    f = sj(f, dims["dim_date"], [(F.col("date_rptd").cast("date"), "full_date")],
                   {"date_key": "date_reported_key"}, "date_rptd", max_rows=m, known_rows=days)
-    f = star_join(f, dims["dim_time"], [(F.col("time_occ"), "time_occ")],
+    f = sj(f, dims["dim_time"], [(F.col("time_occ"), "time_occ")],
                   {"time_key": "time_occurred_key"}, "time", max_rows=m, known_rows=MINUTES_PER_DAY)
-    f = star_join(f, dims["dim_location"], [(F.col("area"), "area"), (F.col("rpt_dist_no"), "rpt_dist_no")],
+    f = sj(f, dims["dim_location"], [(F.col("area"), "area"), (F.col("rpt_dist_no"), "rpt_dist_no")],
                   {"location_key": "location_key"}, "location", max_rows=m)
-    f = star_join(f, dims["dim_crime_type"], [(F.col("crm_cd"), "crm_cd")],
+    f = sj(f, dims["dim_crime_type"], [(F.col("crm_cd"), "crm_cd")],
                   {"crime_type_key": "crime_type_key"}, "crime", max_rows=m)
-    f = star_join(f, dims["dim_victim_demographics"],
+    f = sj(f, dims["dim_victim_demographics"],
                   [(F.col("vict_age_clean"), "vict_age_clean"), (F.col("vict_sex"), "vict_sex"),
                    (F.col("vict_descent"), "vict_descent")],
                   {"victim_demographic_key": "victim_demographic_key"}, "victim", null_safe=True, max_rows=m)
-    f = star_join(f, dims["dim_premise"], [(F.col("premis_cd"), "premis_cd")],
+    f = sj(f, dims["dim_premise"], [(F.col("premis_cd"), "premis_cd")],
                   {"premise_key": "premise_key"}, "premise", max_rows=m)
-    f = star_join(f, dims["dim_weapon"],
+    f = sj(f, dims["dim_weapon"],
                   [(F.coalesce(F.col("weapon_used_cd"), F.lit(C.NO_WEAPON_CODE)), "weapon_used_cd")],
                   {"weapon_key": "weapon_key"}, "weapon", max_rows=m)
-    f = star_join(f, dims["dim_status"], [(F.col("status"), "status")],
+    f = sj(f, dims["dim_status"], [(F.col("status"), "status")],
                   {"status_key": "status_key"}, "status", max_rows=m)
     return f
 
@@ -169,5 +189,5 @@ def star_view(fact: DataFrame, dims: Mapping[str, DataFrame], roles: Sequence[st
         keep = {s: d for s, d in cols.items() if s in dim.columns}
         known = {"dim_date": spine_days(cfg), "dim_time": MINUTES_PER_DAY}.get(dim_name)
         out = star_join(out, dim, [(F.col(fk), dk)], keep, role, max_rows=cfg.broadcast_max_rows,
-                        known_rows=known)
+                        known_rows=known, salt_buckets=cfg.salt_buckets)
     return out

@@ -114,15 +114,21 @@ def test_fact_plan_broadcasts_every_dimension_without_shuffling_the_fact(spark,
     assert "Exchange hashpartitioning" not in plan
 
 
-def test_star_join_falls_back_to_shuffle_join_when_dimension_too_large(spark, tables):
+def test_star_join_falls_back_to_salted_shuffle_join_when_dimension_too_large(spark, tables):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        j = star_join(tables.silver, tables.dims["dim_crime_type"], [(F.col("crm_cd"), "crm_cd")],
-                      {"crime_type_key": "crime_type_key"}, "crime", max_rows=10)
-        j.collect()
-        plan = _plan(j)
-        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        args = (tables.silver, tables.dims["dim_weapon"],
+                [(F.coalesce(F.col("weapon_used_cd"), F.lit(-1.0)), "weapon_used_cd")],
+                {"weapon_key": "weapon_key"}, "weapon")
+        salted = star_join(*args, max_rows=10, salt_buckets=8)
+        plain = star_join(*args, max_rows=10, salt_buckets=0)
+        cast = star_join(*args, max_rows=1000)
+        rows = [Counter(map(tuple, j.select("dr_no", "weapon_key").collect())) for j in (salted, plain, cast)]
+        assert rows[0] == rows[1] == rows[2]
+        assert sum(rows[0].values()) == tables.silver.count()
+        plan = _plan(salted)
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "__weapon_salt" in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
