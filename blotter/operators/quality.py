@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation  # noqa: F401 (annotation)
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X

@@ -109,13 +109,6 @@ def enrich(df: DataFrame, cfg: C.Config = C.DEFAULT, ts: Column | None = None) -
     })
 
 
-SILVER_NEW_COLUMNS = [
-    "vict_age_clean", "lat_clean", "lon_clean", "time_str", "hour", "minute", "days_to_report",
-    "age_group", "time_period", "is_weapon_involved", "is_juvenile_victim", "is_arrested",
-    "silver_processed_datetime",
-]
-
-
 def silver(bronze: DataFrame, cfg: C.Config = C.DEFAULT, ts: Column | None = None,
            observe_name=None) -> DataFrame:
     """Quality gate (drop rows failing any rule; NULL fails) + E1-E9.

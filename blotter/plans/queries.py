@@ -19,7 +19,7 @@ from ..operators import marts as M
 from ..operators import profile as R
 from ..operators import quality as Q
 from ..operators import silver as S
-from ..operators.fact import AUDIT_COLUMNS, FOREIGN_KEYS, fact_null_fk_counts
+from ..operators.fact import AUDIT_COLUMNS, STAR_ROLES, fact_null_fk_counts
 from ..sources.csv import with_ingest_audit
 from ..sources.fixture import incidents
 from ..sources.tables import append_flow, read_table
@@ -103,7 +103,6 @@ def q_unexpected_values(spark, sf_dir):
 def q_orphan_keys(spark, sf_dir):
     """Q5 for every foreign key of the fact against its dimension."""
     L = _layers(spark, sf_dir)
-    from ..operators.fact import STAR_ROLES
     out = None
     for role in ["date_occurred", "date_reported", "time", "location", "crime_type", "victim",
                  "premise", "weapon", "status"]:
