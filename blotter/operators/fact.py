@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.keys import incident_key
-from ..plans.execution import broadcast_if_small
+from ..plans.execution import proven_rows
 
 
 def star_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]],
@@ -44,13 +44,10 @@ def star_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]]
     kcols = [f"__{label}_k{i}" for i in range(len(on))]
     side = dim.select(*[F.col(dc).alias(k) for (_, dc), k in zip(on, kcols)],
                       *[F.col(src).alias(dst) for src, dst in keep.items()])
-    small = known_rows is not None and known_rows <= max_rows
+    rows = known_rows if known_rows is not None else proven_rows(dim, max_rows)
+    small = rows <= max_rows
     if small:
         side = F.broadcast(side)
-    else:
-        checked = broadcast_if_small(side, max_rows, label)
-        small = checked is not side
-        side = checked
     salt = None
     if not small and salt_buckets > 1:
         salt = f"__{label}_salt"

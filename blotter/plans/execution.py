@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import logging
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,6 +94,23 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(want) if have < want else df
 
 
+# DataFrame -> (rows counted, cap used); rows < cap means the count is exact.
+_PROVEN: "weakref.WeakKeyDictionary[DataFrame, tuple[int, int]]" = weakref.WeakKeyDictionary()
+
+
+def proven_rows(df: DataFrame, max_rows: int) -> int:
+    """Rows of ``df`` counted up to ``max_rows + 1`` (enough to decide a
+    broadcast). Remembered per DataFrame object, so a dimension shared by
+    many star joins is counted once."""
+    cap = max_rows + 1
+    seen = _PROVEN.get(df)
+    if seen is not None and (seen[0] < seen[1] or cap <= seen[1]):
+        return seen[0]
+    n = df.limit(cap).count()
+    _PROVEN[df] = (n, cap)
+    return n
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int, label: str = "") -> DataFrame:
     """Broadcast ``df`` only if a count proves it has at most ``max_rows`` rows.
 
@@ -100,8 +118,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int, label: str = "") -> DataFra
     Larger sides are returned as they are: Spark then plans a sort-merge join,
     and AQE splits skewed partitions of the big side at runtime.
     """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    if proven_rows(df, max_rows) <= max_rows:
         return F.broadcast(df)
     log.warning("not broadcasting %s: more than %d rows", label or "side", max_rows)
     return df
