@@ -23,15 +23,25 @@ from ..sources.spines import date_spine, minute_spine
 def dedup(df: DataFrame, keys: Sequence[str], payload: Sequence[str] = ()) -> DataFrame:
     """One row per distinct ``keys`` (NULL is a key value of its own).
 
-    Batch: the surviving payload is the smallest one (``min`` of a struct), so
-    the result is deterministic. Streaming: first row seen wins
+    Batch: first ``distinct()`` over (keys, payload) - a hash aggregate whose
+    per-task partial aggregation collapses a hot key before the shuffle -
+    then, over those few distinct pairs only, the smallest payload per key
+    (``min`` of a struct), so the result is deterministic. (``min`` over a
+    struct or string cannot use a hash aggregate; applied to all rows it
+    would sort the whole input.) Streaming: first row seen wins
     (``dropDuplicates``; state is one entry per key).
     """
     if df.isStreaming:
         return df.select(*keys, *payload).dropDuplicates(list(keys))
+    pairs = df.select(*keys, *payload).distinct()
     if not payload:
-        return df.select(*keys).distinct()
-    agg = df.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("__p"))
+        return pairs
+    # __variants counts the different payloads of a key (always >= 1). It is
+    # sensitive to duplicates, so referencing it keeps Catalyst from folding
+    # the distinct into this aggregate (which would sort every input row).
+    agg = (pairs.groupBy(*keys)
+           .agg(F.min(F.struct(*payload)).alias("__p"), F.count(F.lit(1)).alias("__variants"))
+           .filter(F.col("__variants") > 0))
     return agg.select(*keys, *[F.col(f"__p.{p}").alias(p) for p in payload])
 
 

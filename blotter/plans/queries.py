@@ -22,6 +22,7 @@ from ..operators import silver as S
 from ..operators.fact import AUDIT_COLUMNS, STAR_ROLES, fact_null_fk_counts
 from ..sources.csv import with_ingest_audit
 from ..sources.fixture import incidents
+from ..sources.schema import SOURCE_COLUMNS
 from ..sources.tables import append_flow, read_table
 from .execution import checkpoint_dir
 from .pipeline import Layers, bronze_from_fixture, build_layers
@@ -49,16 +50,11 @@ def _silver(spark: SparkSession, sf_dir: str, cfg: C.Config = CFG) -> DataFrame:
 def _bronze_step(fn) -> Query:
     def q(spark, sf_dir):
         df = fn(incidents(spark, sf_dir), CFG)
-        new = [c for c in df.columns if c not in incidents_columns()]
+        new = [c for c in df.columns if c not in SOURCE_COLUMNS]
         return df.select("dr_no", *new)
     return q
 
 
-def incidents_columns() -> list[str]:
-    from ..sources.schema import SOURCE_COLUMNS
-    return SOURCE_COLUMNS
-
-
 def q_silver(spark, sf_dir):
     return _drop_ts(_silver(spark, sf_dir))
 

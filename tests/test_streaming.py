@@ -64,3 +64,19 @@ def test_stream_matches_batch(spark, scratch, stateful):
     # Quality metrics of both runs add up to the rows dropped.
     dropped = r1.quality["rows_dropped"] + r2.quality["rows_dropped"]
     assert dropped == 1500 - 1446
+
+
+def test_dimension_merge_is_idempotent_on_retry(spark, scratch):
+    """A micro-batch replayed after a failure inserts no member twice."""
+    from blotter.operators import dims as D
+    from blotter.operators.silver import silver
+    from blotter.plans.pipeline import bronze_from_fixture
+
+    batch = silver(bronze_from_fixture(spark, SF001))
+    path = f"{scratch}/dim_victim_demographics"
+    merge = flows._merge_new_members("dim_victim_demographics", D.dim_victim, path, flows.C.DEFAULT)
+    merge(batch, 0)
+    first = read_table(spark, path).count()
+    merge(batch, 0)                                    # replay of the same batch
+    merge(batch.limit(100), 1)                         # a later batch with known members only
+    assert read_table(spark, path).count() == first == D.dim_victim(batch).count()
