@@ -91,15 +91,27 @@ def period_change(df: DataFrame, period_index: Column, measure: str, prefix: str
     """Compare each period with the period just before it.
 
     ``period_index`` numbers periods consecutively (e.g. ``year`` or
-    ``year * 4 + quarter``). The previous period is found by an equi-join on
-    ``index - 1`` of the already aggregated rows, so nothing is pulled into a
-    single window partition; a missing previous period gives NULL.
+    ``year * 4 + quarter``); a missing previous period gives NULL. Every
+    aggregated row is emitted twice - as the current value at its index and
+    as the previous value at index + 1 - and one grouping by index pairs
+    them: a single pass over the (small) aggregated rows, with no self-join
+    (which would compute the aggregate twice) and no unpartitioned window.
     """
-    cur = df.withColumn("__idx", period_index)
-    prev = cur.select((F.col("__idx") + 1).alias("__idx"), F.col(measure).alias(f"{prefix}_{measure}"))
-    out = cur.join(prev, "__idx", "left")
+    keys = [c for c in df.columns if c != measure]
+    m = F.col(measure).cast("bigint")
+    none = F.lit(None).cast("bigint")
+    tagged = df.select(F.explode(F.array(
+        F.struct(period_index.alias("i"), F.struct(*keys).alias("k"), m.alias("cur"), none.alias("prev")),
+        F.struct((period_index + 1).alias("i"), F.lit(None).alias("k"), none.alias("cur"), m.alias("prev")),
+    )).alias("t")).select("t.*").filter(F.col("cur").isNotNull() | F.col("i").isNotNull())
+    paired = (tagged.groupBy("i")
+              .agg(F.max("k").alias("k"), F.max("cur").alias("cur"), F.max("prev").alias("prev"))
+              .filter(F.col("cur").isNotNull()))
     p = F.col(f"{prefix}_{measure}")
-    return out.drop("__idx").withColumns({
+    return paired.select(
+        *[F.col(f"k.{c}").alias(c) for c in keys],
+        F.col("cur").alias(measure), F.col("prev").alias(f"{prefix}_{measure}"),
+    ).withColumns({
         "change": F.col(measure) - p,
         "pct_change": F.round((F.col(measure) - p).cast("double") * 100.0 / F.when(p != 0, p.cast("double")), 2),
     })

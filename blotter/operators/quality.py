@@ -81,20 +81,19 @@ def unexpected_values(df: DataFrame, col: str, allowed: Sequence[str], max_rows:
 
 def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
                 max_rows: int = 500_000, label: str | None = None) -> DataFrame:
-    """Q5: one row: rows with a NULL key, and rows whose non-null key has no
-    parent. The child is reduced to (key, rows) before the anti join."""
+    """Q5: one row: rows with a NULL key, rows whose non-null key has no
+    parent, and how many such keys. The child is reduced to (key, rows) by a
+    partial aggregation, left-joined once with the distinct parent keys
+    (broadcast after a size check) and summed in the same pass."""
     keyed = child.groupBy(F.col(child_key).alias("__k")).agg(F.count(F.lit(1)).alias("__rows"))
-    parents = broadcast_if_small(parent.select(F.col(parent_key).alias("__k")).distinct(), max_rows, "parent keys")
-    orphans = keyed.filter(F.col("__k").isNotNull()).join(parents, "__k", "left_anti")
-    nulls = keyed.filter(F.col("__k").isNull())
-    out = (nulls.select(F.col("__rows").alias("null_rows"), F.lit(0).cast("bigint").alias("orphan_rows"),
-                        F.lit(0).cast("bigint").alias("orphan_keys"))
-           .unionByName(orphans.select(F.lit(0).cast("bigint").alias("null_rows"),
-                                       F.col("__rows").alias("orphan_rows"),
-                                       F.lit(1).cast("bigint").alias("orphan_keys"))))
-    res = out.agg(F.coalesce(F.sum("null_rows"), F.lit(0)).cast("bigint").alias("null_rows"),
-                  F.coalesce(F.sum("orphan_rows"), F.lit(0)).cast("bigint").alias("orphan_rows"),
-                  F.coalesce(F.sum("orphan_keys"), F.lit(0)).cast("bigint").alias("orphan_keys"))
+    parents = parent.select(F.col(parent_key).alias("__k")).distinct().withColumn("__found", F.lit(True))
+    parents = broadcast_if_small(parents, max_rows, "parent keys")
+    j = keyed.join(parents, "__k", "left")
+    orphan = F.col("__k").isNotNull() & F.col("__found").isNull()
+    res = j.agg(
+        F.coalesce(F.sum(F.when(F.col("__k").isNull(), F.col("__rows"))), F.lit(0)).cast("bigint").alias("null_rows"),
+        F.coalesce(F.sum(F.when(orphan, F.col("__rows"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
+        F.count_if(orphan).alias("orphan_keys"))
     if label is not None:
         res = res.select(F.lit(label).alias("foreign_key"), "*")
     return res

@@ -24,6 +24,7 @@ from blotter import config as C  # noqa: E402
 from blotter.operators import dims as D  # noqa: E402
 from blotter.operators import marts as M  # noqa: E402
 from blotter.operators import profile as R  # noqa: E402
+from blotter.operators import quality as Q  # noqa: E402
 from blotter.operators.fact import fact_incidents, star_join  # noqa: E402
 from blotter.operators.silver import silver  # noqa: E402
 from blotter.plans.execution import build_session, checkpoint_dir  # noqa: E402
@@ -68,6 +69,10 @@ def main() -> None:
          prof["key_stats"]),
         ("Profile grouped pass (R25 via profile_all): one GROUPING SETS aggregate", prof["top_profiles"]),
         ("Distinct profile (R4): stacked (column, value) pairs, two aggregations", prof["cardinality_profile"]),
+        ("Period change (B1/W1): one aggregation pass, periods paired by a second tiny grouping (no self-join)",
+         M.yearly_yoy(L.star(["date_occurred"], cfg))),
+        ("Orphan keys (Q5): child pre-aggregated by key, one left join to broadcast parent keys, one sum",
+         Q.orphan_keys(L.fact, L.dims["dim_location"], "location_key", "location_key")),
         ("Salted fallback join (dimension above the broadcast bound)", salted),
     ]
     out = ["# Physical plans of the headline operators",

@@ -56,3 +56,15 @@ def test_partitioned_fact_prunes_by_date(spark, scratch):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_occurred_key" in plan
     assert q.count() == L.silver.filter(F.to_date("date_occ") == F.lit("2021-01-05").cast("date")).count()
+
+
+def test_period_change_gaps_nulls_and_zero(spark):
+    df = spark.createDataFrame([(2020, 10), (2021, 0), (2022, 5), (2024, 8), (None, 3)],
+                               "year int, incidents bigint")
+    rows = {r.year: r for r in A.period_change(df, F.col("year"), "incidents").collect()}
+    assert len(rows) == 5
+    assert rows[2020].prev_incidents is None and rows[2020].pct_change is None
+    assert (rows[2021].prev_incidents, rows[2021].change, rows[2021].pct_change) == (10, -10, -100.0)
+    assert (rows[2022].prev_incidents, rows[2022].pct_change) == (0, None)      # no % change from 0
+    assert rows[2024].prev_incidents is None                                     # 2023 missing
+    assert rows[None].prev_incidents is None and rows[None].incidents == 3
