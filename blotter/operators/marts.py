@@ -137,6 +137,33 @@ def arrest_trend_area(star: DataFrame) -> DataFrame:
     return g.withColumn("arrest_rate_pct", X.pct(F.col("arrests"), F.col(N)))
 
 
+def calendar_usage(silver: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The date dimension with incidents occurred and reported per day.
+
+    One pass over silver: each row contributes (occurred date, 1, 0) and
+    (reported date, 0, 1); one grouping sums both roles; the dimension is
+    left-joined so days without incidents show 0.
+    """
+    one, zero = F.lit(1), F.lit(0)
+    roles = silver.select(F.explode(F.array(
+        F.struct(F.col("date_occ").cast("date").alias("full_date"), one.alias("o"), zero.alias("r")),
+        F.struct(F.col("date_rptd").cast("date").alias("full_date"), zero.alias("o"), one.alias("r")),
+    )).alias("x")).select("x.*")
+    per_day = roles.groupBy("full_date").agg(F.sum("o").alias("incidents_occurred"),
+                                             F.sum("r").alias("incidents_reported"))
+    out = dim_date.join(per_day, "full_date", "left")
+    return out.withColumns({
+        "incidents_occurred": F.coalesce("incidents_occurred", F.lit(0)).cast("bigint"),
+        "incidents_reported": F.coalesce("incidents_reported", F.lit(0)).cast("bigint"),
+    })
+
+
+def time_usage(silver: DataFrame, dim_time: DataFrame) -> DataFrame:
+    """The time dimension with incidents per minute of the day."""
+    per = silver.groupBy("time_occ").agg(F.count(F.lit(1)).alias("incidents"))
+    return dim_time.join(per, "time_occ", "left").withColumn("incidents", F.coalesce("incidents", F.lit(0)))
+
+
 def layer_counts(bronze: DataFrame, silver: DataFrame, fact: DataFrame) -> DataFrame:
     """Row counts of the bronze, silver and fact layers."""
     return union_counts({"Bronze": bronze, "Silver": silver, "Fact": fact}, "layer", "rows")

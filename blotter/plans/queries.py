@@ -125,17 +125,7 @@ def q_key_collisions(spark, sf_dir):
 # ---------------------------------------------------------------- D / G
 def _usage(spark, sf_dir, cfg: C.Config) -> DataFrame:
     """D1 with the number of incidents that occurred and were reported per day."""
-    silver = _silver(spark, sf_dir, cfg)
-    occ = silver.groupBy(F.col("date_occ").cast("date").alias("full_date")).agg(
-        F.count(F.lit(1)).alias("incidents_occurred"))
-    rpt = silver.groupBy(F.col("date_rptd").cast("date").alias("full_date")).agg(
-        F.count(F.lit(1)).alias("incidents_reported"))
-    dd = D.dim_date(spark, cfg)
-    out = dd.join(occ, "full_date", "left").join(rpt, "full_date", "left")
-    return out.withColumns({
-        "incidents_occurred": F.coalesce("incidents_occurred", F.lit(0)),
-        "incidents_reported": F.coalesce("incidents_reported", F.lit(0)),
-    })
+    return M.calendar_usage(_silver(spark, sf_dir, cfg), D.dim_date(spark, cfg))
 
 
 def q_dim_date(spark, sf_dir):
@@ -148,10 +138,7 @@ def q_fiscal_july(spark, sf_dir):
 
 def q_dim_time(spark, sf_dir):
     """D2 with the number of incidents per minute of the day."""
-    silver = _silver(spark, sf_dir)
-    per = silver.groupBy(F.col("time_occ")).agg(F.count(F.lit(1)).alias("incidents"))
-    dt = _drop_ts(D.dim_time(spark, CFG))
-    return dt.join(per, "time_occ", "left").withColumn("incidents", F.coalesce("incidents", F.lit(0)))
+    return M.time_usage(_silver(spark, sf_dir), _drop_ts(D.dim_time(spark, CFG)))
 
 
 def _dim(name: str, cfg: C.Config = CFG) -> Query:
