@@ -20,11 +20,13 @@ loss.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from .. import config as C
 from ..operators import dims as D
@@ -64,16 +66,53 @@ def silver_schema(spark: SparkSession, cfg: C.Config = C.DEFAULT,
     return _nullable(silver_op(_empty(spark, bronze_schema(spark, schema)), cfg).schema)
 
 
-def _await(q, report: RunReport, name: str) -> None:
+class _ProgressTotals(StreamingQueryListener):
+    """Sums input rows and observed gate metrics of every micro-batch, per
+    query id (``recentProgress`` only keeps the last few batches)."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.metrics: dict[str, dict[str, int]] = {}
+        self._done: dict[str, threading.Event] = {}
+
+    def done(self, qid: str) -> threading.Event:
+        return self._done.setdefault(qid, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        qid = str(p.id)
+        self.rows[qid] = self.rows.get(qid, 0) + int(p.numInputRows or 0)
+        row = (p.observedMetrics or {}).get(SILVER_METRICS)
+        if row is not None:
+            acc = self.metrics.setdefault(qid, {})
+            for k, v in row.asDict().items():
+                acc[k] = acc.get(k, 0) + int(v or 0)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        # Delivered after every progress event of the query.
+        self.done(str(event.id)).set()
+
+
+def _await(q, report: RunReport, name: str, totals: _ProgressTotals | None = None) -> None:
     q.awaitTermination()
-    rows = 0
-    for p in q.recentProgress:
-        rows += int(p.get("numInputRows", 0) if isinstance(p, dict) else p["numInputRows"])
-        metrics = (p.get("observedMetrics") if isinstance(p, dict) else None) or {}
-        for mname, row in metrics.items():
-            if mname == SILVER_METRICS:
-                for k, v in (row.asDict() if hasattr(row, "asDict") else dict(row)).items():
-                    report.quality[k] = report.quality.get(k, 0) + int(v or 0)
+    qid = str(q.id)
+    if totals is not None and totals.done(qid).wait(timeout=60) and qid in totals.rows:
+        rows, metrics = totals.rows[qid], totals.metrics.get(qid, {})
+    else:  # no listener: the recent progress reports (last batches only)
+        rows, metrics = 0, {}
+        for p in q.recentProgress:
+            rows += int(p["numInputRows"])
+            row = (p["observedMetrics"] or {}).get(SILVER_METRICS)
+            for k, v in (row.asDict() if row is not None else {}).items():
+                metrics[k] = metrics.get(k, 0) + int(v or 0)
+    for k, v in metrics.items():
+        report.quality[k] = report.quality.get(k, 0) + v
     report.rows[name] = report.rows.get(name, 0) + rows
 
 
@@ -160,11 +199,16 @@ def run_flows(spark: SparkSession, layout: Layout, source_dir: str, cfg: C.Confi
               schema: T.StructType = INCIDENT_SCHEMA, stateful_dims: bool = False) -> RunReport:
     """Run all flows once, in dependency order, on what is new."""
     report = RunReport()
-    _await(bronze_flow(spark, layout, source_dir, schema), report, BRONZE)
-    _await(silver_flow(spark, layout, cfg, schema), report, SILVER)
-    for name, q in dimension_flows(spark, layout, cfg, schema, stateful=stateful_dims):
-        _await(q, report, name)
-    _await(fact_flow(spark, layout, cfg, schema), report, FACT)
+    totals = _ProgressTotals()
+    spark.streams.addListener(totals)
+    try:
+        _await(bronze_flow(spark, layout, source_dir, schema), report, BRONZE, totals)
+        _await(silver_flow(spark, layout, cfg, schema), report, SILVER, totals)
+        for name, q in dimension_flows(spark, layout, cfg, schema, stateful=stateful_dims):
+            _await(q, report, name, totals)
+        _await(fact_flow(spark, layout, cfg, schema), report, FACT, totals)
+    finally:
+        spark.streams.removeListener(totals)
     return report
 
 

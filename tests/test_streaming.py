@@ -80,3 +80,21 @@ def test_dimension_merge_is_idempotent_on_retry(spark, scratch):
     merge(batch, 0)                                    # replay of the same batch
     merge(batch.limit(100), 1)                         # a later batch with known members only
     assert read_table(spark, path).count() == first == D.dim_victim(batch).count()
+
+
+def test_run_report_counts_every_micro_batch(spark, scratch):
+    """Totals come from a listener, so they cover every micro-batch."""
+    src = f"{scratch}/in"
+    incidents(spark, SF001).repartition(6).write.option("header", True).csv(src)
+    layout = Layout(f"{scratch}/tables", checkpoints=f"{scratch}/checkpoints")
+    report = flows.RunReport()
+    totals = flows._ProgressTotals()
+    spark.streams.addListener(totals)
+    try:
+        q = flows.bronze_flow(spark, layout, src, max_files_per_trigger=1)
+        flows._await(q, report, flows.BRONZE, totals)
+        assert totals.done(str(q.id)).is_set()
+        assert len(q.recentProgress) >= 6
+    finally:
+        spark.streams.removeListener(totals)
+    assert report.rows[flows.BRONZE] == 1500
