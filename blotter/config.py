@@ -228,8 +228,10 @@ class Config:
     salt_buckets: int = 16
     # Grid step in degrees for the density mart.
     grid_step: float = 0.05
-    # Exact (count_distinct) or approximate (HLL++) cardinality profile.
+    # Exact (count_distinct) or approximate (HLL++) cardinality profile, for
+    # all columns or only the listed ones (e.g. identifiers such as dr_no).
     approx_distinct: bool = False
+    approx_distinct_columns: tuple[str, ...] = ()
     # Exact (percentile) or approximate (percentile_approx) quantiles.
     approx_percentile: bool = False
     # Extra opt-in columns.

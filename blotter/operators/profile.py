@@ -622,23 +622,38 @@ def _distinct_text(col: Column, dtype: T.DataType) -> Column:
     return col.cast("string")
 
 
-def _distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
+def _distinct_counts(df: DataFrame, approx: bool = False, approx_columns: Sequence[str] = ()) -> DataFrame:
     """Per column: distinct values counting NULL as a value, distinct
-    non-null values, and the row count (one pass over ``df``)."""
-    if approx:
-        cols = df.columns
+    non-null values, and the row count (one pass over ``df`` per mode).
+
+    Exact columns go through the stacked (column, value) pass; columns in
+    ``approx_columns`` (or all, with ``approx``) use HyperLogLog++ sketches,
+    which never shuffle the values themselves - the right choice for
+    identifier-like columns whose exact distinct count would move the whole
+    column across the network.
+    """
+    fields = df.schema.fields
+    sketched = [f.name for f in fields if approx or f.name in set(approx_columns)]
+    exact = [f for f in fields if f.name not in set(sketched)]
+    parts = []
+    if sketched:
         one = df.agg(_n().alias("__n"),
-                     *[distinct_with_null(f"`{c}`", True).alias(f"d__{c}") for c in cols],
-                     *[F.approx_count_distinct(_q(c)).alias(f"nn__{c}") for c in cols])
-        return _rows(one, [{"column_name": F.lit(c), "distinct_count": _q(f"d__{c}"),
-                            "distinct_non_null": _q(f"nn__{c}"), "__n": F.col("__n")} for c in cols])
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(f.name).alias("column_name"), _distinct_text(_q(f.name), f.dataType).alias("v"))
-        for f in df.schema.fields]))
-    per_value = (df.select(pairs.alias("p")).select("p.column_name", "p.v")
-                 .groupBy("column_name", "v").agg(_n().alias("rows")))
-    return per_value.groupBy("column_name").agg(
-        _n().alias("distinct_count"), F.count("v").alias("distinct_non_null"), F.sum("rows").alias("__n"))
+                     *[distinct_with_null(f"`{c}`", True).alias(f"d__{c}") for c in sketched],
+                     *[F.approx_count_distinct(_q(c)).alias(f"nn__{c}") for c in sketched])
+        parts.append(_rows(one, [{"column_name": F.lit(c), "distinct_count": _q(f"d__{c}"),
+                                  "distinct_non_null": _q(f"nn__{c}"), "__n": F.col("__n")} for c in sketched]))
+    if exact:
+        pairs = F.explode(F.array(*[
+            F.struct(F.lit(f.name).alias("column_name"), _distinct_text(_q(f.name), f.dataType).alias("v"))
+            for f in exact]))
+        per_value = (df.select(pairs.alias("p")).select("p.column_name", "p.v")
+                     .groupBy("column_name", "v").agg(_n().alias("rows")))
+        parts.append(per_value.groupBy("column_name").agg(
+            _n().alias("distinct_count"), F.count("v").alias("distinct_non_null"), F.sum("rows").alias("__n")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _cardinality_report(per_column: DataFrame) -> DataFrame:
@@ -648,7 +663,7 @@ def _cardinality_report(per_column: DataFrame) -> DataFrame:
         F.round(raw, 2).alias("cardinality_ratio_pct"), _cardinality_class(raw).alias("category"))
 
 
-def cardinality_profile(df: DataFrame, approx: bool = False) -> DataFrame:
+def cardinality_profile(df: DataFrame, approx: bool = False, approx_columns: Sequence[str] = ()) -> DataFrame:
     """Distinct values per column (NULL counted as a value), ratio to the
     row count and a cardinality class.
 
@@ -658,9 +673,9 @@ def cardinality_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     One scan, narrow shuffle keys, and the row count comes from the same
     pass. (A multi-``count_distinct`` aggregate would instead expand every
     row once per column with all columns as grouping keys.) Approx mode uses
-    HyperLogLog++ sketches.
+    HyperLogLog++ sketches, for all columns or only ``approx_columns``.
     """
-    return _cardinality_report(_distinct_counts(df, approx))
+    return _cardinality_report(_distinct_counts(df, approx, approx_columns))
 
 
 # ================================================================ fused profile
@@ -684,7 +699,7 @@ def profile_all(df: DataFrame, cfg: C.Config = C.DEFAULT, approx_distinct: bool
     """
     specs = {name: fn(df, cfg) for name, fn in SCALAR_SPECS.items()}
     approx = cfg.approx_distinct if approx_distinct is None else approx_distinct
-    per_column = _distinct_counts(df, approx)
+    per_column = _distinct_counts(df, approx, cfg.approx_distinct_columns)
     if persist:
         per_column = per_column.persist()
     out = {"cardinality_profile": _cardinality_report(per_column)}

@@ -94,8 +94,15 @@ def test_approx_distinct_close_to_exact(layers):
     raw = layers.bronze.drop("ingestion_datetime", "source_filename", "created_by")
     exact = {r.column_name: r.distinct_count for r in R.cardinality_profile(raw).collect()}
     approx = {r.column_name: r.distinct_count for r in R.cardinality_profile(raw, approx=True).collect()}
+    mixed = {r.column_name: r.distinct_count
+             for r in R.cardinality_profile(raw, approx_columns=["dr_no", "mocodes"]).collect()}
+    assert set(mixed) == set(exact)
     for c, n in exact.items():
         assert abs(approx[c] - n) <= max(2, 0.1 * n), c
+        if c not in ("dr_no", "mocodes"):
+            assert mixed[c] == n, c
+        else:
+            assert abs(mixed[c] - n) <= max(2, 0.1 * n), c
 
 
 def _plan(df) -> str:
