@@ -83,9 +83,11 @@ def main() -> None:
     total = round(time.perf_counter() - t0, 3)
 
     rows = layers.fact.count()
+    rows_in = int(layers.quality.get("rows_in", 0)) if layers.quality else None
     print(json.dumps({
         "metric": "pipeline_sec", "value": total, "unit": "sec", "queries": queries, "sf": sf,
-        "fact_rows": rows, "cpus": cpus,
+        "input_rows": rows_in, "fact_rows": rows, "cpus": cpus,
+        "rows_per_sec": {k: round(rows_in / queries[k]) for k in ("bronze", "silver", "fact") if rows_in},
     }))
     spark.stop()
 
