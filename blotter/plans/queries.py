@@ -226,6 +226,9 @@ def registry() -> dict[str, Query]:
         "null_profile": _profile(R.null_profile),
         "null_profile_orders": _profile_table(R.null_profile, "orders"),
         "completeness": _profile(R.completeness),
+        "completeness_orders": _profile_table(R.completeness, "orders"),
+        "null_profile_events": _profile_table(R.null_profile, "events"),
+        "cardinality_profile_orders": _profile_table(R.cardinality_profile, "orders"),
         "cardinality_profile": _profile(R.cardinality_profile),
         "cardinality_profile_events": _profile_table(R.cardinality_profile, "events"),
         "date_range": _profile(R.date_range),

@@ -264,6 +264,16 @@ def cardinality(src: str, cols: list[str]) -> str:
 FROM {_unpivot_counts(sel, cols, 'column_name', 'distinct_count', src)}"""
 
 
+def completeness_sql(src: str, cols: list[str]) -> str:
+    nulls = " + ".join(f'count(*) FILTER (WHERE "{c}" IS NULL)' for c in cols)
+    n = len(cols)
+    raw = f"CAST(total_rows * {n} - null_cells AS DOUBLE) * 100.0 / (total_rows * {n})"
+    return f"""SELECT total_rows, {n} AS total_columns, total_rows * {n} AS total_cells, null_cells,
+  total_rows * {n} - null_cells AS non_null_cells, round({raw}, 2) AS completeness_pct,
+  {_class(raw, C.COMPLETENESS_GRADES, C.COMPLETENESS_GRADE_LAST, '>=')} AS grade
+FROM (SELECT count(*) AS total_rows, {nulls} AS null_cells FROM {src})"""
+
+
 ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 EVENTS_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
@@ -376,15 +386,12 @@ LEFT JOIN (SELECT time_occ, count(*) AS incidents FROM silver GROUP BY time_occ)
     # R2-R28
     q["null_profile"] = W(null_profile("incidents", SOURCE_COLUMNS))
     q["null_profile_orders"] = null_profile("orders", ORDERS_COLS)
-    nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in SOURCE_COLUMNS)
-    n_cols = len(SOURCE_COLUMNS)
-    raw = f"CAST(total_rows * {n_cols} - null_cells AS DOUBLE) * 100.0 / (total_rows * {n_cols})"
-    q["completeness"] = W(f"""SELECT total_rows, {n_cols} AS total_columns, total_rows * {n_cols} AS total_cells, null_cells,
-  total_rows * {n_cols} - null_cells AS non_null_cells, round({raw}, 2) AS completeness_pct,
-  {_class(raw, C.COMPLETENESS_GRADES, C.COMPLETENESS_GRADE_LAST, '>=')} AS grade
-FROM (SELECT count(*) AS total_rows, {nulls} AS null_cells FROM incidents)""")
+    q["completeness"] = W(completeness_sql("incidents", SOURCE_COLUMNS))
+    q["completeness_orders"] = completeness_sql("orders", ORDERS_COLS)
+    q["null_profile_events"] = null_profile("events", EVENTS_COLS)
     q["cardinality_profile"] = W(cardinality("incidents", SOURCE_COLUMNS))
     q["cardinality_profile_events"] = cardinality("events", EVENTS_COLS)
+    q["cardinality_profile_orders"] = cardinality("orders", ORDERS_COLS)
     q["date_range"] = W(" UNION ALL ".join(
         f"SELECT {_q(c)} AS column_name, min({c}) AS min_date, max({c}) AS max_date, count({c}) AS non_null_count FROM incidents"
         for c in ["date_occ", "date_rptd"]))
