@@ -172,3 +172,25 @@ def test_marts_all_covers_every_mart(spark, tables):
     out = M.marts_all(lambda roles: tables.star(roles, C.DEFAULT))
     assert set(out) == set(M.MARTS)
     assert out["arrest_rate"].first().incidents == tables.fact.count()
+
+
+def test_dimension_dedup_hash_aggregates_every_input_row(spark, tables):
+    """The per-row aggregate of a dimension is a hash aggregate; the sort-based
+    payload choice only sees the distinct (key, payload) pairs."""
+    d = D.dim_victim(tables.silver)
+    d.collect()
+    plan = _plan(d)
+    scan = plan.rfind("FileScan parquet")
+    nearest = next(ln for ln in reversed(plan[:scan].splitlines()) if "Aggregate" in ln)
+    assert "HashAggregate" in nearest and "SortAggregate" not in nearest, plan
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_period_change_scans_the_fact_once(spark, tables):
+    from blotter.operators import marts as M
+    y = M.yearly_yoy(tables.star(["date_occurred"]))
+    y.collect()
+    plan = _plan(y)
+    fact_scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "fact_crime_incidents" in ln]
+    assert len(fact_scans) == 1, plan
+    assert "SortMergeJoin" not in plan
