@@ -8,6 +8,7 @@ out of the outputs so results are comparable across runs and engines.
 from __future__ import annotations
 
 import uuid
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,18 @@ def _drop_ts(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c in _TS_COLS])
 
 
+# Built layers per session and (sf_dir, config): silver and the dimensions are
+# checkpointed in the session's shared folder, so later star queries reuse
+# them instead of recomputing from the raw tables. A new session rebuilds.
+_LAYERS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def _layers(spark: SparkSession, sf_dir: str, cfg: C.Config = CFG) -> Layers:
-    return build_layers(spark, bronze_from_fixture(spark, sf_dir), cfg)
+    per_session = _LAYERS.setdefault(spark, {})
+    key = (sf_dir.rstrip("/"), repr(cfg))
+    if key not in per_session:
+        per_session[key] = build_layers(spark, bronze_from_fixture(spark, sf_dir), cfg)
+    return per_session[key]
 
 
 def _silver(spark: SparkSession, sf_dir: str, cfg: C.Config = CFG) -> DataFrame:
