@@ -65,6 +65,13 @@ def test_stream_matches_batch(spark, scratch, stateful):
     dropped = r1.quality["rows_dropped"] + r2.quality["rows_dropped"]
     assert dropped == 1500 - 1446
 
+    # A run with no new files reads nothing and changes no table (exactly once).
+    r3 = flows.run_flows(spark, layout, src, stateful_dims=stateful)
+    assert sum(r3.rows.values()) == 0
+    assert read_table(spark, layout.path(flows.FACT)).count() == 1446
+    assert read_table(spark, layout.path("dim_victim_demographics")).count() == \
+        L.dims["dim_victim_demographics"].count()
+
 
 def test_dimension_merge_is_idempotent_on_retry(spark, scratch):
     """A micro-batch replayed after a failure inserts no member twice."""
