@@ -704,13 +704,15 @@ def profile_all(df: DataFrame, cfg: C.Config = C.DEFAULT, approx_distinct: bool
         per_column = per_column.persist()
     out = {"cardinality_profile": _cardinality_report(per_column)}
 
-    aggs: dict[str, Column] = {}
+    all_aggs = [a for spec_aggs, _, _ in specs.values() for a in spec_aggs]
     distincts: dict[str, str] = {}
-    for spec_aggs, spec_distincts, _ in specs.values():
-        # Output names come from the analyzed schema (no job runs).
-        for name, a in zip(df.agg(*spec_aggs).columns, spec_aggs):
-            aggs.setdefault(name, a)
+    for _, spec_distincts, _ in specs.values():
         distincts.update(spec_distincts)
+    # Output names come from one analysis of all aggregates (no job runs);
+    # the same name always denotes the same expression, so keep the first.
+    aggs: dict[str, Column] = {}
+    for name, a in zip(df.agg(*all_aggs).columns, all_aggs):
+        aggs.setdefault(name, a)
     one = df.agg(*aggs.values())
     # Distinct counts come from the stacked pass (scalar subqueries), so the
     # scalar aggregate needs no distinct-aggregate expansion.
