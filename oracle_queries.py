@@ -264,6 +264,28 @@ def cardinality(src: str, cols: list[str]) -> str:
 FROM {_unpivot_counts(sel, cols, 'column_name', 'distinct_count', src)}"""
 
 
+# DuckDB type name -> Spark simple type name, for the columns of the views.
+SPARK_TYPE_NAMES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
+                    "TIMESTAMP": "timestamp_ntz", "DATE": "date", "BOOLEAN": "boolean"}
+
+
+def schema_profile_sql(src: str, cols: list[str]) -> str:
+    """Column order, Spark type name (from DuckDB's own typeof), nullable
+    (every column of a Parquet-derived view is) and non-null count."""
+    counts = ", ".join(f'count("{c}") AS "{c}"' for c in cols)
+    types = ", ".join(f'typeof("{c}") AS "{c}"' for c in cols)
+    on = ", ".join(f'"{c}"' for c in cols)
+    order = ", ".join(f"({i + 1}, {_q(c)})" for i, c in enumerate(cols))
+    mapping = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in SPARK_TYPE_NAMES.items())
+    return f"""SELECT o.ordinal, o.column_name, CASE t.duck_type {mapping} END AS data_type, true AS nullable,
+  n.non_null_count
+FROM (VALUES {order}) o(ordinal, column_name)
+JOIN (UNPIVOT (SELECT {counts} FROM {src}) ON {on} INTO NAME column_name VALUE non_null_count) n
+  ON o.column_name = n.column_name
+JOIN (UNPIVOT (SELECT {types} FROM {src} LIMIT 1) ON {on} INTO NAME column_name VALUE duck_type) t
+  ON o.column_name = t.column_name"""
+
+
 def completeness_sql(src: str, cols: list[str]) -> str:
     nulls = " + ".join(f'count(*) FILTER (WHERE "{c}" IS NULL)' for c in cols)
     n = len(cols)
@@ -384,6 +406,7 @@ LEFT JOIN (SELECT time_occ, count(*) AS incidents FROM silver GROUP BY time_occ)
   SELECT count(*) AS __n, {', '.join(f'count(*) FILTER (WHERE {fk} IS NULL) AS {fk}' for fk, _, _ in FK_ROLES)} FROM fact)
   ON {', '.join(fk for fk, _, _ in FK_ROLES)} INTO NAME foreign_key VALUE null_rows)""")
     # R2-R28
+    q["schema_profile"] = W(schema_profile_sql("incidents", SOURCE_COLUMNS))
     q["null_profile"] = W(null_profile("incidents", SOURCE_COLUMNS))
     q["null_profile_orders"] = null_profile("orders", ORDERS_COLS)
     q["completeness"] = W(completeness_sql("incidents", SOURCE_COLUMNS))
