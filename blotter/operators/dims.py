@@ -246,30 +246,33 @@ DIM_COLUMNS = {
 }
 
 
+def _member_columns() -> list[str]:
+    cols: list[str] = []
+    for k, p in DIM_COLUMNS.values():
+        cols += [c for c in [*k, *p] if c not in cols]
+    return cols
+
+
 def dimension_members(silver: DataFrame) -> DataFrame:
-    """Members of all six data dimensions from one pass over silver.
+    """Distinct (key, payload) pairs of all six data dimensions from one pass.
 
-    One ``GROUPING SETS`` aggregate with a grouping set per dimension: each
-    row is expanded once per set and pre-aggregated per task (hot keys
-    collapse before the shuffle); the surviving payload of each member is the
-    smallest one, as in ``dedup``. ``__gid`` tells the sets apart.
+    One ``GROUPING SETS`` aggregate with a set (natural key + payload) per
+    dimension and no aggregate buffers, so it is a pure hash aggregate whose
+    per-task partial collapses hot keys before the shuffle. ``__gid`` tells
+    the sets apart; each dimension then picks its payload from these few rows.
     """
-    keys: list[str] = []
-    for k, _ in DIM_COLUMNS.values():
-        keys += [c for c in k if c not in keys]
-    payloads = [F.min(F.struct(*p)).alias(f"__p_{name}") for name, (_, p) in DIM_COLUMNS.items()]
-    return (silver.groupingSets([[F.col(c) for c in k] for k, _ in DIM_COLUMNS.values()], *[F.col(c) for c in keys])
-            .agg(*payloads, F.grouping_id().alias("__gid")))
+    cols = _member_columns()
+    return (silver.groupingSets([[F.col(c) for c in [*k, *p]] for k, p in DIM_COLUMNS.values()],
+                                *[F.col(c) for c in cols])
+            .agg(F.grouping_id().alias("__gid")))
 
 
 def _members_of(members: DataFrame, name: str) -> DataFrame:
-    keys: list[str] = []
-    for k, _ in DIM_COLUMNS.values():
-        keys += [c for c in k if c not in keys]
+    cols = _member_columns()
     k, payload = DIM_COLUMNS[name]
-    gid = sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in k)
-    return members.filter(F.col("__gid") == gid).select(
-        *k, *[F.col(f"__p_{name}.{p}").alias(p) for p in payload])
+    present = [*k, *payload]
+    gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in present)
+    return members.filter(F.col("__gid") == gid).select(*present)
 
 
 def build_dims(spark: SparkSession, silver: DataFrame, cfg: C.Config = C.DEFAULT,
@@ -280,8 +283,9 @@ def build_dims(spark: SparkSession, silver: DataFrame, cfg: C.Config = C.DEFAULT
     ``dimension_members`` pass instead of one aggregation of silver each
     (batch silver only; the builders then run on the small member frames, so
     the results are identical). It saves jobs on small inputs; on large ones
-    the separate aggregations are cheaper, because they read disjoint
-    columns and each evaluates only its own payload aggregate.
+    the separate aggregations are cheaper: they read disjoint columns anyway,
+    and they do not expand every row six times with the wider keys of all
+    dimensions.
     """
     out = {"dim_date": dim_date(spark, cfg), "dim_time": dim_time(spark, cfg, ts)}
     members = dimension_members(silver).persist() if fused and not silver.isStreaming else None

@@ -78,9 +78,9 @@ def run_batch(spark: SparkSession, layout: Layout, bronze: DataFrame, cfg: C.Con
                                        layout.path("lacrime_incidents_silver")))
     s = read_table(spark, layout.path("lacrime_incidents_silver"))
     # One pruned aggregation of silver per dimension: the dimensions read
-    # disjoint columns, so separate scans decode nothing twice, and each
-    # evaluates only its own payload aggregate (fused=True trades that for
-    # fewer jobs, which only pays off on small inputs).
+    # disjoint columns, so separate scans decode nothing twice and no row is
+    # expanded per dimension (fused=True trades that for fewer jobs, which
+    # only pays off on small inputs).
     built = D.build_dims(spark, s, cfg, ts)
     for name, df in built.items():
         step(name, lambda df=df, name=name: materialize(df, layout.path(name)))
