@@ -71,9 +71,11 @@ def main() -> None:
     # Profiling: every report of R1-R28 from three passes over bronze.
     raw = layers.bronze.drop("ingestion_datetime", "source_filename", "created_by")
     t_prof = time.perf_counter()
-    for name, rep in R.profile_all(raw, CFG).items():
+    reports = R.profile_all(raw, CFG)
+    for name, rep in reports.items():
         queries[f"profile.{name}"] = _timed(lambda rep=rep: rep.collect())
     queries["profile_all"] = round(time.perf_counter() - t_prof, 3)
+    reports.release()
 
     # Dashboards: the 18 marts, each over the star roles it needs.
     t_marts = time.perf_counter()

@@ -684,8 +684,22 @@ def _grouping_id(cols: list[str], present: list[str]) -> int:
     return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in present)
 
 
+class ProfileReports(dict):
+    """Report name -> DataFrame, plus ``release()`` to unpersist the shared
+    intermediate results once the reports have been used."""
+
+    def __init__(self, *args, cached: list[DataFrame] | None = None, **kw):
+        super().__init__(*args, **kw)
+        self.cached = cached if cached is not None else []
+
+    def release(self) -> None:
+        for df in self.cached:
+            df.unpersist()
+        self.cached = []
+
+
 def profile_all(df: DataFrame, cfg: C.Config = C.DEFAULT, approx_distinct: bool | None = None,
-                persist: bool = True) -> dict[str, DataFrame]:
+                persist: bool = True) -> ProfileReports:
     """Every report of R1-R28 from three passes over ``df``.
 
     * one aggregate with the counters of all scalar reports (identical
@@ -694,15 +708,18 @@ def profile_all(df: DataFrame, cfg: C.Config = C.DEFAULT, approx_distinct: bool
       row is expanded once per grouping set and pre-aggregated per task);
     * the stacked distinct-count pass of R4.
 
-    The two small results are persisted so every report projects from them
-    instead of rescanning ``df``. Reports are returned lazily.
+    The small intermediate results are persisted so every report projects
+    from them instead of rescanning ``df``; ``release()`` on the returned
+    mapping unpersists them. Reports are returned lazily.
     """
     specs = {name: fn(df, cfg) for name, fn in SCALAR_SPECS.items()}
     approx = cfg.approx_distinct if approx_distinct is None else approx_distinct
     per_column = _distinct_counts(df, approx, cfg.approx_distinct_columns)
+    cached: list[DataFrame] = []
     if persist:
         per_column = per_column.persist()
-    out = {"cardinality_profile": _cardinality_report(per_column)}
+        cached.append(per_column)
+    out = ProfileReports({"cardinality_profile": _cardinality_report(per_column)}, cached=cached)
 
     all_aggs = [a for spec_aggs, _, _ in specs.values() for a in spec_aggs]
     distincts: dict[str, str] = {}
@@ -721,6 +738,7 @@ def profile_all(df: DataFrame, cfg: C.Config = C.DEFAULT, approx_distinct: bool
         for n, c in distincts.items()])
     if persist:
         one = one.persist()
+        cached.append(one)
     out.update({name: shape(one) for name, (_, _, shape) in specs.items()})
 
     keys = _group_keys()
@@ -731,6 +749,7 @@ def profile_all(df: DataFrame, cfg: C.Config = C.DEFAULT, approx_distinct: bool
                .agg(_n().alias(CNT), F.grouping_id().alias("__gid")))
     if persist:
         grouped = grouped.persist()
+        cached.append(grouped)
     for report, (grouping, shape) in GROUPED_REPORTS.items():
         present = GROUPINGS[grouping]
         counts = grouped.filter(F.col("__gid") == _grouping_id(cols, present)).select(*present, CNT)

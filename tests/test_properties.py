@@ -88,6 +88,9 @@ def test_profile_all_equals_single_reports(spark, layers):
     for name, df in single.items():
         assert Counter(map(tuple, df.collect())) == Counter(map(tuple, fused[name].collect())), name
     assert set(fused) >= set(R.SCALAR_SPECS) | set(R.GROUPED_REPORTS) | {"cardinality_profile"}
+    assert len(fused.cached) == 3
+    fused.release()
+    assert fused.cached == []
 
 
 def test_approx_distinct_close_to_exact(layers):
