@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import licenses, mixing, nearcopies, packing, quality, secrets, urls, warc
+from . import licenses, mixing, nearcopies, neighbours, packing, quality, secrets, urls, warc
 
 QUERIES = {
     "op1_warc_index": warc.op1_warc_index,
     "op2_license_scan": licenses.op2_license_scan,
+    "op3_embedding_join": neighbours.op3_embedding_join,
     "op4_url_rules": urls.op4_url_rules,
     "op5_source_mixing": mixing.op5_source_mixing,
     "op7_length_packing": packing.op7_length_packing,
@@ -17,6 +18,7 @@ QUERIES = {
 ORACLES = {
     "op1_warc_index": warc.ORACLE_SQL,
     "op2_license_scan": licenses.ORACLE_SQL,
+    "op3_embedding_join": neighbours.ORACLE_SQL,
     "op5_source_mixing": mixing.ORACLE_SQL,
     "op9_secret_scan": secrets.ORACLE_SQL,
 }
