@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, mixing, nearcopies, neighbours, packing, quality, secrets, urls, warc
+from . import licenses, mixing, nearcopies, neighbours, packing, quality, repeats, secrets, urls, warc
 
 QUERIES = {
     "op1_warc_index": warc.op1_warc_index,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_embedding_join": neighbours.op3_embedding_join,
     "op4_url_rules": urls.op4_url_rules,
     "op5_source_mixing": mixing.op5_source_mixing,
+    "op6_suffix_dedup": repeats.op6_suffix_dedup,
     "op7_length_packing": packing.op7_length_packing,
     "op8_quality_trees": quality.op8_quality_trees,
     "op9_secret_scan": secrets.op9_secret_scan,
@@ -20,5 +21,6 @@ ORACLES = {
     "op2_license_scan": licenses.ORACLE_SQL,
     "op3_embedding_join": neighbours.ORACLE_SQL,
     "op5_source_mixing": mixing.ORACLE_SQL,
+    "op6_suffix_dedup": repeats.ORACLE_SQL,
     "op9_secret_scan": secrets.ORACLE_SQL,
 }
