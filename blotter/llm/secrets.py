@@ -72,6 +72,8 @@ def _join(op: str, parts) -> object:
         flat |= p[1] if isinstance(p, tuple) and p[0] == op else {p}
     if not flat:
         return True
+    # A part that another one implies (or, in an "and", is implied by) says nothing.
+    flat = {p for p in flat if not (isinstance(p, tuple) and p[0] != op and p[1] & flat)}
     return next(iter(flat)) if len(flat) == 1 else (op, frozenset(flat))
 
 
