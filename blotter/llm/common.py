@@ -44,6 +44,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` as column ``_row`` beside the columns an operator needs, so that its
+    other columns may have any name; ``unpacked`` gives it back."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    return df.select(row, *[F.col(c) for c in cols])
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("_row.*")
+
+
 def small_text_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches by which whole texts reach Python workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))

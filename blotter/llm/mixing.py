@@ -13,7 +13,8 @@ explicit table (category, target). The expected number of tokens kept is
 Defined cases: null source or language is a category of its own; a null text
 has no token and topic ``prose``; a document without tokens gets its cell's
 probability; without any token nothing is dropped; rows that repeat an id are
-decided alike; a null id is decided by its text.
+decided alike; a null id is decided by its text. ``sample`` passes all columns
+through, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import salted_lookup, stored, table
+from .common import packed, salted_lookup, stored, table, unpacked
 
 DIMENSIONS = ("source", "lang", "topic")
 ALPHA = 0.7
@@ -101,8 +102,9 @@ def probabilities(cells: DataFrame, keep: float = KEEP, cuts: int = CUTS) -> Dat
 
 def mix(docs: DataFrame, alpha: float = ALPHA, keep: float = KEEP, sweeps: int = SWEEPS,
         targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """``docs`` with ``_tokens``, ``_topic``, ``_p`` and ``_kept`` for every row."""
-    rows = docs.withColumn("_tokens", n_tokens(F.col("text"))).withColumn("_topic", topic(F.col("text")))
+    """``docs`` with ``_tokens``, ``_topic``, ``_p`` and ``_kept`` for every row
+    (in place of columns of these names)."""
+    rows = docs.drop("_p", "_kept", "_source", "_lang", "_t").withColumn("_tokens", n_tokens(F.col("text"))).withColumn("_topic", topic(F.col("text")))
     cells = stored(rows.groupBy("source", "lang", F.col("_topic").alias("topic"))
                    .agg(F.sum("_tokens").alias("n")), "mix-cells")
     want = targets or {d: stored(tempered(cells, d, alpha), f"mix-{d}") for d in DIMENSIONS}
@@ -124,7 +126,7 @@ def mix(docs: DataFrame, alpha: float = ALPHA, keep: float = KEEP, sweeps: int =
 
 def sample(docs: DataFrame, **how) -> DataFrame:
     """The kept rows of ``docs`` with their own columns."""
-    return mix(docs, **how).filter("_kept").select(*docs.columns)
+    return unpacked(mix(packed(docs, "doc_id", "text", "source", "lang"), **how).filter("_kept"))
 
 
 def op5_source_mixing(spark, sf_dir):

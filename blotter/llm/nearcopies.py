@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, salted_lookup, small_text_batches, stored, table
+from .common import components, packed, salted_lookup, small_text_batches, stored, table, unpacked
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -273,7 +273,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its class, and those without id."""
     gone = stored(classes(docs, similarity).filter("class_id <> doc_id").select(F.col("doc_id").alias("_gone")),
                   "copies-gone")
-    return (docs.join(gone.hint("shuffle_merge"), F.col("doc_id") == F.col("_gone"), "left_anti"))
+    return unpacked(packed(docs, "doc_id").join(gone.hint("shuffle_merge"), F.col("doc_id") == F.col("_gone"), "left_anti"))
 
 
 def op10_order_minhash(spark, sf_dir):

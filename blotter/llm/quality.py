@@ -10,8 +10,8 @@ below ``LEAST_QUALITY``.
 
 Defined cases: a null text has no word and fails the base rule; without labels
 of both classes only the base rule decides; labels that repeat an id count by
-their lowest quality; null labels are left out; other columns pass through
-unless named ``_q``, ``n_words`` and so on.
+their lowest quality; null labels are left out; ``filter_quality`` passes all
+columns through, whatever their names (``judge`` replaces one named ``_q``).
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_text_batches, table
+from .common import packed, small_text_batches, table, unpacked
 from .trees import Forest, fit
 
 #: Bound of the labelled sample that is collected for training.
@@ -124,7 +124,7 @@ def judge(docs: DataFrame, forest: Forest | None, least: float = LEAST_QUALITY)
 def filter_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The kept rows of ``docs`` with their own columns."""
     small_text_batches(docs.sparkSession)
-    return judge(docs, train(docs, labels)).filter("_q.kept").drop("_q")
+    return unpacked(judge(packed(docs, "text"), train(docs, labels)).filter("_q.kept"))
 
 
 def op8_quality_trees(spark, sf_dir):

@@ -9,8 +9,8 @@ Matching uses DataFrame functions only.
 
 Defined cases: a null text is empty; rows that repeat a document id share its
 candidate set (a superset for each) and are verified one by one; a null id is
-matched null-safely; other columns of the input pass through ``scan`` and may
-have any name but ``spans``, ``_s`` and ``_c``.
+matched null-safely; ``redact`` passes all columns through, whatever their
+names (``scan`` replaces one named ``spans``).
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from re import _parser as P
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_text_batches, stored, table
+from .common import packed, small_text_batches, stored, table
 
 
 @dataclass(frozen=True)
@@ -214,7 +214,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span replaced by ``mark`` (overlapping spans by one);
-    ``n_chars`` follows. Texts without a span, null ones too, stay as they are."""
+    ``n_chars``, if there, follows. Texts without a span, null ones too, stay."""
     text = F.col("text")
 
     def step(acc, s):
@@ -227,10 +227,10 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     clean = F.aggregate("spans", start, step,
                         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     hit = F.size("spans") > 0
-    rows = scan(docs, rules).withColumn("_s", F.when(hit, clean).otherwise(text))
-    return rows.select(*[F.col("_s").alias("text") if c == "text" else
-                         F.when(hit, F.length("_s").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars"
-                         else F.col(c) for c in docs.columns])
+    new = {"text": F.col("_s"), "n_chars": F.length("_s").cast("long")}
+    rows = scan(packed(docs, "doc_id", "text"), rules).withColumn("_s", F.when(hit, clean))
+    return rows.select(*[(F.when(hit, new[c]).otherwise(F.col(f"_row.`{c}`")) if c in new else F.col(f"_row.`{c}`")).alias(c)
+                         for c in docs.columns])
 
 
 def _listed(spans: Column, rules: tuple[Rule, ...]) -> Column:
