@@ -11,9 +11,10 @@ aligned of a and b shingles. The band is as wide as that bound allows.
 Documents with the same words are one class from the start and only their
 smallest id is sketched further. Not every pair of a bucket is compared: each
 member is compared with the bucket's most connected one, then only members
-that are still in different components are, so every pair that shares a sketch
-is compared or known to be connected. At similarity 0.8 a pair shares no
-sketch with probability 0.0002, less above.
+that are still in different components are, as far as the shingles that no
+other such member has leave enough to agree in. So every pair that shares a
+sketch is compared, known to be connected, or known not to link. At similarity
+0.8 a pair shares no sketch with probability 0.0002, less above.
 
 Defined cases: null, empty and wordless texts are classes of their own; texts
 below ``SHINGLE`` words are copies only if their words are equal; rows that
@@ -181,23 +182,22 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def sequences(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(rep, h): shingle hashes, 4 bytes each, of the documents ``ids`` (rep)."""
+    """(rep, h): shingle hashes, 32 bits each, of the documents ``ids`` (rep)."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = _Words()
         for b in batches:
-            h = [(shingles(word_hashes(t, cache)) >> np.uint64(32)).astype(np.uint32).tobytes() for t in b.text]
+            h = [(shingles(word_hashes(t, cache)) >> np.uint64(32)).astype(np.uint32).view(np.int32) for t in b.text]
             yield pd.DataFrame({"rep": b.rep, "h": h})
 
     return (docs.select(F.col("doc_id").alias("rep"), "text").join(ids.hint("shuffle_merge"), "rep")
-            .mapInPandas(work, "rep long, h binary"))
+            .mapInPandas(work, "rep long, h array<int>"))
 
 
 def verify(pairs: DataFrame, sequence: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (a, b) whose sequences align; a may be hot."""
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ok = [aligned(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), similarity)
-                  for x, y in zip(b.ha, b.hb)]
+            ok = [aligned(x.view(np.uint32), y.view(np.uint32), similarity) for x, y in zip(b.ha, b.hb)]
             yield b.loc[np.array(ok, dtype=bool), ["a", "b"]]
 
     second = pairs.join(sequence.select(F.col("rep").alias("b"), F.col("h").alias("hb")).hint("shuffle_merge"), "b")
@@ -224,6 +224,17 @@ def _alike_in_length(similarity: float):
     return F.least("n", "n2") >= F.greatest("n", "n2") * similarity - 1e-9
 
 
+def _matchable(member: DataFrame, sequence: DataFrame) -> DataFrame:
+    """``member`` (rep, n, ...) with ``m``: its shingles that another of the
+    members has. Two of them align in no more than the smaller m."""
+    shingle = (sequence.join(member.select("rep").distinct().hint("shuffle_merge"), "rep")
+               .select("rep", F.explode("h").alias("s")))
+    own = (shingle.groupBy("s").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"), F.count(F.lit(1)).alias("c"))
+           .filter("rep = other").groupBy("rep").agg(F.sum("c").alias("alone")))
+    return (member.join(own.hint("shuffle_merge"), "rep", "left")
+            .withColumn("m", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone"))
+
+
 def links(reps: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b) between representatives, enough to connect all that link."""
     bucket = _buckets(reps)
@@ -236,14 +247,21 @@ def links(reps: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> D
     one = stored(verify(first, sequence, similarity), "copies-links")
     comp = stored(components(one.select(F.col("a").alias("u"), F.col("b").alias("v"))), "copies-components")
     known = stored(_with_component(bucket, comp), "copies-known")
-    # What is not yet connected to the leader meets every other member.
+    # What is not yet connected to the leader meets every other member with
+    # which it has enough in common.
     lead = comp.select(F.col("node").alias("leader"), F.col("component").alias("_lead"))
     apart = (salted_lookup(known, lead, ["leader"], F.col("rep"), "left")
+             .withColumn("_lead", F.coalesce("_lead", "leader")).filter("component <> _lead"))
+    some = known.join(apart.select("key").distinct().hint("shuffle_merge"), "key", "left_semi")
+    some = stored(_matchable(some, sequence), "copies-some")
+    apart = (salted_lookup(some, lead, ["leader"], F.col("rep"), "left")
              .withColumn("_lead", F.coalesce("_lead", "leader")).filter("component <> _lead")
-             .select("key", F.col("rep").alias("x"), F.col("n").alias("n2"), F.col("component").alias("cx"), "_lead"))
-    met = (known.join(apart, "key").filter((F.col("component") != F.col("cx")) & (F.col("rep") != F.col("leader"))
-                                           & ((F.col("component") == F.col("_lead")) | (F.col("rep") < F.col("x"))))
-           .filter(_alike_in_length(similarity))
+             .select("key", F.col("rep").alias("x"), F.col("n").alias("n2"), F.col("m").alias("m2"),
+                     F.col("component").alias("cx"), "_lead"))
+    least = (F.col("n") + F.col("n2")) * (similarity / (1 + similarity)) - 1e-6
+    met = (some.join(apart, "key").filter((F.col("component") != F.col("cx")) & (F.col("rep") != F.col("leader"))
+                                          & ((F.col("component") == F.col("_lead")) | (F.col("rep") < F.col("x"))))
+           .filter(_alike_in_length(similarity) & (F.least("m", "m2") >= least))
            .select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct())
     two = stored(verify(stored(met, "copies-pairs"), sequence, similarity), "copies-links")
     return one.unionByName(two)
