@@ -12,8 +12,8 @@ one record of at most ``_RECORD`` bytes. The steps:
 2. Each block sorts its remaining records and sends one front-coded run (shared
    prefix length and rest of each record) per hash range.
 3. A hash range merges its runs by a loser tree that carries the known common
-   prefixes: unequal prefix lengths decide a match without a look at the
-   bytes, and equal ones are compared from that length on. The order is that
+   prefixes (in 8-byte words): unequal prefix lengths decide a match without a
+   look at the records, and equal ones are compared from there on. The order is that
    of (hash range, bytes), in which equal prefixes stand together.
 4. Intervals of the merged order, by common prefix length, give each string of
    each record the smallest document it occurs in. Answers return to the
@@ -40,14 +40,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_text_batches, stored, table
+from .common import small_text_batches, table
 
 WINDOW = 50
 GRAM = 16
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes of text per hash range (one anchor per 18 bytes on average).
-RANGE_BYTES = 16 << 20
-_STEP = 1 << 20
+RANGE_BYTES = 4 << 20
+_STEP = (1 << 16) - 64
+_PLACE = np.uint64(0xFFFF)
 _LEFT = WINDOW - GRAM
 #: Right part, its length, left part reversed, its length + 1.
 _RECORD = WINDOW + 1 + _LEFT + 1
@@ -61,11 +62,13 @@ def _hashes(buf: np.ndarray) -> np.ndarray:
     if n < 1:
         return np.zeros(0, dtype=np.uint64)
     padded = np.concatenate((buf, np.zeros(16, dtype=np.uint8)))
-    word = np.empty(len(buf) - GRAM // 2 + 1 + 8, dtype=np.uint64)
+    word = np.empty(len(buf) + 8, dtype=np.uint64)
     for o in range(8):
         part = padded[o:o + (len(padded) - o) // 8 * 8].view(np.uint64)
         word[o::8] = part[:len(word[o::8])]
-    h = word[:n] * _A + word[8:n + 8] * _B
+    h = word[:n] * _A
+    for o in range(8, GRAM, 8):
+        h = (h ^ (h >> np.uint64(31))) * _B + word[o:o + n]
     h ^= h >> np.uint64(32)
     h *= _C
     h ^= h >> np.uint64(29)
@@ -73,44 +76,47 @@ def _hashes(buf: np.ndarray) -> np.ndarray:
 
 
 def _anchors_of(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(anchor position of the string at each start, hash at each position)."""
+    """(anchor position of the string at each start, hash at each position); the
+    position stands in the low bits of what is minimised, so the left one of
+    equal hashes wins."""
     h = _hashes(buf)
-    least, at, span, width = h, np.arange(len(h), dtype=np.int32), 1, WINDOW - GRAM + 1
+    least = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
+    span, width = 1, WINDOW - GRAM + 1
     while span < width:
         step = min(span, width - span)
-        right = least[step:]
-        take = right < least[:len(right)]
-        at = np.where(take, at[step:], at[:len(right)])
-        least = np.where(take, right, least[:len(right)])
+        least = np.minimum(least[:-step], least[step:]) if len(least) > step else least[:0]
         span += step
-    return at, h
+    return (least & _PLACE).astype(np.int64), h
 
 
 def anchors(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     """Records of the texts buf[starts:ends]: (anchor, first and last string
     start, hash, text number), strings of one text with one anchor together."""
+    # Strings must end within their text: the last starts of each are barred.
+    barred = np.zeros(len(buf) + 1, dtype=np.int32)
+    np.add.at(barred, np.maximum(starts, ends - WINDOW + 1), 1)
+    np.add.at(barred, ends, -1)
+    open_ = np.cumsum(barred[:-1]) == 0
     parts = []
-    # room[i]: the text that holds the string at i wholly, or -1
     for lo in range(0, len(buf), _STEP):
-        hi = min(len(buf), lo + _STEP)
-        at, h = _anchors_of(buf[lo:min(len(buf), hi + WINDOW - 1)])
-        n = min(hi - lo, len(at))
-        if n < 1:
-            continue
-        place = np.arange(lo, lo + n)
-        doc = np.searchsorted(starts, place, side="right") - 1
-        whole = place + WINDOW <= ends[doc]
-        place, doc, at = place[whole], doc[whole], at[:n][whole]
+        at, h = _anchors_of(buf[lo:min(len(buf), lo + _STEP + WINDOW - 1)])
+        place = np.flatnonzero(open_[lo:lo + min(_STEP, len(at))])
         if not len(place):
             continue
-        new = np.concatenate(([True], (at[1:] != at[:-1]) | (doc[1:] != doc[:-1]) | (place[1:] != place[:-1] + 1)))
+        at = at[place]
+        # An anchor lies in its string's own text, so texts never share one.
+        new = np.concatenate(([True], (at[1:] != at[:-1]) | (place[1:] != place[:-1] + 1)))
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(place)) - 1
-        parts.append((at[first].astype(np.int64) + lo, place[first], place[last], h[at[first]], doc[first]))
+        parts.append((at[first] + lo, place[first] + lo, place[last] + lo, h[at[first]]))
     if not parts:
         z = np.zeros(0, dtype=np.int64)
         return z, z, z, z.astype(np.uint64), z
-    return tuple(np.concatenate(x) for x in zip(*parts))
+    p, s, e, h = (np.concatenate(x) for x in zip(*parts))
+    # Hashes of anchors are small ones; mixed again they spread evenly.
+    h = (h ^ (h >> np.uint64(33))) * _A
+    h = (h ^ (h >> np.uint64(29))) * _C
+    return p, s, e, h ^ (h >> np.uint64(32)), np.searchsorted(starts, p, side="right") - 1
 
 
 def _range_of(h: np.ndarray, ranges: int) -> np.ndarray:
@@ -241,19 +247,22 @@ def front_code(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lcp.astype(np.uint8), rec[np.arange(_RECORD)[None, :] >= lcp[:, None]]
 
 
-def front_decode(lcp: np.ndarray, rest: bytes) -> list[bytes]:
-    out, last, at = [], b"", 0
-    for n in lcp.tolist():
-        end = at + _RECORD - n
-        last = last[:n] + rest[at:end]
-        out.append(last)
-        at = end
-    return out
+def front_decode(lcp: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """The records again: each byte that a record shares comes from the last
+    record before it that did not."""
+    n = len(lcp)
+    rec = np.zeros((n, _RECORD), dtype=np.uint8)
+    own = np.arange(_RECORD)[None, :] >= lcp[:, None]
+    rec[own] = rest
+    row = np.arange(n)
+    for i in range(_RECORD):
+        rec[:, i] = rec[np.maximum.accumulate(np.where(own[:, i], row, 0)), i]
+    return rec
 
 
-def send_runs(block: Block, ranges: int, wanted: dict[int, np.ndarray]) -> list[tuple[int, bytes, bytes]]:
-    """(hash range, run, places): the sorted distinct records with the smallest
-    and largest document that holds each, and where they stand in the block."""
+def sorted_records(block: Block, ranges: int, wanted: dict[int, np.ndarray]) -> Iterator[tuple]:
+    """Per hash range: the sorted distinct records of the block's wanted anchors
+    (entries), and of every place its entry, text and anchor."""
     p, s, e, h, doc = anchors(block.buf, block.starts, block.ends)
     where, short, keep = _range_of(h, ranges), _short(h), np.zeros(len(h), dtype=bool)
     order = np.argsort(where, kind="stable")
@@ -262,62 +271,64 @@ def send_runs(block: Block, ranges: int, wanted: dict[int, np.ndarray]) -> list[
             at = np.minimum(np.searchsorted(want, short[rows]), len(want) - 1)
             keep[rows] = want[at] == short[rows]
     rows = order[keep[order]]
-    out = []
     if not len(rows):
-        return out
-    for r, mine in zip(*_split(where[rows], rows)):
-        rec = _records(block.buf, p[mine], s[mine], e[mine])
-        by = np.argsort(rec.view(f"S{_RECORD}").ravel(), kind="stable")
-        rec, mine = rec[by], mine[by]
+        return
+    rec = _records(block.buf, p[rows], s[rows], e[rows])
+    by = np.argsort(rec.view(f"S{_RECORD}").ravel(), kind="stable")
+    by = by[np.argsort(where[rows][by], kind="stable")]
+    for r, rec, mine in zip(*_split(where[rows[by]], rec[by], rows[by])):
         new = np.concatenate(([True], (rec[1:] != rec[:-1]).any(axis=1)))
-        first, entry = np.flatnonzero(new), np.cumsum(new) - 1
-        rank = block.rank[doc[mine]]
-        lcp, rest = front_code(rec[first])
-        run = _pack(lcp, rest, np.minimum.reduceat(rank, first), np.maximum.reduceat(rank, first))
-        out.append((r, run, _pack(entry.astype(np.uint32), doc[mine].astype(np.uint32), p[mine].astype(np.uint32))))
+        yield r, rec[new], np.cumsum(new) - 1, doc[mine], p[mine]
+
+
+def send_runs(block: Block, ranges: int, wanted: dict[int, np.ndarray]) -> list[tuple[int, bytes]]:
+    """(hash range, front-coded run of the entries with the smallest and largest
+    document that holds each)."""
+    z, out = zstandard.ZstdCompressor(level=1), []
+    for r, rec, entry, doc, _ in sorted_records(block, ranges, wanted):
+        rank = block.rank[doc]
+        first = np.searchsorted(entry, np.arange(len(rec)))
+        lcp, rest = front_code(rec)
+        out.append((r, z.compress(_pack(lcp, rest, np.minimum.reduceat(rank, first), np.maximum.reduceat(rank, first)))))
     return out
 
 
-def _common(a: bytes, b: bytes, n: int) -> int:
-    """Length of the common prefix of two records known to share n bytes."""
-    while n < _RECORD:
-        x, y = a[n:n + 8], b[n:n + 8]
-        if x != y:
-            d = int.from_bytes(x, "big") ^ int.from_bytes(y, "big")
-            return n + len(x) - (d.bit_length() + 7) // 8
-        n += len(x)
-    return _RECORD
-
-
-def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Loser tree over front-coded runs: (run, entry, common prefix with the
-    record before) in merged order. Each waiting record knows its common prefix
-    with the last record put out."""
-    live = [i for i, (records, _) in enumerate(runs) if records]
-    total = sum(len(runs[i][0]) for i in live)
-    source, entry, common = np.empty(total, np.int32), np.empty(total, np.int32), np.empty(total, np.int32)
+def merge_runs(runs: list[np.ndarray], shared: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Loser tree over sorted runs: (run, entry) in merged order.
+
+    Records are compared by 8-byte words. Each waiting record knows how many
+    words it has in common with the last record put out (``shared``: with the
+    record before it in its own run); of two, the one with more in common goes
+    first unseen, and with as many the comparison starts after them."""
+    live = [i for i, r in enumerate(runs) if len(r)]
+    total = sum(len(runs[i]) for i in live)
+    source, entry = np.empty(total, np.int32), np.empty(total, np.int32)
     if not live:
-        return source, entry, common
+        return source, entry
     size = 1
     while size < len(live):
         size *= 2
-    head = [runs[i][0][0] for i in live] + [None] * (size - len(live))
-    known, at = [0] * size, [0] * size
+    pad = -_RECORD % 8
+    words = [np.pad(runs[i], ((0, 0), (0, pad))).view(">u8").tolist() for i in live]
+    same = [(shared[i] // 8).tolist() for i in live]
+    width = (_RECORD + pad) // 8
+    # -1 in common marks a run at its end: it loses against every record.
+    head = [w[0] for w in words] + [None] * (size - len(live))
+    known, at = [0] * len(live) + [-1] * (size - len(live)), [0] * size
 
     def play(a: int, b: int) -> tuple[int, int]:
-        x, y = head[a], head[b]
-        if y is None:
-            return a, b
-        if x is None:
-            return b, a
         m, n = known[a], known[b]
         if m != n:
             return (a, b) if m > n else (b, a)
-        c = _common(x, y, m)
-        if c == _RECORD or x[c] < y[c]:
-            known[b] = c
+        if m < 0:
+            return a, b
+        x, y = head[a], head[b]
+        while m < width and x[m] == y[m]:
+            m += 1
+        if m == width or x[m] < y[m]:
+            known[b] = m
             return a, b
-        known[a] = c
+        known[a] = m
         return b, a
 
     tree, winner = [0] * size, list(range(size))
@@ -328,19 +339,23 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> tuple[np.ndarray, n
         winner = [win for win, _ in pairs]
     top = winner[0]
     for k in range(total):
-        i = live[top]
-        source[k], entry[k], common[k] = i, at[top], known[top]
-        at[top] += 1
-        records, shared = runs[i]
-        if at[top] < len(records):
-            head[top], known[top] = records[at[top]], shared[at[top]]
+        i = at[top]
+        source[k], entry[k] = live[top], i
+        at[top] = i = i + 1
+        if i < len(words[top]):
+            head[top], known[top] = words[top][i], same[top][i]
         else:
-            head[top] = None
-        node = (size + top) // 2
+            known[top] = -1
+        node = (size + top) >> 1
         while node:
-            top, tree[node] = play(top, tree[node])
-            node //= 2
-    return source, entry, common
+            other = tree[node]
+            m, n = known[top], known[other]
+            if m < n:
+                top, tree[node] = other, top
+            elif m == n and m >= 0:
+                top, tree[node] = play(top, other)
+            node >>= 1
+    return source, entry
 
 
 def smallest_holder(rec: np.ndarray, lcp: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -375,21 +390,28 @@ def smallest_holder(rec: np.ndarray, lcp: np.ndarray, low: np.ndarray) -> np.nda
 def resolve(blocks: list[int], blobs: list[bytes]) -> list[tuple[int, bytes]]:
     """Merge the runs of a hash range; answer each block with (entry, first and
     last l, smallest holder) where that precedes a document of the entry."""
-    runs, lows, highs = [], [], []
+    runs, shared, lows, highs = [], [], [], []
+    z = zstandard.ZstdDecompressor()
     for blob in blobs:
-        lcp, rest, low, high = _unpack(blob, np.uint8, np.uint8, np.int64, np.int64)
-        runs.append((front_decode(lcp, rest.tobytes()), lcp.tolist()))
+        lcp, rest, low, high = _unpack(z.decompress(blob), np.uint8, np.uint8, np.int64, np.int64)
+        runs.append(front_decode(lcp, rest))
+        shared.append(lcp)
         lows.append(low)
         highs.append(high)
-    source, entry, common = merge_runs(runs)
+    source, entry = merge_runs(runs, shared)
     if not len(source):
         return []
-    low = np.array([lows[i][j] for i, j in zip(source.tolist(), entry.tolist())], dtype=np.int64)
-    high = np.array([highs[i][j] for i, j in zip(source.tolist(), entry.tolist())], dtype=np.int64)
+    start = np.concatenate(([0], np.cumsum([len(r) for r in runs])))
+    place = start[source] + entry
+    whole = np.concatenate(runs)[place]
+    low, high = np.concatenate(lows)[place], np.concatenate(highs)[place]
+    del runs
+    differ = whole[1:] != whole[:-1]
+    common = np.concatenate(([0], np.where(differ.any(axis=1), differ.argmax(axis=1), _RECORD)))
     first = np.flatnonzero(common < _RECORD)
     distinct = np.cumsum(common < _RECORD) - 1
-    rec = np.frombuffer(b"".join(runs[i][0][j] for i, j in zip(source[first].tolist(), entry[first].tolist())),
-                        np.uint8).reshape(-1, _RECORD)
+    rec = whole[first]
+    del whole, differ
     holder = smallest_holder(rec, np.minimum(common[first], WINDOW), np.minimum.reduceat(low, first))
     out = []
     by = np.argsort(source, kind="stable")
@@ -406,19 +428,20 @@ def resolve(blocks: list[int], blobs: list[bytes]) -> list[tuple[int, bytes]]:
     return out
 
 
-def mark(block: Block, places: dict[int, bytes], answers: dict[int, bytes]) -> np.ndarray:
+def mark(block: Block, ranges: int, wanted: dict[int, np.ndarray], answers: dict[int, bytes]) -> np.ndarray:
     """Which bytes of the block are to go."""
     delta = np.zeros(len(block.buf) + 1, dtype=np.int32)
-    for r, answer in answers.items():
-        entry, l0, l1, holder = _unpack(answer, np.uint32, np.uint8, np.uint8, np.int64)
-        of, doc, p = _unpack(places[r], np.uint32, np.uint32, np.uint32)
+    for r, _, of, doc, p in sorted_records(block, ranges, wanted) if answers else ():
+        if r not in answers:
+            continue
+        entry, l0, l1, holder = _unpack(answers[r], np.uint32, np.uint8, np.uint8, np.int64)
         lo, hi = np.searchsorted(of, entry, "left"), np.searchsorted(of, entry, "right")
         k = np.repeat(np.arange(len(entry)), hi - lo)
         at = np.arange(len(k)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
         gone = holder[k] < block.rank[doc[at]]
         k, at = k[gone], at[gone]
-        np.add.at(delta, p[at].astype(np.int64) - l1[k], 1)
-        np.add.at(delta, p[at].astype(np.int64) - l0[k] + WINDOW, -1)
+        np.add.at(delta, p[at] - l1[k], 1)
+        np.add.at(delta, p[at] - l0[k] + WINDOW, -1)
     return np.cumsum(delta[:-1]) > 0
 
 
@@ -454,33 +477,32 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, range_bytes:
         got = shared_hashes(f.block.tolist(), f.data.tolist())
         return pd.DataFrame({"block": [b for b, _ in got], "part": key[0], "data": [x for _, x in got]})
 
+    def wanted(g: pd.DataFrame) -> dict[int, np.ndarray]:
+        return {r: np.frombuffer(x, np.uint32) for r, x in zip(g.part, g.data)}
+
     def runs(f: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
-        if not len(f) or not len(g):
-            return pd.DataFrame({"block": [], "part": [], "run": [], "places": []})
-        got = send_runs(Block(f.texts), ranges, {r: np.frombuffer(x, np.uint32) for r, x in zip(g.part, g.data)})
-        return pd.DataFrame({"block": f.block.iloc[0], "part": [x[0] for x in got], "run": [x[1] for x in got],
-                             "places": [x[2] for x in got]})
+        got = send_runs(Block(f.texts), ranges, wanted(g)) if len(f) and len(g) else []
+        return pd.DataFrame({"block": f.block.iloc[0] if len(f) else None, "part": [r for r, _ in got],
+                             "run": [x for _, x in got]})
 
     def merged(key, f: pd.DataFrame) -> pd.DataFrame:
         got = resolve(f.block.tolist(), f.run.tolist())
-        return pd.DataFrame({"block": [b for b, _ in got], "part": key[0], "answer": [x for _, x in got], "places": None})
+        return pd.DataFrame({"block": [b for b, _ in got], "part": key[0], "answer": True, "data": [x for _, x in got]})
 
     def finish(f: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
         if not len(f):
             return pd.DataFrame({c: [] for c in columns})
-        block = Block(f.texts)
-        held = g[g.places.notna()]
-        said = g[g.answer.notna()]
-        gone = mark(block, dict(zip(held.part, held.places)), dict(zip(said.part, said.answer)))
+        block, said = Block(f.texts), g[g.answer]
+        gone = mark(block, ranges, wanted(g[~g.answer]), dict(zip(said.part, said.data)))
         return spans(block, gone).astype({"doc_id": "Int64"})[columns]
 
+    # The texts are dealt to blocks once; all three steps read that exchange.
     known = (texts.groupBy("block").applyInPandas(hashes, "part long, block long, data binary")
              .groupBy("part").applyInPandas(shared, "block long, part long, data binary"))
-    sorted_runs = stored(texts.groupBy("block").cogroup(known.groupBy("block"))
-                         .applyInPandas(runs, "block long, part long, run binary, places binary"), "repeat-runs")
-    answers = (sorted_runs.select("block", "part", "run").groupBy("part")
-               .applyInPandas(merged, "block long, part long, answer binary, places binary"))
-    back = answers.unionByName(sorted_runs.select("block", "part", F.lit(None).cast("binary").alias("answer"), "places"))
+    answers = (texts.groupBy("block").cogroup(known.groupBy("block"))
+               .applyInPandas(runs, "block long, part long, run binary").groupBy("part")
+               .applyInPandas(merged, "block long, part long, answer boolean, data binary"))
+    back = answers.unionByName(known.withColumn("answer", F.lit(False)))
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_bytes
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
     return texts.groupBy("block").cogroup(back.groupBy("block")).applyInPandas(finish, schema)

@@ -62,7 +62,7 @@ def repeat_cases():
     return docs
 
 
-@pytest.mark.parametrize("step", [1 << 20, 64])
+@pytest.mark.parametrize("step", [repeats._STEP, 64])
 def test_repeats_brute_force(spark, monkeypatch, step):
     monkeypatch.setattr(repeats, "_STEP", step)
     docs = repeat_cases()
@@ -82,19 +82,17 @@ def test_repeats_equal_and_null_ids(spark):
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.lists(st.binary(max_size=6), max_size=12), max_size=6))
 def test_loser_tree_merges_like_sorting(lists):
-    runs, want = [], []
+    runs, shared, want = [], [], []
     for raw in lists:
         rec = sorted({r.ljust(repeats._RECORD, b"\0") for r in raw})
         m = np.frombuffer(b"".join(rec), np.uint8).reshape(-1, repeats._RECORD)
         lcp, rest = repeats.front_code(m)
-        assert repeats.front_decode(lcp, rest.tobytes()) == rec
-        runs.append((rec, lcp.tolist()))
+        assert (repeats.front_decode(lcp, rest) == m).all()
+        runs.append(m)
+        shared.append(lcp)
         want += rec
-    source, entry, common = repeats.merge_runs(runs)
-    out = [runs[i][0][j] for i, j in zip(source, entry)]
-    assert out == sorted(want)
-    for a, b, c in zip(out, out[1:], common[1:]):
-        assert c == next((k for k in range(len(a)) if a[k] != b[k]), len(a))
+    source, entry = repeats.merge_runs(runs, shared)
+    assert [bytes(runs[i][j]) for i, j in zip(source, entry)] == sorted(want)
 
 
 # ---------------------------------------------------------------- near copies
