@@ -189,10 +189,16 @@ MOD_SMALL = 1_000_000
 MOD_LARGE = 10_000_000
 
 # Audit producer names.
-FLOW_BRONZE = "lacrime_incidents_bronze_ingest_flow"
-FLOW_SILVER = "lacrime_incidents_silver_transformation_flow"
+FLOW_BRONZE = "incidents_bronze_ingest_flow"
+FLOW_SILVER = "incidents_silver_transformation_flow"
 FLOW_FACT = "fact_crime_incidents_flow"
 
+# Table names.
+BRONZE = "incidents_bronze"
+SILVER = "incidents_silver"
+QUARANTINE = "incidents_quarantine"
+FACT = "fact_crime_incidents"
+
 # ---------------------------------------------------------------------------
 # Tunables (not fixed values; safe to change per deployment).
 # ---------------------------------------------------------------------------
@@ -202,10 +208,10 @@ FLOW_FACT = "fact_crime_incidents_flow"
 class Config:
     """Per-run knobs. Immutable; derive variants with :meth:`with_`."""
 
-    # Surrogate-key function: "md5" (portable, checkable in any SQL engine),
-    # "xxhash64" (fastest) or "parity" (abs(Murmur3 hash) % M, as the original
-    # notebooks compute it).
-    key_mode: str = "md5"
+    # Surrogate-key function: "xxhash64" (63 bits, cheapest per row), "md5"
+    # (60 bits, checkable in any SQL engine) or "parity" (abs(Murmur3 hash) % M,
+    # as the original notebooks compute it).
+    key_mode: str = "xxhash64"
     # Reduce dimension keys modulo 1e6 / 1e7 as the original notebooks do.
     # Off by default: full-width keys make collisions (which would fan out
     # star joins) negligible. "parity" mode always applies the moduli.
@@ -218,14 +224,16 @@ class Config:
     max_age: int = 120
     # Reference date for "future date" checks (None -> current_date()).
     as_of: str | None = None
-    # Dimensions are broadcast only after a row count proves them at most
-    # this large (star joins project a dimension to its key plus one or two
-    # columns, so ~20 MB); larger ones go through a shuffle join (AQE splits
-    # skew). Real dimensions hold thousands of rows.
+    # A side is broadcast only if it is known to have at most this many rows
+    # and the planner's estimate of its size is at most this many bytes; a side
+    # of unknown size is joined without a hint (AQE decides by the size it
+    # finds and splits skewed partitions).
     broadcast_max_rows: int = 500_000
-    # Salt buckets for a dimension join that cannot be broadcast: fact rows
-    # spread over this many tasks per key (the dimension is replicated).
-    salt_buckets: int = 16
+    broadcast_max_bytes: int = 64 << 20
+    # Keys known to hold a large share of all rows, by star role. In a join
+    # without broadcast their rows are dealt over the shuffle partitions by a
+    # hash of the row, and only their dimension rows are repeated.
+    hot_keys: dict[str, tuple] = field(default_factory=lambda: {"weapon": (NO_WEAPON_CODE,)})
     # Grid step in degrees for the density mart.
     grid_step: float = 0.05
     # Exact (count_distinct) or approximate (HLL++) cardinality profile, for

@@ -26,7 +26,8 @@ def dedup(df: DataFrame, keys: Sequence[str], payload: Sequence[str] = ()) -> Da
     Batch: first ``distinct()`` over (keys, payload) - a hash aggregate whose
     per-task partial aggregation collapses a hot key before the shuffle -
     then, over those few distinct pairs only, the smallest payload per key
-    (``min`` of a struct), so the result is deterministic. (``min`` over a
+    (``min`` of a struct in which each value comes after a flag for NULL, so a
+    known text wins over a missing one), so the result is deterministic. (``min`` over a
     struct or string cannot use a hash aggregate; applied to all rows it
     would sort the whole input.) Streaming: first row seen wins
     (``dropDuplicates``; state is one entry per key).
@@ -39,8 +40,9 @@ def dedup(df: DataFrame, keys: Sequence[str], payload: Sequence[str] = ()) -> Da
     # __variants counts the different payloads of a key (always >= 1). It is
     # sensitive to duplicates, so referencing it keeps Catalyst from folding
     # the distinct into this aggregate (which would sort every input row).
+    ranked = [c for p in payload for c in (F.col(p).isNull().alias(f"__no_{p}"), F.col(p))]
     agg = (pairs.groupBy(*keys)
-           .agg(F.min(F.struct(*payload)).alias("__p"), F.count(F.lit(1)).alias("__variants"))
+           .agg(F.min(F.struct(*ranked)).alias("__p"), F.count(F.lit(1)).alias("__variants"))
            .filter(F.col("__variants") > 0))
     return agg.select(*keys, *[F.col(f"__p.{p}").alias(p) for p in payload])
 

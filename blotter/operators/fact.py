@@ -2,65 +2,63 @@
 
 Shape of the plan: the silver rows stream through nine left outer joins
 against dimension tables. Every dimension is tiny next to the fact (thousands
-of rows), so each join is a broadcast hash join *after* a row count proves
-the dimension small: the fact is never shuffled, and a hot key on the fact
-side (e.g. the "no weapon" member holding most rows) costs nothing. If a
-dimension ever outgrows the limit, the join falls back to a sort-merge join
-and AQE's skew-join handling splits the hot partitions.
+of rows), so each join is a broadcast hash join where the dimension's rows
+(counted when its table was written) and bytes are within bounds: the fact is
+never shuffled, and a hot key on the fact side (e.g. the "no weapon" member
+holding most rows) costs nothing. Beyond the bounds the join shuffles, known
+hot keys are dealt over all partitions, and AQE splits other skew.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
-from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.keys import incident_key
-from ..plans.execution import proven_rows
+from ..plans.execution import broadcast_known
 
 
 def star_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]],
               keep: Mapping[str, str], label: str, null_safe: bool = False,
-              max_rows: int = C.DEFAULT.broadcast_max_rows, known_rows: int | None = None,
-              salt_buckets: int = C.DEFAULT.salt_buckets) -> DataFrame:
+              cfg: C.Config = C.DEFAULT, known_rows: int | None = None, hot: Sequence = ()) -> DataFrame:
     """Left join ``facts`` with ``dim`` on ``(fact expression, dim column)`` pairs.
 
     Only the key columns and the ``keep`` columns (renamed ``src -> dst``) of
     the dimension are read. ``null_safe`` compares with ``<=>`` so NULL
     parts match the NULL member; Catalyst still turns it into hashable
-    equi-join keys. ``known_rows`` is a size bound fixed by construction
-    (the date and time spines); otherwise the dimension is counted.
-
-    A dimension above ``max_rows`` is shuffle-joined with salting: every fact
-    row draws a salt in ``[0, salt_buckets)`` and the dimension side is
-    replicated once per salt, so a key holding most fact rows is spread over
-    ``salt_buckets`` tasks (streams have no AQE skew handling). Each fact row
-    still meets exactly one copy of its member, whatever salt it drew.
+    equi-join keys. ``known_rows`` is the dimension's size, known by
+    construction (the spines) or counted when its table was written.
+
+    A dimension within the bounds of ``cfg`` is broadcast. Otherwise the join
+    shuffles: rows with a key listed in ``hot`` (values of the first pair) are
+    dealt over as many places as there are shuffle partitions by a hash of the
+    fact row, so a repeated task deals alike, and only the dimension rows of
+    those keys are repeated there. Each fact row meets one copy of its member.
     """
     kcols = [f"__{label}_k{i}" for i in range(len(on))]
     side = dim.select(*[F.col(dc).alias(k) for (_, dc), k in zip(on, kcols)],
                       *[F.col(src).alias(dst) for src, dst in keep.items()])
-    rows = known_rows if known_rows is not None else proven_rows(dim, max_rows)
-    small = rows <= max_rows
-    if small:
-        side = F.broadcast(side)
-    salt = None
-    if not small and salt_buckets > 1:
-        salt = f"__{label}_salt"
-        side = side.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        facts = facts.withColumn(salt, (F.rand() * salt_buckets).cast("int"))
+    bound = broadcast_known(side, known_rows, cfg.broadcast_max_rows, cfg.broadcast_max_bytes)
+    salted = bound is side and bool(hot)
+    salt = f"__{label}_salt"
+    if salted:
+        n = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        places = F.sequence(F.lit(0), F.when(side[kcols[0]].isin(list(hot)), n - 1).otherwise(0))
+        bound = side.withColumn(salt, F.explode(places))
+        dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(n)).cast("int")
+        facts = facts.withColumn(salt, F.when(on[0][0].isin(list(hot)), dealt).otherwise(0))
     cond = None
     for (fe, _), k in zip(on, kcols):
-        c = fe.eqNullSafe(side[k]) if null_safe else (fe == side[k])
+        c = fe.eqNullSafe(bound[k]) if null_safe else (fe == bound[k])
         cond = c if cond is None else cond & c
-    if salt is not None:
-        cond = cond & (facts[salt] == side[salt])
-    out = facts.join(side, cond, "left").drop(*kcols)
-    return out.drop(facts[salt], side[salt]) if salt is not None else out
+    if salted:
+        cond = cond & (facts[salt] == bound[salt])
+    out = facts.join(bound, cond, "left").drop(*kcols)
+    return out.drop(facts[salt], bound[salt]) if salted else out
 
 
 MINUTES_PER_DAY = 1440
@@ -71,6 +69,7 @@ def spine_days(cfg: C.Config) -> int:
     return (date.fromisoformat(cfg.date_end) - date.fromisoformat(cfg.date_start)).days + 1
 
 
+# The fact's columns in order.
 FACT_COLUMNS = [
     "incident_key", "dr_no",
     "date_occurred_key", "date_reported_key", "time_occurred_key", "location_key",
@@ -85,41 +84,37 @@ AUDIT_COLUMNS = ["bronze_load_datetime", "silver_processed_datetime", "gold_proc
 
 
 def attach_foreign_keys(silver: DataFrame, dims: Mapping[str, DataFrame],
-                        cfg: C.Config = C.DEFAULT) -> DataFrame:
-    """The nine left joins, adding one foreign key each."""
-    m = cfg.broadcast_max_rows
-    days = spine_days(cfg)
-    sj = partial(star_join, salt_buckets=cfg.salt_buckets)
+                        cfg: C.Config = C.DEFAULT, sizes: Mapping[str, int] | None = None) -> DataFrame:
+    """The nine left joins, adding one foreign key each. ``sizes``: rows
+    per dimension where known."""
+    known = {**(sizes or {}), "dim_date": spine_days(cfg), "dim_time": MINUTES_PER_DAY}
+    weapon = F.coalesce(F.col("weapon_used_cd"), F.lit(C.NO_WEAPON_CODE))
+    victim = [(F.col(c), c) for c in ("vict_age_clean", "vict_sex", "vict_descent")]
+    # (dimension, pairs, dimension key, fact column, role)
+    joins = [
+        ("dim_date", [(F.col("date_occ").cast("date"), "full_date")], "date_key", "date_occurred_key", "date_occ"),
+        ("dim_date", [(F.col("date_rptd").cast("date"), "full_date")], "date_key", "date_reported_key", "date_rptd"),
+        ("dim_time", [(F.col("time_occ"), "time_occ")], "time_key", "time_occurred_key", "time"),
+        ("dim_location", [(F.col("area"), "area"), (F.col("rpt_dist_no"), "rpt_dist_no")],
+         "location_key", "location_key", "location"),
+        ("dim_crime_type", [(F.col("crm_cd"), "crm_cd")], "crime_type_key", "crime_type_key", "crime"),
+        ("dim_victim_demographics", victim, "victim_demographic_key", "victim_demographic_key", "victim"),
+        ("dim_premise", [(F.col("premis_cd"), "premis_cd")], "premise_key", "premise_key", "premise"),
+        ("dim_weapon", [(weapon, "weapon_used_cd")], "weapon_key", "weapon_key", "weapon"),
+        ("dim_status", [(F.col("status"), "status")], "status_key", "status_key", "status"),
+    ]
     f = silver
-    f = sj(f, dims["dim_date"], [(F.col("date_occ").cast("date"), "full_date")],
-                  {"date_key": "date_occurred_key"}, "date_occ", max_rows=m, known_rows=days)
-    f = sj(f, dims["dim_date"], [(F.col("date_rptd").cast("date"), "full_date")],
-                  {"date_key": "date_reported_key"}, "date_rptd", max_rows=m, known_rows=days)
-    f = sj(f, dims["dim_time"], [(F.col("time_occ"), "time_occ")],
-                  {"time_key": "time_occurred_key"}, "time", max_rows=m, known_rows=MINUTES_PER_DAY)
-    f = sj(f, dims["dim_location"], [(F.col("area"), "area"), (F.col("rpt_dist_no"), "rpt_dist_no")],
-                  {"location_key": "location_key"}, "location", max_rows=m)
-    f = sj(f, dims["dim_crime_type"], [(F.col("crm_cd"), "crm_cd")],
-                  {"crime_type_key": "crime_type_key"}, "crime", max_rows=m)
-    f = sj(f, dims["dim_victim_demographics"],
-                  [(F.col("vict_age_clean"), "vict_age_clean"), (F.col("vict_sex"), "vict_sex"),
-                   (F.col("vict_descent"), "vict_descent")],
-                  {"victim_demographic_key": "victim_demographic_key"}, "victim", null_safe=True, max_rows=m)
-    f = sj(f, dims["dim_premise"], [(F.col("premis_cd"), "premis_cd")],
-                  {"premise_key": "premise_key"}, "premise", max_rows=m)
-    f = sj(f, dims["dim_weapon"],
-                  [(F.coalesce(F.col("weapon_used_cd"), F.lit(C.NO_WEAPON_CODE)), "weapon_used_cd")],
-                  {"weapon_key": "weapon_key"}, "weapon", max_rows=m)
-    f = sj(f, dims["dim_status"], [(F.col("status"), "status")],
-                  {"status_key": "status_key"}, "status", max_rows=m)
+    for name, on, key, column, role in joins:
+        f = star_join(f, dims[name], on, {key: column}, role, null_safe=role == "victim", cfg=cfg,
+                      known_rows=known.get(name), hot=cfg.hot_keys.get(role, ()))
     return f
 
 
 def fact_incidents(silver: DataFrame, dims: Mapping[str, DataFrame], cfg: C.Config = C.DEFAULT,
-                   ts: Column | None = None) -> DataFrame:
+                   ts: Column | None = None, sizes: Mapping[str, int] | None = None) -> DataFrame:
     """One row per silver row: surrogate key, business key, nine foreign
     keys, degenerate columns, measures, flags and audit (25 columns)."""
-    f = attach_foreign_keys(silver, dims, cfg)
+    f = attach_foreign_keys(silver, dims, cfg, sizes)
     return f.select(
         incident_key(F.col("dr_no"), cfg.key_mode).alias("incident_key"),
         "dr_no", *FOREIGN_KEYS,
@@ -172,19 +167,18 @@ STAR_ROLES: dict[str, tuple[str, str, str, dict[str, str]]] = {
 
 
 def star_view(fact: DataFrame, dims: Mapping[str, DataFrame], roles: Sequence[str] | None = None,
-              cfg: C.Config = C.DEFAULT) -> DataFrame:
+              cfg: C.Config = C.DEFAULT, sizes: Mapping[str, int] | None = None) -> DataFrame:
     """The fact with the attributes of the requested dimension roles.
 
-    Joins on surrogate keys (left, broadcast after a size check). Only the
+    Joins on surrogate keys (left, broadcast where the size is known). Only the
     requested roles are joined, and only their listed columns present in the
     dimension are read.
     """
     out = fact
+    known = {**(sizes or {}), "dim_date": spine_days(cfg), "dim_time": MINUTES_PER_DAY}
     for role in (list(STAR_ROLES) if roles is None else roles):
         dim_name, fk, dk, cols = STAR_ROLES[role]
         dim = dims[dim_name]
         keep = {s: d for s, d in cols.items() if s in dim.columns}
-        known = {"dim_date": spine_days(cfg), "dim_time": MINUTES_PER_DAY}.get(dim_name)
-        out = star_join(out, dim, [(F.col(fk), dk)], keep, role, max_rows=cfg.broadcast_max_rows,
-                        known_rows=known, salt_buckets=cfg.salt_buckets)
+        out = star_join(out, dim, [(F.col(fk), dk)], keep, role, cfg=cfg, known_rows=known.get(dim_name))
     return out

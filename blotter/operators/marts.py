@@ -41,11 +41,17 @@ def quarterly_change(star: DataFrame) -> DataFrame:
 
 def density_grid(star: DataFrame, cfg: C.Config = C.DEFAULT) -> DataFrame:
     """Incidents per lat/lon grid cell of ``grid_step`` degrees (cell
-    index = floor(coordinate / step)); rows without coordinates skipped."""
-    step = cfg.grid_step
+    index = floor(coordinate / step)); rows without coordinates skipped.
+
+    Coordinates and step are taken as whole millionths of a degree, so that a
+    point on a cell's edge falls into that cell."""
+    step = round(cfg.grid_step * 1_000_000)
+
+    def cell(c: str):
+        return F.floor(F.round(F.col(c) * 1_000_000).cast("bigint") / step)
+
     cells = star.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
-        F.floor(F.col("latitude") / step).alias("lat_cell"),
-        F.floor(F.col("longitude") / step).alias("lon_cell"))
+        cell("latitude").alias("lat_cell"), cell("longitude").alias("lon_cell"))
     return _count(cells, ["lat_cell", "lon_cell"])
 
 

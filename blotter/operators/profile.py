@@ -517,8 +517,7 @@ def _lag_distribution(counts: DataFrame, k: int = 20) -> DataFrame:
 
 
 def _invalid_areas(counts: DataFrame) -> DataFrame:
-    valid = [str(a) for a in C.VALID_AREAS]
-    return counts.filter(~F.col("area").cast("string").isin(valid))
+    return counts.filter(~F.col("area").isin(list(C.VALID_AREAS)))
 
 
 def _top_districts(counts: DataFrame, k: int = 10) -> DataFrame:

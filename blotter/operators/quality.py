@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Observation  # noqa: F401 (annotation
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from ..plans.execution import broadcast_if_small
 
 
 def _passes_all(rules: Mapping[str, str]) -> Column:
@@ -66,37 +65,37 @@ def quarantine(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return df.filter(~_passes_all(rules)).withColumn("failed_rules", failed_rules_expr(rules))
 
 
-def unexpected_values(df: DataFrame, col: str, allowed: Sequence[str], max_rows: int = 100_000) -> DataFrame:
-    """Q4: distinct non-null values of ``col`` outside ``allowed``, with row counts.
+def unexpected_values(df: DataFrame, col: str, allowed: Sequence[str]) -> DataFrame:
+    """Q4: distinct non-null values of ``col`` outside ``allowed``, with row
+    counts (one grouping, pre-aggregated per task)."""
+    return (df.filter(F.col(col).isNotNull() & ~F.col(col).isin(list(allowed)))
+            .groupBy(col).agg(F.count(F.lit(1)).alias("rows")))
 
-    Values are first reduced by a partial aggregation (one row per distinct
-    value and partition), then anti-joined with the small allowed list.
+
+def orphan_keys(child: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Q5: per foreign key of ``child`` (``parents``: foreign key -> (table, its
+    key)): rows with a NULL key, rows whose non-null key has no parent, and
+    how many such keys.
+
+    One scan of the child: its keys are stacked to (foreign_key, key) and
+    counted (partial aggregation collapses a hot key in each task), then
+    joined once with the stacked keys of the parents.
     """
-    spark = df.sparkSession
-    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
-    allowed_df = spark.createDataFrame([(v,) for v in allowed], f"`{col}` string")
-    allowed_df = broadcast_if_small(allowed_df, max_rows, "allowed values")
-    return counts.join(allowed_df, on=col, how="left_anti")
-
-
-def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
-                max_rows: int = 500_000, label: str | None = None) -> DataFrame:
-    """Q5: one row: rows with a NULL key, rows whose non-null key has no
-    parent, and how many such keys. The child is reduced to (key, rows) by a
-    partial aggregation, left-joined once with the distinct parent keys
-    (broadcast after a size check) and summed in the same pass."""
-    keyed = child.groupBy(F.col(child_key).alias("__k")).agg(F.count(F.lit(1)).alias("__rows"))
-    parents = parent.select(F.col(parent_key).alias("__k")).distinct().withColumn("__found", F.lit(True))
-    parents = broadcast_if_small(parents, max_rows, "parent keys")
-    j = keyed.join(parents, "__k", "left")
-    orphan = F.col("__k").isNotNull() & F.col("__found").isNull()
-    res = j.agg(
-        F.coalesce(F.sum(F.when(F.col("__k").isNull(), F.col("__rows"))), F.lit(0)).cast("bigint").alias("null_rows"),
-        F.coalesce(F.sum(F.when(orphan, F.col("__rows"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
+    stacked = F.explode(F.array(*[F.struct(F.lit(fk).alias("foreign_key"), F.col(fk).cast("bigint").alias("k"))
+                                  for fk in parents]))
+    counts = (child.select(stacked.alias("s")).groupBy("s.foreign_key", "s.k")
+              .agg(F.count(F.lit(1)).alias("rows")).alias("c"))
+    known = None
+    for fk, (table, key) in parents.items():
+        one = table.select(F.lit(fk).alias("foreign_key"), F.col(key).cast("bigint").alias("k"))
+        known = one if known is None else known.unionByName(one)
+    known = known.distinct().withColumn("found", F.lit(True)).alias("p")
+    j = counts.join(known, (F.col("c.foreign_key") == F.col("p.foreign_key")) & (F.col("c.k") == F.col("p.k")), "left")
+    null, orphan = F.col("c.k").isNull(), F.col("c.k").isNotNull() & F.col("found").isNull()
+    return j.groupBy("c.foreign_key").agg(
+        F.sum(F.when(null, F.col("rows")).otherwise(0)).cast("bigint").alias("null_rows"),
+        F.sum(F.when(orphan, F.col("rows")).otherwise(0)).cast("bigint").alias("orphan_rows"),
         F.count_if(orphan).alias("orphan_keys"))
-    if label is not None:
-        res = res.select(F.lit(label).alias("foreign_key"), "*")
-    return res
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,24 +1,21 @@
-"""Session settings, lineage cuts and size-checked broadcasts.
+"""Session settings, shared folders and size-checked broadcasts.
 
 * ``session_conf`` - the settings the operators are designed for (AQE with
   partition coalescing and skew-join splitting, UTC, no UI).
-* ``checkpoint_dir`` / ``cut_lineage`` - reliable checkpoints in the shared
-  folder named by ``spark.checkpoint.dir``; never a machine-local folder and
-  never ``localCheckpoint`` (lost with an executor).
-* ``broadcast_if_small`` - broadcast only after a row count proves the side
-  small; otherwise return it untouched so Spark plans a shuffle join.
+* ``shared_folder`` - a folder below the one that ``spark.checkpoint.dir``
+  names, which all executors see; layers are written there as Parquet.
+* ``broadcast_known`` - broadcast only a side of known rows and bytes; nothing
+  here starts a job.
 """
 
 from __future__ import annotations
 
-import logging
-import weakref
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-log = logging.getLogger(__name__)
-
 SESSION_CONF: dict[str, str] = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -66,59 +63,29 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint when a checkpoint folder exists; otherwise no-op.
-
-    A checkpointed frame is written once to shared storage, so later
-    consumers (several dimensions, the fact) read it instead of recomputing
-    the lineage, and a lost executor does not force recomputation.
-    """
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df
-
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below the session's shared checkpoint folder.
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an input that arrives in fewer partitions than the cluster has
-    cores (e.g. one small file) over ``min_partitions`` (default: the
-    session's default parallelism) so later stages use every core.
+    Only a local session without one gets a folder of its own (tests, bench);
+    on a cluster a missing setting is an error, since executors do not see one
+    another's disks."""
+    base = checkpoint_dir(spark)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="blotter-shared-"))
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-    Large inputs are split by the file scan already and are left untouched,
-    so at scale this adds no shuffle.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(want) if have < want else df
 
+def plan_bytes(df: DataFrame) -> int:
+    """The planner's size estimate of ``df`` (for a table: the files' bytes of
+    the columns read). Starts no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-# DataFrame -> (rows counted, cap used); rows < cap means the count is exact.
-_PROVEN: "weakref.WeakKeyDictionary[DataFrame, tuple[int, int]]" = weakref.WeakKeyDictionary()
 
-
-def proven_rows(df: DataFrame, max_rows: int) -> int:
-    """Rows of ``df`` counted up to ``max_rows + 1`` (enough to decide a
-    broadcast). Remembered per DataFrame object, so a dimension shared by
-    many star joins is counted once."""
-    cap = max_rows + 1
-    seen = _PROVEN.get(df)
-    if seen is not None and (seen[0] < seen[1] or cap <= seen[1]):
-        return seen[0]
-    n = df.limit(cap).count()
-    _PROVEN[df] = (n, cap)
-    return n
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int, label: str = "") -> DataFrame:
-    """Broadcast ``df`` only if a count proves it has at most ``max_rows`` rows.
-
-    The count stops early (``limit``) so a large side costs little to reject.
-    Larger sides are returned as they are: Spark then plans a sort-merge join,
-    and AQE splits skewed partitions of the big side at runtime.
-    """
-    if proven_rows(df, max_rows) <= max_rows:
+def broadcast_known(df: DataFrame, rows: int | None, max_rows: int, max_bytes: int) -> DataFrame:
+    """Hint a broadcast of ``df`` if its known row count and the planner's byte
+    estimate are both within bounds; otherwise leave the choice to Spark."""
+    if rows is not None and rows <= max_rows and plan_bytes(df) <= max_bytes:
         return F.broadcast(df)
-    log.warning("not broadcasting %s: more than %d rows", label or "side", max_rows)
     return df

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..plans.execution import spread
 
 INCIDENTS_SQL = """SELECT
   CASE WHEN o_orderkey % 997 = 5 THEN NULL ELSE o_orderkey END AS dr_no,
@@ -61,7 +60,7 @@ def incidents(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None)
             .replace("JOIN nation ON", "JOIN {nation} ON"))
     return spark.sql(
         text,
-        orders=orders if orders is not None else spread(read_driver_table(spark, sf_dir, "orders")),
+        orders=orders if orders is not None else read_driver_table(spark, sf_dir, "orders"),
         customer=read_driver_table(spark, sf_dir, "customer"),
         nation=read_driver_table(spark, sf_dir, "nation"),
     )

@@ -16,9 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import config as C
+
 TABLES = [
-    "lacrime_incidents_bronze",
-    "lacrime_incidents_silver",
+    C.BRONZE,
+    C.SILVER,
+    C.QUARANTINE,
     "dim_date",
     "dim_time",
     "dim_status",
@@ -27,7 +30,7 @@ TABLES = [
     "dim_weapon",
     "dim_crime_type",
     "dim_victim_demographics",
-    "fact_crime_incidents",
+    C.FACT,
 ]
 
 

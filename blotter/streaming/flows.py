@@ -31,15 +31,13 @@ from pyspark.sql.streaming import StreamingQueryListener
 from .. import config as C
 from ..operators import dims as D
 from ..operators.fact import fact_incidents
+from ..operators.quality import quarantine
 from ..operators.silver import silver as silver_op
-from ..sources.csv import stream_incidents_csv, with_ingest_audit
+from ..sources.csv import CORRUPT, stream_incidents_csv, with_corrupt, with_ingest_audit
 from ..sources.schema import INCIDENT_SCHEMA
-from ..plans.execution import broadcast_if_small
 from ..sources.tables import Layout, append_flow, materialize, read_table, stream_table, table_exists
 
-BRONZE = "lacrime_incidents_bronze"
-SILVER = "lacrime_incidents_silver"
-FACT = "fact_crime_incidents"
+BRONZE, SILVER, FACT, QUARANTINE = C.BRONZE, C.SILVER, C.FACT, C.QUARANTINE
 SILVER_METRICS = "silver_expectations"
 
 
@@ -58,12 +56,12 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def bronze_schema(spark: SparkSession, schema: T.StructType = INCIDENT_SCHEMA) -> T.StructType:
-    return _nullable(with_ingest_audit(_empty(spark, schema), source="").schema)
+    return _nullable(with_ingest_audit(_empty(spark, with_corrupt(schema, CORRUPT)), source="").schema)
 
 
 def silver_schema(spark: SparkSession, cfg: C.Config = C.DEFAULT,
                   schema: T.StructType = INCIDENT_SCHEMA) -> T.StructType:
-    return _nullable(silver_op(_empty(spark, bronze_schema(spark, schema)), cfg).schema)
+    return _nullable(silver_op(_empty(spark, bronze_schema(spark, schema)), cfg).drop(CORRUPT).schema)
 
 
 class _ProgressTotals(StreamingQueryListener):
@@ -99,18 +97,14 @@ class _ProgressTotals(StreamingQueryListener):
         self.done(str(event.id)).set()
 
 
-def _await(q, report: RunReport, name: str, totals: _ProgressTotals | None = None) -> None:
+def _await(q, report: RunReport, name: str, totals: _ProgressTotals) -> None:
     q.awaitTermination()
     qid = str(q.id)
-    if totals is not None and totals.done(qid).wait(timeout=60) and qid in totals.rows:
-        rows, metrics = totals.rows[qid], totals.metrics.get(qid, {})
-    else:  # no listener: the recent progress reports (last batches only)
-        rows, metrics = 0, {}
-        for p in q.recentProgress:
-            rows += int(p["numInputRows"])
-            row = (p["observedMetrics"] or {}).get(SILVER_METRICS)
-            for k, v in (row.asDict() if row is not None else {}).items():
-                metrics[k] = metrics.get(k, 0) + int(v or 0)
+    # The termination event comes after every progress event; without it the
+    # totals could be short, which must not pass unnoticed.
+    if not totals.done(qid).wait(timeout=300):
+        raise RuntimeError(f"{name}: no termination event, so its row counts may be incomplete")
+    rows, metrics = totals.rows.get(qid, 0), totals.metrics.get(qid, {})
     for k, v in metrics.items():
         report.quality[k] = report.quality.get(k, 0) + v
     report.rows[name] = report.rows.get(name, 0) + rows
@@ -118,8 +112,9 @@ def _await(q, report: RunReport, name: str, totals: _ProgressTotals | None = Non
 
 def bronze_flow(spark: SparkSession, layout: Layout, source_dir: str,
                 schema: T.StructType = INCIDENT_SCHEMA, max_files_per_trigger: int | None = None):
-    """X1 + S4 + K1: ingest new CSV files into the bronze table."""
-    raw = stream_incidents_csv(spark, source_dir, schema, max_files_per_trigger=max_files_per_trigger)
+    """X1 + S4 + S9 + K1: ingest new CSV files into the bronze table; the text
+    of a malformed line is kept in ``corrupt_record``."""
+    raw = stream_incidents_csv(spark, source_dir, schema, CORRUPT, max_files_per_trigger)
     return append_flow(with_ingest_audit(raw), layout.path(BRONZE), layout.checkpoint("bronze"),
                        name="bronze_ingest")
 
@@ -128,18 +123,26 @@ def silver_flow(spark: SparkSession, layout: Layout, cfg: C.Config = C.DEFAULT,
                 schema: T.StructType = INCIDENT_SCHEMA):
     """X2 + X6: gate and enrich new bronze rows; rule failures are observed."""
     bronze = stream_table(spark, layout.path(BRONZE), bronze_schema(spark, schema))
-    out = silver_op(bronze, cfg, observe_name=SILVER_METRICS)
+    out = silver_op(bronze, cfg, observe_name=SILVER_METRICS).drop(CORRUPT)
     return append_flow(out, layout.path(SILVER), layout.checkpoint("silver"), name="silver_transform")
 
 
+def quarantine_flow(spark: SparkSession, layout: Layout, cfg: C.Config = C.DEFAULT,
+                    schema: T.StructType = INCIDENT_SCHEMA):
+    """Q3: the bronze rows that the gate drops, with the rules they fail and the
+    text of malformed lines. Every bronze row is in silver or here."""
+    bronze = stream_table(spark, layout.path(BRONZE), bronze_schema(spark, schema))
+    return append_flow(quarantine(bronze, cfg.rules), layout.path(QUARANTINE), layout.checkpoint("quarantine"),
+                       name="silver_quarantine")
+
+
 def _merge_new_members(name: str, fn, path: str, cfg: C.Config):
     """foreachBatch body: insert the micro-batch's dimension members that the
     table does not hold yet.
 
     The micro-batch is deduplicated as a batch aggregate (partial aggregation
     per task, so a key holding most rows is collapsed before any shuffle),
-    then anti-joined (NULL-safe) with the existing members, which are few
-    and broadcast after a size check. Re-running a batch after a failure
+    then anti-joined (NULL-safe) with the existing members. Re-running a batch after a failure
     finds its members already present, so the insert is idempotent.
     """
     key, natural = D.NATURAL_KEYS[name]
@@ -148,7 +151,7 @@ def _merge_new_members(name: str, fn, path: str, cfg: C.Config):
         spark = batch.sparkSession
         members = fn(batch, cfg)
         if table_exists(spark, path):
-            existing = broadcast_if_small(read_table(spark, path).select(*natural), cfg.broadcast_max_rows, name)
+            existing = read_table(spark, path).select(*natural)
             cond = None
             for c in natural:
                 e = F.col(f"m.{c}").eqNullSafe(F.col(f"e.{c}"))
@@ -192,7 +195,8 @@ def fact_flow(spark: SparkSession, layout: Layout, cfg: C.Config = C.DEFAULT,
     s = stream_table(spark, layout.path(SILVER), silver_schema(spark, cfg, schema))
     dims = {name: read_table(spark, layout.path(name))
             for name in ["dim_date", "dim_time", *D.DATA_DIMS]}
-    return append_flow(fact_incidents(s, dims, cfg), layout.path(FACT), layout.checkpoint("fact"), name="fact")
+    sizes = {name: dim.count() for name, dim in dims.items()}
+    return append_flow(fact_incidents(s, dims, cfg, sizes=sizes), layout.path(FACT), layout.checkpoint("fact"), name="fact")
 
 
 def run_flows(spark: SparkSession, layout: Layout, source_dir: str, cfg: C.Config = C.DEFAULT,
@@ -204,14 +208,10 @@ def run_flows(spark: SparkSession, layout: Layout, source_dir: str, cfg: C.Confi
     try:
         _await(bronze_flow(spark, layout, source_dir, schema), report, BRONZE, totals)
         _await(silver_flow(spark, layout, cfg, schema), report, SILVER, totals)
+        _await(quarantine_flow(spark, layout, cfg, schema), report, QUARANTINE, totals)
         for name, q in dimension_flows(spark, layout, cfg, schema, stateful=stateful_dims):
             _await(q, report, name, totals)
         _await(fact_flow(spark, layout, cfg, schema), report, FACT, totals)
     finally:
         spark.streams.removeListener(totals)
     return report
-
-
-def dedup_stream(df: DataFrame, keys: list[str]) -> DataFrame:
-    """X3 on any stream: keep the first row seen per key."""
-    return df.dropDuplicates(keys)

@@ -385,8 +385,11 @@ WHERE vict_descent IS NOT NULL AND vict_descent NOT IN ({_in(C.PROFILE_DESCENT_C
   count(*) FILTER (WHERE f.{fk} IS NOT NULL AND d.k IS NULL) AS orphan_rows,
   count(DISTINCT f.{fk}) FILTER (WHERE f.{fk} IS NOT NULL AND d.k IS NULL) AS orphan_keys
 FROM fact f LEFT JOIN (SELECT DISTINCT {dk} AS k FROM {dim}) d ON f.{fk} = d.k""" for fk, dim, dk in FK_ROLES))
-    q["duplicate_keys"] = W('SELECT dr_no, count(*) AS "rows" FROM incidents WHERE dr_no IS NOT NULL '
-                            "GROUP BY dr_no HAVING count(*) > 1")
+    q["duplicate_keys"] = W('SELECT dr_no, count(*) AS "rows" FROM incidents GROUP BY dr_no HAVING count(*) > 1')
+    q["duplicate_districts"] = W('SELECT area, rpt_dist_no, count(*) AS "rows" FROM incidents '
+                                 "GROUP BY area, rpt_dist_no HAVING count(*) > 1")
+    q["incident_key_collisions"] = W(f"""SELECT "key", count(*) AS natural_keys FROM (
+  SELECT DISTINCT {_key('dr_no', 9973)} AS "key", dr_no FROM incidents) GROUP BY "key" HAVING count(*) > 1""")
     q["key_collisions"] = W(" UNION ALL ".join(f"""SELECT {_q(name)} AS dimension, CAST(coalesce(sum(m), 0) AS BIGINT) AS members,
   count(*) AS distinct_keys, count(*) FILTER (WHERE m > 1) AS colliding_keys
 FROM (SELECT {key}, count(*) AS m FROM (SELECT DISTINCT {key}, {nat} FROM {name.replace('_demographics', '')}) GROUP BY {key})"""
@@ -401,7 +404,11 @@ LEFT JOIN (SELECT time_occ, count(*) AS incidents FROM silver GROUP BY time_occ)
     q["crime_category"] = W("SELECT * FROM dim_crime_type", dim_crime_type=dim_crime_sql(True))
     q["out_of_bounds_flag"] = W(f"""SELECT dr_no, lat, lon, lat_clean, lon_clean,
   coalesce({LAT_BAD} OR {LON_BAD}, false) AS is_out_of_bounds FROM silver""")
-    q["fact_incidents"] = W("SELECT * FROM fact")
+    q["fact_incidents"] = q["flows_fact"] = W("SELECT * FROM fact")
+    q["flows_dim_location"] = q["dim_location"]
+    q["flows_layer_rows"] = W("""SELECT 'bronze' AS layer, count(*) AS "rows" FROM incidents
+UNION ALL SELECT 'silver', count(*) FROM silver UNION ALL SELECT 'fact', count(*) FROM fact
+UNION ALL SELECT 'quarantine', (SELECT count(*) FROM incidents) - (SELECT count(*) FROM silver)""")
     q["fact_null_fk_counts"] = W(f"""SELECT foreign_key, null_rows, __n AS fact_rows FROM (UNPIVOT (
   SELECT count(*) AS __n, {', '.join(f'count(*) FILTER (WHERE {fk} IS NULL) AS {fk}' for fk, _, _ in FK_ROLES)} FROM fact)
   ON {', '.join(fk for fk, _, _ in FK_ROLES)} INTO NAME foreign_key VALUE null_rows)""")
@@ -515,8 +522,8 @@ FROM (SELECT count(*) AS rows_in, count(*) FILTER (WHERE NOT ({ALL_RULES})) AS r
     quarterly = f"SELECT year, quarter, {cnt} FROM {star('date_occurred')} GROUP BY ALL"
     q["quarterly_change"] = W(period_change(quarterly, "year, quarter", "year * 4 + quarter"))
     step = C.DEFAULT.grid_step
-    q["density_grid"] = W(f"""SELECT CAST(floor(latitude / {step}) AS BIGINT) AS lat_cell,
-  CAST(floor(longitude / {step}) AS BIGINT) AS lon_cell, {cnt}
+    q["density_grid"] = W(f"""SELECT CAST(floor(round(latitude * 1000000) / {round(step * 1000000)}) AS BIGINT) AS lat_cell,
+  CAST(floor(round(longitude * 1000000) / {round(step * 1000000)}) AS BIGINT) AS lon_cell, {cnt}
 FROM fact WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY ALL""")
     q["top_areas"] = W(f"""SELECT area, area_name, {cnt} FROM {star('location')} GROUP BY ALL
 ORDER BY incidents DESC, area ASC NULLS LAST, area_name ASC NULLS LAST LIMIT 10""")

@@ -10,6 +10,8 @@ from blotter import config as C
 from blotter.functions import expressions as X
 from blotter.functions.keys import surrogate_key
 from blotter.operators import dims as D
+from blotter.operators import marts as M
+from blotter.operators import profile as R
 from blotter.operators import quality as Q
 from blotter.operators.fact import fact_incidents
 from blotter.operators.silver import silver
@@ -184,3 +186,29 @@ def test_key_modes(spark):
     assert r[0].p == r[0].expected and r[1].p == 42
     assert all(0 <= v.m < 1_000_000 and 0 <= v.x64 < 1_000_000 for v in r)
     assert r[1].m == 42 and r[1].x64 == 42
+
+
+def test_known_text_wins_over_missing_text(spark):
+    """A code seen without text in some rows takes the text it has elsewhere."""
+    df = spark.createDataFrame([(1.0, None), (1.0, "STREET"), (1.0, "STREET"), (2.0, None)], "premis_cd double, premis_desc string")
+    got = {r.premis_cd: r.premis_desc for r in D.dedup(df, ["premis_cd"], ["premis_desc"]).collect()}
+    assert got == {1.0: "STREET", 2.0: None}
+
+
+def test_areas_are_compared_as_numbers(spark):
+    df = spark.createDataFrame([(5.0, "a"), (22.0, "b"), (None, "c"), (1.5, "d")], "area double, area_name string")
+    assert sorted(r.area for r in R.invalid_areas(df).collect()) == [1.5, 22.0]
+
+
+def test_grid_edges_fall_into_their_cell(spark):
+    df = spark.createDataFrame([(34.15, -118.25), (34.149999, -118.3)], "latitude double, longitude double")
+    assert sorted((r.lat_cell, r.lon_cell) for r in M.density_grid(df).collect()) == [(682, -2366), (683, -2365)]
+
+
+def test_fixed_values_stated_independently():
+    """The oracle shares the config, so a wrong value there would pass on both sides."""
+    assert C.NO_WEAPON_CODE == -1.0
+    assert list(C.VALID_AREAS) == list(range(1, 22))
+    assert C.PROFILE_SEX_CODES == ["F", "M", "X", "H", "-"]
+    assert C.RAW_AGE_BANDS[0] == (18, "0-17 (Juvenile)") and C.RAW_AGE_BANDS[-1] == (120, "65+ (Senior)")
+    assert C.QUALITY_RULES["valid_date_range"] == "date_occ >= '2020-01-01'"

@@ -49,12 +49,14 @@ def test_layout_scoping(spark, scratch):
 
 def test_partitioned_fact_prunes_by_date(spark, scratch):
     L = run_batch(spark, Layout(f"{scratch}/p"), bronze_from_fixture(spark, SF001),
-                  fact_partition_by=["date_occurred_key"])
+                  fact_by_month=True)
     fact = read_table(spark, f"{scratch}/p/fact_crime_incidents")
     assert fact.count() == 1446
-    q = fact.filter(F.col("date_occurred_key") == 20210105)
+    # Clustered by month before the write: few files, not one per task and month.
+    assert len(fact.inputFiles()) <= 2 * fact.select("month_occurred").distinct().count()
+    q = fact.filter((F.col("month_occurred") == 202101) & (F.col("date_occurred_key") == 20210105))
     plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date_occurred_key" in plan
+    assert "PartitionFilters: [isnotnull(month_occurred" in plan
     assert q.count() == L.silver.filter(F.to_date("date_occ") == F.lit("2021-01-05").cast("date")).count()
 
 

@@ -1,5 +1,6 @@
 """Properties of the star over the sf0.001 fixture and plan-shape checks."""
 
+import tempfile
 from collections import Counter
 
 import pytest
@@ -10,7 +11,8 @@ from blotter.operators import dims as D
 from blotter.operators import profile as R
 from blotter.operators import quality as Q
 from blotter.operators.fact import STAR_ROLES, fact_incidents, fact_null_fk_counts, star_join
-from blotter.plans.pipeline import bronze_from_fixture, build_layers, run_batch
+from blotter.plans.queries import registry
+from blotter.plans.pipeline import bronze_from_fixture, run_batch
 from blotter.sources.tables import Layout
 
 from conftest import SF001
@@ -18,7 +20,8 @@ from conftest import SF001
 
 @pytest.fixture(scope="module")
 def layers(spark):
-    return build_layers(spark, bronze_from_fixture(spark, SF001), C.Config(), cut=True)
+    return run_batch(spark, Layout(tempfile.mkdtemp(prefix="blotter-test-", dir="/tmp")),
+                     bronze_from_fixture(spark, SF001), C.Config(key_mode="md5"))
 
 
 @pytest.fixture(scope="module")
@@ -47,7 +50,7 @@ def test_foreign_keys_resolve(layers):
     for role in ["date_occurred", "date_reported", "time", "location", "crime_type", "victim",
                  "premise", "weapon", "status"]:
         dim_name, fk, dk, _ = STAR_ROLES[role]
-        r = Q.orphan_keys(layers.fact, layers.dims[dim_name], fk, dk).first()
+        r = Q.orphan_keys(layers.fact, {fk: (layers.dims[dim_name], dk)}).first()
         assert r.orphan_rows == 0, fk
 
 
@@ -114,8 +117,14 @@ def _plan(df) -> str:
     return text.split("== Initial Plan ==")[0]
 
 
+def _jobs(spark) -> int:
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
 def test_fact_plan_broadcasts_every_dimension_without_shuffling_the_fact(spark, tables):
-    f = fact_incidents(tables.silver, tables.dims, C.Config())
+    before = _jobs(spark)
+    f = fact_incidents(tables.silver, tables.dims, C.Config(), sizes=tables.sizes)
+    assert _jobs(spark) == before          # building the plan starts no job
     f.collect()
     plan = _plan(f)
     assert plan.count("BroadcastHashJoin") == 9, plan
@@ -124,6 +133,26 @@ def test_fact_plan_broadcasts_every_dimension_without_shuffling_the_fact(spark,
     assert "Exchange hashpartitioning" not in plan
 
 
+def test_stored_fact_is_read_without_needless_joins(spark):
+    """Registered marts read the written fact and join their own roles only."""
+    reg = registry()
+    for name, joins in (("arrest_rate", 0), ("density_grid", 0), ("top_areas", 1), ("type_by_period", 2)):
+        df = reg[name](spark, SF001)
+        df.collect()
+        plan = _plan(df)
+        assert plan.count("BroadcastHashJoin") + plan.count("SortMergeJoin") == joins, name
+        assert "ExistingRDD" not in plan
+
+
+def test_orphan_keys_scan_the_fact_once(spark, tables):
+    df = Q.orphan_keys(tables.fact, {fk: (tables.dims[d], dk) for d, fk, dk, _ in STAR_ROLES.values()})
+    assert {r.foreign_key: (r.null_rows, r.orphan_rows) for r in df.collect()}.keys() == {v[1] for v in STAR_ROLES.values()}
+    assert _plan(df).count("date_occurred_key") and _plan(df).count(C.FACT) == 1
+    less = tables.dims["dim_weapon"].filter("weapon_used_cd <> -1")
+    one = Q.orphan_keys(tables.fact, {"weapon_key": (less, "weapon_key")}).first()
+    assert one.orphan_keys == 1 and one.orphan_rows == tables.silver.filter("weapon_used_cd is null").count()
+
+
 def test_star_join_falls_back_to_salted_shuffle_join_when_dimension_too_large(spark, tables):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
@@ -131,9 +160,13 @@ def test_star_join_falls_back_to_salted_shuffle_join_when_dimension_too_large(sp
         args = (tables.silver, tables.dims["dim_weapon"],
                 [(F.coalesce(F.col("weapon_used_cd"), F.lit(-1.0)), "weapon_used_cd")],
                 {"weapon_key": "weapon_key"}, "weapon")
-        salted = star_join(*args, max_rows=10, salt_buckets=8)
-        plain = star_join(*args, max_rows=10, salt_buckets=0)
-        cast = star_join(*args, max_rows=1000)
+        few = C.Config(broadcast_max_rows=10)
+        salted = star_join(*args, cfg=few, known_rows=99, hot=[-1.0])
+        plain = star_join(*args, cfg=few, known_rows=99)
+        cast = star_join(*args, known_rows=99)
+        for small in (C.Config(broadcast_max_bytes=1), C.Config()):
+            unknown = star_join(*args, cfg=small, known_rows=99 if small.broadcast_max_bytes == 1 else None)
+            assert "BroadcastHashJoin" not in _plan(unknown)
         rows = [Counter(map(tuple, j.select("dr_no", "weapon_key").collect())) for j in (salted, plain, cast)]
         assert rows[0] == rows[1] == rows[2]
         assert sum(rows[0].values()) == tables.silver.count()

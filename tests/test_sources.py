@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from blotter.operators.marts import layer_counts
 from blotter.plans.pipeline import bronze_from_fixture, run_batch
-from blotter.sources.csv import read_incidents_csv, with_ingest_audit
+from blotter import config as C
+from blotter.sources.csv import CORRUPT, read_incidents_csv, with_ingest_audit
 from blotter.sources.schema import INCIDENT_SCHEMA, infer_and_pin_schema, load_pinned_schema
 from blotter.sources.spines import code_table, date_spine, minute_spine
-from blotter.sources.tables import Layout
+from blotter.sources.tables import Layout, read_table
 
 from conftest import SF001
 
@@ -42,6 +43,23 @@ def test_infer_and_pin_schema_round_trip(spark, scratch):
     assert load_pinned_schema(spark, f"{scratch}/schema") == schema
 
 
+def test_integers_written_as_floats_and_truncated_lines_survive(spark, scratch):
+    """5.0 reads as 5; a truncated line keeps its text and ends in quarantine."""
+    names = [f.name for f in INCIDENT_SCHEMA.fields]
+    values = {"dr_no": "1", "date_rptd": "2020-01-02T00:00:00", "date_occ": "2020-01-01T00:00:00", "time_occ": "1200.0",
+              "area": "5.0", "rpt_dist_no": "501.0", "crm_cd": "110.0", "vict_age": "30.0", "lat": "34.0", "lon": "-118.2"}
+    os.makedirs(f"{scratch}/in")
+    with open(f"{scratch}/in/a.csv", "w") as f:
+        f.write(",".join(names) + "\n" + ",".join(values.get(n, "") for n in names) + "\n2,2020-01-02T00:00:00\n")
+    raw = with_ingest_audit(read_incidents_csv(spark, f"{scratch}/in", corrupt_col=CORRUPT))
+    L = run_batch(spark, Layout(f"{scratch}/t"), raw)
+    got = L.silver.select("time_occ", "area", "rpt_dist_no", "crm_cd", "vict_age").collect()
+    assert [tuple(r) for r in got] == [(1200, 5, 501, 110, 30)]
+    lost = read_table(spark, Layout(f"{scratch}/t").path(C.QUARANTINE)).collect()
+    assert [r[CORRUPT] for r in lost] == ["2,2020-01-02T00:00:00"] and lost[0].failed_rules
+    assert L.bronze.count() == L.silver.count() + len(lost)
+
+
 def test_spines_and_code_table(spark):
     assert date_spine(spark, "2019-01-01", "2029-12-31").count() == 4018
     assert minute_spine(spark).agg(F.min("minutes_since_midnight"), F.max("minutes_since_midnight")).first() == (0, 1439)
@@ -52,7 +70,7 @@ def test_batch_pipeline_tables_and_layer_counts(spark, scratch):
     layout = Layout(f"{scratch}/tables")
     L = run_batch(spark, layout, bronze_from_fixture(spark, SF001))
     assert set(layout.tables(spark)) == {
-        "lacrime_incidents_bronze", "lacrime_incidents_silver", "dim_date", "dim_time", "dim_status",
+        "incidents_bronze", "incidents_silver", "incidents_quarantine", "dim_date", "dim_time", "dim_status",
         "dim_location", "dim_premise", "dim_weapon", "dim_crime_type", "dim_victim_demographics",
         "fact_crime_incidents"}
     counts = {r.layer: r.rows for r in layer_counts(L.bronze, L.silver, L.fact).collect()}

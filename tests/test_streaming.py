@@ -49,7 +49,7 @@ def test_stream_matches_batch(spark, scratch, stateful):
 
     # Batch over the same three files.
     batch_bronze = with_ingest_audit(read_incidents_csv(spark, src))
-    L = build_layers(spark, batch_bronze, cut=False)
+    L = build_layers(spark, batch_bronze)
 
     stream_fact = read_table(spark, layout.path(flows.FACT))
     assert stream_fact.count() == L.fact.count() == 1446
@@ -61,6 +61,7 @@ def test_stream_matches_batch(spark, scratch, stateful):
     silver_cols = ["ingestion_datetime", "silver_processed_datetime", "source_filename"]
     assert _multiset(read_table(spark, layout.path(flows.SILVER)), silver_cols) == \
         _multiset(L.silver, silver_cols)
+    assert read_table(spark, layout.path(flows.QUARANTINE)).count() == 1500 - 1446
     # Quality metrics of both runs add up to the rows dropped.
     dropped = r1.quality["rows_dropped"] + r2.quality["rows_dropped"]
     assert dropped == 1500 - 1446
