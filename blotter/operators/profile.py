@@ -699,7 +699,7 @@ class ProfileReports(dict):
 
 def profile_all(df: DataFrame, cfg: C.Config = C.DEFAULT, approx_distinct: bool | None = None,
                 persist: bool = True) -> ProfileReports:
-    """Every report of R1-R28 from three passes over ``df``.
+    """Every report of R1-R28 from three passes over ``df``, and the four samples.
 
     * one aggregate with the counters of all scalar reports (identical
       aggregate expressions are computed once);
@@ -753,4 +753,9 @@ def profile_all(df: DataFrame, cfg: C.Config = C.DEFAULT, approx_distinct: bool
         present = GROUPINGS[grouping]
         counts = grouped.filter(F.col("__gid") == _grouping_id(cols, present)).select(*present, CNT)
         out[report] = shape(counts)
+    # The samples are top-k scans of their own: they show whole rows.
+    out["illogical_dates_sample"] = illogical_dates_sample(df)
+    for name, fn in (("future_dates_sample", future_dates_sample), ("coordinate_bounds_sample", coordinate_bounds_sample),
+                     ("age_validity_sample", age_validity_sample)):
+        out[name] = fn(df, cfg)
     return out

@@ -55,10 +55,10 @@ def main() -> None:
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     salted = star_join(L.silver, L.dims["dim_weapon"],
                        [(F.coalesce(F.col("weapon_used_cd"), F.lit(-1.0)), "weapon_used_cd")],
-                       {"weapon_key": "weapon_key"}, "weapon", max_rows=10, salt_buckets=16)
+                       {"weapon_key": "weapon_key"}, "weapon", cfg=C.Config(broadcast_max_rows=10), known_rows=99, hot=[-1.0])
     plans = [
         ("Fact build (J1-J9, G3): nine broadcast joins, no exchange on the fact side",
-         fact_incidents(L.silver, L.dims, cfg)),
+         fact_incidents(L.silver, L.dims, cfg, sizes=L.sizes)),
         ("Silver (E10): gate and enrichment in one codegen stage over the bronze scan "
          "(IsNotNull(dr_no) pushed to Parquet)", silver(L.bronze, cfg)),
         ("Dimension (D8): hash distinct over (key, payload) first, then the deterministic "
@@ -71,8 +71,9 @@ def main() -> None:
         ("Distinct profile (R4): stacked (column, value) pairs, two aggregations", prof["cardinality_profile"]),
         ("Period change (B1/W1): one aggregation pass, periods paired by a second tiny grouping (no self-join)",
          M.yearly_yoy(L.star(["date_occurred"], cfg))),
-        ("Orphan keys (Q5): child pre-aggregated by key, one left join to broadcast parent keys, one sum",
-         Q.orphan_keys(L.fact, L.dims["dim_location"], "location_key", "location_key")),
+        ("Orphan keys (Q5): keys stacked and pre-aggregated in one scan, one left join to the stacked parent keys",
+         Q.orphan_keys(L.fact, {"location_key": (L.dims["dim_location"], "location_key"),
+                                "weapon_key": (L.dims["dim_weapon"], "weapon_key")})),
         ("Salted fallback join (dimension above the broadcast bound)", salted),
     ]
     out = ["# Physical plans of the headline operators",
