@@ -85,28 +85,27 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     to the smallest one known until the edges are stars around the smallest
     node of each component. Minima are combined before the shuffle and a hot
     node's edges are salted, so no step holds a node's neighbours together."""
-    e = (edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-         .filter("u <> v").distinct())
-    e = stored(e, "links")
+    e = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+               .filter("u <> v").distinct(), "links")
     for _ in range(rounds):
+        if _stars(e):
+            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+                e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (salted_lookup(both, low, ["u"], F.col("v")).filter("v > u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
-        large = stored(large, "links")
+        large = stored(salted_lookup(both, low, ["u"], F.col("v")).filter("v > u")
+                       .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v"), "links")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = salted_lookup(large, low, ["u"], F.col("v"))
-        new = stored(small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                     .unionByName(small.select("u", F.col("m").alias("v")))
-                     .filter("u <> v").distinct(), "links")
-        same = _edge_sum(new) == _edge_sum(e)
-        e = new
-        if same:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        pair = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
+                                 F.struct(F.col("u"), F.col("m").alias("v"))))
+        e = stored(small.select(pair.alias("e")).select("e.*").filter("u <> v").distinct(), "links")
     raise RuntimeError("components did not settle")
 
 
-def _edge_sum(e: DataFrame) -> tuple:
-    r = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(r)
+def _stars(e: DataFrame) -> bool:
+    """Whether every node is either the centre of its edges (as v) or has one edge (as u)."""
+    ends = F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("a"), F.lit(0).alias("b")),
+                             F.struct(F.col("v").alias("x"), F.lit(0).alias("a"), F.lit(1).alias("b"))))
+    held = e.select(ends.alias("e")).groupBy("e.x").agg(F.sum("e.a").alias("a"), F.max("e.b").alias("b"))
+    return held.filter("a + b <> 1").isEmpty()

@@ -11,8 +11,8 @@ aligned of a and b shingles. The band is as wide as that bound allows.
 Documents with the same words are one class from the start and only their
 smallest id is sketched further. Not every pair of a bucket is compared: each
 member is compared with the bucket's most connected one, then only members
-that are still in different components are, as far as the shingles that no
-other such member has leave enough to agree in. So every pair that shares a
+that are still in different components are, as far as they can have enough
+shingles in common. So every pair that shares a
 sketch is compared, known to be connected, or known not to link. At similarity
 0.8 a pair shares no sketch with probability 0.0002, less above.
 
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, packed, salted_lookup, small_text_batches, stored, table, unpacked
@@ -42,6 +42,11 @@ PICKED = 5
 SKETCHES = 22
 _WORD = re.compile(r"[^\W_]+")
 _CACHE_WORDS = 500_000
+#: Buckets up to this size compare what is apart in them pair by pair; larger
+#: ones first bound what a pair can have in common (the links are the same).
+SMALL_BUCKET = 16
+#: Places a shingle may have to count as rare for that bound.
+RARE = 16
 #: Elements of a block of sketch hashes.
 _BLOCK = 1 << 20
 _rng = np.random.default_rng(20)
@@ -217,28 +222,57 @@ def _buckets(reps: DataFrame) -> DataFrame:
     best = (shared.join(weight, "rep").groupBy("key")
             .agg(F.max(F.struct("weight", (-F.col("rep")).alias("m"))).alias("top"))
             .select("key", (-F.col("top.m")).alias("leader")))
-    return stored(salted_lookup(shared.drop("size"), best, ["key"], F.col("rep")), "copies-buckets")
+    return stored(salted_lookup(shared, best, ["key"], F.col("rep")), "copies-buckets")
 
 
 def _alike_in_length(similarity: float):
     return F.least("n", "n2") >= F.greatest("n", "n2") * similarity - 1e-9
 
 
-def _matchable(member: DataFrame, sequence: DataFrame) -> DataFrame:
-    """``member`` (rep, n, ...) with ``m``: its shingles that another of the
-    members has. Two of them align in no more than the smaller m."""
-    shingle = (sequence.join(member.select("rep").distinct().hint("shuffle_merge"), "rep")
-               .select("rep", F.explode("h").alias("s")))
-    own = (shingle.groupBy("s").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"), F.count(F.lit(1)).alias("c"))
-           .filter("rep = other").groupBy("rep").agg(F.sum("c").alias("alone")))
-    return (member.join(own.hint("shuffle_merge"), "rep", "left")
-            .withColumn("m", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone"))
+def _across(members: DataFrame, least: Column | None = None) -> DataFrame:
+    """Pairs (a, b) of a bucket's members in different components of which one
+    is not in the leader's; with ``least`` only those whose ``f`` reaches it."""
+    apart = (members.filter("component <> _lead")
+             .select("key", F.col("rep").alias("x"), F.col("component").alias("cx"),
+                     *[F.col(c).alias(f"{c}2") for c in ("n", "f") if c in members.columns]))
+    new = ((F.col("component") != F.col("cx")) & (F.col("rep") != F.col("leader"))
+           & ((F.col("component") == F.col("_lead")) | (F.col("rep") < F.col("x"))))
+    if least is not None:
+        new = new & (F.least("f", "f2") >= least)
+    return (members.join(apart, "key").filter(new)
+            .select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b"), "n", "n2"))
+
+
+def _across_large(members: DataFrame, sequence: DataFrame, least: Column) -> DataFrame:
+    """``_across`` for large buckets, without the pairs that cannot link.
+
+    f: a document's shingles that more than ``RARE`` places have. Documents
+    that share r rarer ones align in no more than the smaller f plus r, so
+    pairs come from members with enough frequent shingles, and from those that
+    do share rare ones (at most RARE places each)."""
+    docs = members.select("rep", "n", "component").distinct()
+    shingle = stored(sequence.join(docs.select("rep").hint("shuffle_merge"), "rep").select("rep", F.explode("h").alias("s")),
+                     "copies-shingles")
+    few = shingle.groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") <= RARE)
+    rare = stored(shingle.join(few, "s"), "copies-rare")
+    own = rare.groupBy("rep").agg(F.count(F.lit(1)).alias("rare"))
+    f = F.col("n") - F.coalesce("rare", F.lit(0))
+    docs = stored(docs.join(own.hint("shuffle_merge"), "rep", "left").withColumn("f", f).drop("rare"), "copies-docs")
+    frequent = _across(members.join(docs.select("rep", "f").hint("shuffle_merge"), "rep"), least).select("a", "b", "n", "n2")
+    held = rare.filter("c > 1")
+    share = (held.select("s", F.col("rep").alias("a")).join(held.select("s", F.col("rep").alias("b")), "s").filter("a < b")
+             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("r")))
+    second = docs.select(F.col("rep").alias("b"), F.col("n").alias("n2"), F.col("f").alias("f2"), F.col("component").alias("cb"))
+    rarely = (share.join(docs.withColumnRenamed("rep", "a"), "a").join(second, "b")
+              .filter((F.col("component") != F.col("cb")) & (F.least("f", "f2") + F.col("r") >= least))
+              .select("a", "b", "n", "n2"))
+    return frequent.unionByName(rarely)
 
 
 def links(reps: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b) between representatives, enough to connect all that link."""
     bucket = _buckets(reps)
-    n_of = reps.select(F.col("rep").alias("leader"), F.col("n").alias("n2"))
+    n_of = reps.select(F.col("rep").alias("leader"), F.col("n").alias("n2")).hint("shuffle_merge")
     star = (bucket.filter("rep <> leader").select("leader", "rep", "n").distinct()
             .join(n_of, "leader").filter(_alike_in_length(similarity)))
     first = stored(star.select(F.col("leader").alias("a"), F.col("rep").alias("b")), "copies-pairs")
@@ -246,23 +280,19 @@ def links(reps: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> D
     sequence = stored(sequences(docs, held), "copies-sequences")
     one = stored(verify(first, sequence, similarity), "copies-links")
     comp = stored(components(one.select(F.col("a").alias("u"), F.col("b").alias("v"))), "copies-components")
-    known = stored(_with_component(bucket, comp), "copies-known")
-    # What is not yet connected to the leader meets every other member with
-    # which it has enough in common.
+    # Where a bucket is not connected, what is apart meets the other members.
+    known = _with_component(bucket, comp)
     lead = comp.select(F.col("node").alias("leader"), F.col("component").alias("_lead"))
-    apart = (salted_lookup(known, lead, ["leader"], F.col("rep"), "left")
-             .withColumn("_lead", F.coalesce("_lead", "leader")).filter("component <> _lead"))
-    some = known.join(apart.select("key").distinct().hint("shuffle_merge"), "key", "left_semi")
-    some = stored(_matchable(some, sequence), "copies-some")
-    apart = (salted_lookup(some, lead, ["leader"], F.col("rep"), "left")
-             .withColumn("_lead", F.coalesce("_lead", "leader")).filter("component <> _lead")
-             .select("key", F.col("rep").alias("x"), F.col("n").alias("n2"), F.col("m").alias("m2"),
-                     F.col("component").alias("cx"), "_lead"))
+    known = stored(salted_lookup(known, lead, ["leader"], F.col("rep"), "left")
+                   .withColumn("_lead", F.coalesce("_lead", "leader")), "copies-known")
+    torn = known.filter("component <> _lead").select("key").distinct()
+    some = stored(known.join(torn.hint("shuffle_merge"), "key", "left_semi"), "copies-some")
     least = (F.col("n") + F.col("n2")) * (similarity / (1 + similarity)) - 1e-6
-    met = (some.join(apart, "key").filter((F.col("component") != F.col("cx")) & (F.col("rep") != F.col("leader"))
-                                          & ((F.col("component") == F.col("_lead")) | (F.col("rep") < F.col("x"))))
-           .filter(_alike_in_length(similarity) & (F.least("m", "m2") >= least))
-           .select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct())
+    met = _across(some.filter(F.col("size") <= SMALL_BUCKET))
+    large = some.filter(F.col("size") > SMALL_BUCKET)
+    if not large.isEmpty():
+        met = met.unionByName(_across_large(large, sequence, least))
+    met = met.filter(_alike_in_length(similarity)).select("a", "b").distinct()
     two = stored(verify(stored(met, "copies-pairs"), sequence, similarity), "copies-links")
     return one.unionByName(two)
 
