@@ -18,20 +18,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import config as C
 
-TABLES = [
-    C.BRONZE,
-    C.SILVER,
-    C.QUARANTINE,
-    "dim_date",
-    "dim_time",
-    "dim_status",
-    "dim_location",
-    "dim_premise",
-    "dim_weapon",
-    "dim_crime_type",
-    "dim_victim_demographics",
-    C.FACT,
-]
+# Table -> comment, in dependency order.
+COMMENTS = {
+    C.BRONZE: "Raw incidents as ingested, with audit columns",
+    C.SILVER: "Incidents that pass the quality gate, cleaned and enriched",
+    C.QUARANTINE: "Incidents that the quality gate drops, with the rules they fail",
+    "dim_date": "Calendar days",
+    "dim_time": "Minutes of the day",
+    "dim_status": "Case statuses",
+    "dim_location": "Areas and reporting districts",
+    "dim_premise": "Premises",
+    "dim_weapon": "Weapons",
+    "dim_crime_type": "Crime codes",
+    "dim_victim_demographics": "Victim age, sex and descent",
+    C.FACT: "Incidents with foreign keys, measures and flags",
+}
 
 
 @dataclass
@@ -39,8 +40,8 @@ class Layout:
     """Where the tables of one pipeline live.
 
     ``base`` is a directory URI; ``checkpoints`` defaults to ``base/_checkpoints``
-    and must be outside any input directory. ``catalog``/``schema`` are kept
-    for naming only (no metastore is required).
+    and must be outside any input directory. No metastore is required; where a
+    ``schema`` is named, ``register`` enters the tables and their comments there.
     """
 
     base: str
@@ -61,8 +62,27 @@ class Layout:
         return ".".join(parts + [table])
 
     def tables(self, spark: SparkSession) -> list[str]:
-        """Tables of the layout that exist."""
-        return [t for t in TABLES if table_exists(spark, self.path(t))]
+        """Readable tables below the base folder, whatever their names."""
+        base = spark._jvm.org.apache.hadoop.fs.Path(self.base)
+        fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(base):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(base) if f.isDirectory()]
+        return sorted(n for n in names if not n.startswith(("_", ".")) and table_exists(spark, self.path(n)))
+
+    def register(self, spark: SparkSession) -> list[str]:
+        """Enter the existing tables, with their comments, into the named schema
+        (K3, S10): external tables over the same files."""
+        if not self.schema:
+            raise ValueError("name a schema to register tables in")
+        space = ".".join(f"`{p}`" for p in (self.catalog, self.schema) if p)
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {space}")
+        names = self.tables(spark)
+        for name in names:
+            text = self.comments.get(name, COMMENTS.get(name, "")).replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"DROP TABLE IF EXISTS {space}.`{name}`")
+            spark.sql(f"CREATE TABLE {space}.`{name}` USING parquet LOCATION '{self.path(name)}' COMMENT '{text}'")
+        return names
 
     def use(self, spark: SparkSession) -> None:
         """Make the layout's catalog/schema current when the session has them."""
@@ -72,7 +92,7 @@ class Layout:
             spark.catalog.setCurrentDatabase(self.schema)
 
     def comment(self, table: str, text: str) -> None:
-        """Record a table comment (K3); documentation only."""
+        """Set a table comment (K3), stored by ``register``."""
         self.comments[table] = text
 
 

@@ -60,6 +60,21 @@ def test_integers_written_as_floats_and_truncated_lines_survive(spark, scratch):
     assert L.bronze.count() == L.silver.count() + len(lost)
 
 
+def test_tables_and_comments_are_registered(spark, scratch):
+    layout = Layout(f"{scratch}/tables", schema="blotter_test")
+    spark.range(3).write.parquet(layout.path("dim_status"))
+    spark.range(2).write.parquet(layout.path("any_other"))
+    os.makedirs(f"{scratch}/tables/_checkpoints")
+    layout.comment("any_other", "it's \\ free text")
+    try:
+        assert layout.register(spark) == layout.register(spark) == ["any_other", "dim_status"]
+        assert spark.table("blotter_test.dim_status").count() == 3
+        text = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED blotter_test.any_other").collect()}
+        assert text["Comment"] == "it's \\ free text"
+    finally:
+        spark.sql("DROP SCHEMA IF EXISTS blotter_test CASCADE")
+
+
 def test_spines_and_code_table(spark):
     assert date_spine(spark, "2019-01-01", "2029-12-31").count() == 4018
     assert minute_spine(spark).agg(F.min("minutes_since_midnight"), F.max("minutes_since_midnight")).first() == (0, 1439)
