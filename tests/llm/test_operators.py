@@ -1,7 +1,6 @@
 """Operators against brute force, round trips and SQL on small inputs."""
 
 import hashlib
-import os
 import random
 import re
 
