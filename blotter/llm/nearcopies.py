@@ -251,17 +251,18 @@ def _across_large(members: DataFrame, sequence: DataFrame, least: Column) -> Dat
     pairs come from members with enough frequent shingles, and from those that
     do share rare ones (at most RARE places each)."""
     docs = members.select("rep", "n", "component").distinct()
-    shingle = stored(sequence.join(docs.select("rep").hint("shuffle_merge"), "rep").select("rep", F.explode("h").alias("s")),
-                     "copies-shingles")
-    few = shingle.groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") <= RARE)
-    rare = stored(shingle.join(few, "s"), "copies-rare")
-    own = rare.groupBy("rep").agg(F.count(F.lit(1)).alias("rare"))
+    # One row for each shingle of a document, however often it repeats there.
+    shingle = stored(sequence.join(docs.select("rep").hint("shuffle_merge"), "rep").select("rep", F.explode("h").alias("s"))
+                     .groupBy("rep", "s").agg(F.count(F.lit(1)).alias("k")), "copies-shingles")
+    few = shingle.groupBy("s").agg(F.sum("k").alias("c")).filter(F.col("c") <= RARE)
+    rare = stored(salted_lookup(shingle, few, ["s"], F.col("rep")), "copies-rare")
+    own = rare.groupBy("rep").agg(F.sum("k").alias("rare"))
     f = F.col("n") - F.coalesce("rare", F.lit(0))
     docs = stored(docs.join(own.hint("shuffle_merge"), "rep", "left").withColumn("f", f).drop("rare"), "copies-docs")
     frequent = _across(members.join(docs.select("rep", "f").hint("shuffle_merge"), "rep"), least).select("a", "b", "n", "n2")
-    held = rare.filter("c > 1")
-    share = (held.select("s", F.col("rep").alias("a")).join(held.select("s", F.col("rep").alias("b")), "s").filter("a < b")
-             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("r")))
+    held = rare.filter("c > k")
+    share = (held.select("s", F.col("rep").alias("a"), "k").join(held.select("s", F.col("rep").alias("b"), F.col("k").alias("k2")), "s")
+             .filter("a < b").groupBy("a", "b").agg(F.sum(F.least("k", "k2")).alias("r")))
     second = docs.select(F.col("rep").alias("b"), F.col("n").alias("n2"), F.col("f").alias("f2"), F.col("component").alias("cb"))
     rarely = (share.join(docs.withColumnRenamed("rep", "a"), "a").join(second, "b")
               .filter((F.col("component") != F.col("cb")) & (F.least("f", "f2") + F.col("r") >= least))

@@ -97,26 +97,31 @@ def test_loser_tree_merges_like_sorting(lists):
 # ---------------------------------------------------------------- near copies
 def near_cases():
     rng = random.Random(7)
-    vocab = [f"w{i}" for i in range(500)]
-    docs, want = [], {}
+    vocab, few = [f"w{i}" for i in range(500)], ["the", "of", "in"]
+    docs = []
 
-    def add(words, cls):
-        want[len(docs)] = cls if cls is not None else len(docs)
+    def add(words):
         docs.append((len(docs), " ".join(words)))
-        return len(docs) - 1
 
     for _ in range(12):
         base = [rng.choice(vocab) for _ in range(rng.randrange(30, 400))]
-        first = add(base, None)
+        add(base)
         for _ in range(rng.randrange(1, 9)):
             copy = list(base)
             for _ in range(max(1, len(base) // 60)):
                 copy[rng.randrange(len(copy))] = rng.choice(vocab)
-            add(copy, first)
-        add([w.upper() + "," for w in base], first)
+            add(copy)
+        add([w.upper() + "," for w in base])
+    # One large group with few replacement words, some of it beyond the bound.
+    base = [rng.choice(vocab) for _ in range(100)]
+    for i in range(40):
+        copy = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            copy[rng.randrange(100)] = rng.choice(few)
+        add(copy)
     for _ in range(20):
-        add([rng.choice(vocab) for _ in range(rng.randrange(5, 100))], None)
-    return docs, want
+        add([rng.choice(vocab) for _ in range(rng.randrange(5, 100))])
+    return docs
 
 
 def jaccard_ordered(a, b):
@@ -132,8 +137,12 @@ def jaccard_ordered(a, b):
     return m / (len(x) + len(y) - m) if x and y else 0.0
 
 
-def test_near_copies_equal_brute_force(spark):
-    docs, _ = near_cases()
+@pytest.mark.parametrize("small,rare", [(16, 16), (1, 16), (1, 2)])
+def test_near_copies_equal_brute_force(spark, monkeypatch, small, rare):
+    """The bound for large buckets (here for all) changes no class."""
+    monkeypatch.setattr(nearcopies, "SMALL_BUCKET", small)
+    monkeypatch.setattr(nearcopies, "RARE", rare)
+    docs = near_cases()
     parent = list(range(len(docs)))
 
     def root(i):
