@@ -10,7 +10,8 @@ Matching uses DataFrame functions only.
 Defined cases: a null text is empty; rows that repeat a document id share its
 candidate set (a superset for each) and are verified one by one; a null id is
 matched null-safely; ``redact`` passes all columns through, whatever their
-names (``scan`` replaces one named ``spans``).
+names (``scan`` replaces one named ``spans``). ``scan`` reports a private key at
+its header line; ``redact`` takes out the whole key (``BLOCK``).
 """
 
 from __future__ import annotations
@@ -56,6 +57,16 @@ EXTRA = (
     Rule("jwt", "eyJ[A-Za-z0-9_-]{8,}[.]eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]+"),
 )
 RULES = BASE + EXTRA
+# A private key from its header to the END line; where that is missing, over the
+# header fields and base64 lines that follow (the last line may be short). Line
+# ends may be escaped, and lines quoted, indented or marked. Possessive
+# quantifiers: Java repeats such groups without recursion.
+_GAP = r"""(?:[\s"',;>|#*-]|\\++[nrt])"""
+BLOCK = (EXTRA[0].regex + r"(?:[^-]*+(?:-{1,4}[^-]++)*+-{5,}END (?:[A-Z]+ )?PRIVATE KEY-----"
+         + rf"|(?:(?:{_GAP}*+[A-Z][A-Za-z]*+(?:-[A-Za-z]++)*+: [^\r\n\\]*+)*+"
+         + rf"(?:{_GAP}*+[A-Za-z0-9+/]{{16,}}+={{0,2}})++(?:{_GAP}++[A-Za-z0-9+/]++={{0,2}}(?=\s*?(?:[\r\n\\\"']|\Z)))?+)?+)")
+#: What ``redact`` takes out.
+REDACTED = tuple(Rule(r.kind, BLOCK) if r.kind == "pem" else r for r in RULES)
 #: Sets of exact strings that grow beyond this are turned into trigrams.
 MAX_STRINGS = 64
 
@@ -212,7 +223,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return rows.withColumn("spans", F.array_sort(F.concat(*spans))).drop("_c")
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = REDACTED, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span replaced by ``mark`` (overlapping spans by one);
     ``n_chars``, if there, follows. Texts without a span, null ones too, stay."""
     text = F.col("text")
