@@ -8,7 +8,12 @@ document gets the same decision in every run. DataFrame functions only.
 Targets are tempered shares: a category's target is its token share to the
 power ``ALPHA``, normalised (1 keeps the mix, 0 makes categories equal), or an
 explicit table (category, target). The expected number of tokens kept is
-``KEEP`` of all; probabilities above 1 are cut and the rest rescaled.
+``KEEP`` of all. ``sample`` rakes under the bound that no probability exceeds 1
+(``bounded``): a category that has fewer tokens than its target asks for gives
+all of them, and the others of its dimension share the rest as their targets
+are. The registered query follows its SQL, in which probabilities above 1 are
+cut after raking and the rest rescaled, so that its shares miss the targets
+where cells are cut.
 
 Defined cases: null source or language is a category of its own; a null text
 has no token and topic ``prose``; a document without tokens gets its cell's
@@ -100,15 +105,63 @@ def probabilities(cells: DataFrame, keep: float = KEEP, cuts: int = CUTS) -> Dat
     return cells.withColumn("p", F.least(F.lit(1.0), F.lit(scale) * ratio))
 
 
+def goals(cells: DataFrame, dim: str, target: DataFrame, keep: float = KEEP, cuts: int = 60) -> DataFrame:
+    """(dim, goal): the tokens to keep of each category. None is asked for more
+    than it has; what that leaves goes to the others as their targets are."""
+    held = (cells.groupBy(dim).agg(F.sum("n").cast("double").alias("_have")).alias("h")
+            .join(target.alias("t"), F.col(f"h.{dim}").eqNullSafe(F.col(f"t.{dim}")), "left")
+            .select(F.col(f"h.{dim}").alias(dim), "_have", F.coalesce("target", F.lit(0.0)).alias("_share")))
+    held = stored(held, f"mix-have-{dim}")
+    total = held.agg(F.sum("_have")).first()[0] or 0.0
+    scale, before = 0.0, -1
+    for _ in range(cuts):
+        full = (F.col("_share") > 0) & (F.lit(scale) * F.col("_share") >= F.col("_have"))
+        number, given, rest = held.agg(F.sum(full.cast("long")), F.sum(F.when(full, F.col("_have")).otherwise(0.0)),
+                                       F.sum(F.when(~full, F.col("_share")).otherwise(0.0))).first()
+        if number == before or not rest:
+            break
+        before, scale = number, max(0.0, keep * total - given) / rest
+    return held.select(dim, F.least("_have", F.lit(float(scale)) * F.col("_share")).alias("goal"))
+
+
+def bounded(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP, sweeps: int = SWEEPS) -> DataFrame:
+    """``cells`` with ``p``: raked so that sum(p n) of each category meets its goal with p <= 1.
+
+    ``w`` may pass n: min(n, w) counts, and a cell at its bound leaves to the
+    others what it cannot give."""
+    want = {d: stored(goals(cells, d, t, keep), f"mix-goal-{d}") for d, t in targets.items()}
+    small = {d: t.count() <= MAX_BROADCAST_ROWS for d, t in want.items()}
+    total = float(cells.agg(F.sum("n")).first()[0] or 0)
+    if not total:
+        return cells.withColumn("p", F.lit(1.0))
+    out = cells.withColumn("w", F.col("n") * F.lit(float(keep)))
+    for _ in range(sweeps):
+        for dim, goal in want.items():
+            full = F.col("w") >= F.col("n")
+            had = out.groupBy(dim).agg(F.sum(F.when(full, F.col("n")).otherwise(0)).cast("double").alias("_full"),
+                                       F.sum(F.when(full, 0.0).otherwise(F.col("w"))).alias("_free"))
+            left, both = F.col("goal") - F.col("_full"), F.col("_full") + F.col("_free")
+            factor = (had.alias("h").join((F.broadcast(goal) if small[dim] else goal).alias("t"), F.col(f"h.{dim}").eqNullSafe(F.col(f"t.{dim}")))
+                      .select(F.col(f"h.{dim}").alias(dim),
+                              F.when((left > 0) & (F.col("_free") > 0), left / F.col("_free"))
+                              .when(F.col("goal") < both, F.col("goal") / both).otherwise(1.0).alias("_f")))
+            factor = F.broadcast(factor) if small[dim] else factor
+            out = (out.alias("c").join(factor.alias("f"), F.col(f"c.{dim}").eqNullSafe(F.col(f"f.{dim}")), "left")
+                   .select(*[F.col(f"c.{c}") for c in cells.columns], (F.col("c.w") * F.coalesce(F.col("_f"), F.lit(0.0))).alias("w")))
+        out = stored(out, "mix-sweep")
+    return out.withColumn("p", F.when(F.col("n") > 0, F.least(F.lit(1.0), F.col("w") / F.col("n"))).otherwise(0.0))
+
+
 def mix(docs: DataFrame, alpha: float = ALPHA, keep: float = KEEP, sweeps: int = SWEEPS,
-        targets: dict[str, DataFrame] | None = None) -> DataFrame:
+        targets: dict[str, DataFrame] | None = None, within: bool = True) -> DataFrame:
     """``docs`` with ``_tokens``, ``_topic``, ``_p`` and ``_kept`` for every row
-    (in place of columns of these names)."""
+    (in place of columns of these names); ``within``: raked by ``bounded``."""
     rows = docs.drop("_p", "_kept", "_source", "_lang", "_t").withColumn("_tokens", n_tokens(F.col("text"))).withColumn("_topic", topic(F.col("text")))
     cells = stored(rows.groupBy("source", "lang", F.col("_topic").alias("topic"))
                    .agg(F.sum("_tokens").alias("n")), "mix-cells")
     want = targets or {d: stored(tempered(cells, d, alpha), f"mix-{d}") for d in DIMENSIONS}
-    p = stored(probabilities(rake(cells, want, sweeps), keep)
+    raked = bounded(cells, want, keep, sweeps) if within else probabilities(rake(cells, want, sweeps), keep)
+    p = stored(raked
                .select(F.col("source").alias("_source"), F.col("lang").alias("_lang"),
                        F.col("topic").alias("_t"), F.col("p").alias("_p")), "mix-p")
     keyed = rows.withColumn("_source", F.col("source")).withColumn("_lang", F.col("lang")).withColumn("_t", F.col("_topic"))
@@ -131,7 +184,7 @@ def sample(docs: DataFrame, **how) -> DataFrame:
 
 def op5_source_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    return mix(docs).select("doc_id", "source", "lang", F.col("_topic").alias("topic"),
+    return mix(docs, within=False).select("doc_id", "source", "lang", F.col("_topic").alias("topic"),
                             F.col("_tokens").alias("n_tokens"), F.round("_p", 9).alias("probability"),
                             F.col("_kept").alias("kept"))
 

@@ -388,6 +388,35 @@ def test_raking_meets_targets(spark):
     assert sum(r.p * r.n for r in rows) == pytest.approx(0.5 * sum(r.n for r in rows), rel=1e-6)
 
 
+def test_kept_shares_meet_reachable_targets(spark):
+    """Production parameters on skewed cells: p * n, not w, is held against the targets."""
+    rng = random.Random(4)
+    cells = [(f"s{i}", lang, topic, int(a * b * c * rng.uniform(0.2, 3)) + 1) for i, a in enumerate((900, 400, 90, 40, 20))
+             for lang, b in (("en", 60), ("de", 15), ("fr", 5)) for topic, c in (("prose", 90), ("listing", 4), ("contact", 1))]
+    cells = spark.createDataFrame(cells, "source string, lang string, topic string, n long").cache()
+    total = cells.agg({"n": "sum"}).first()[0]
+    targets = {d: mixing.tempered(cells, d) for d in mixing.DIMENSIONS}
+    rows = mixing.bounded(cells, targets).collect()
+    assert all(0 <= r.p <= 1 for r in rows) and any(r.p == 1 for r in rows)
+    kept = mixing.KEEP * total
+    assert sum(r.p * r.n for r in rows) == pytest.approx(kept, rel=1e-4)
+    short = 0
+    for d, t in targets.items():
+        have, got = {}, {}
+        for r in rows:
+            have[r[d]] = have.get(r[d], 0) + r.n
+            got[r[d]] = got.get(r[d], 0) + r.p * r.n
+        want = {x[d]: x.target * kept for x in t.collect()}
+        free = [k for k in want if got[k] < have[k] * (1 - 1e-4)]
+        short += len(want) - len(free)
+        assert all(have[k] <= want[k] * (1 + 1e-3) or k in free for k in want)
+        # Those not used up keep the proportions of their targets.
+        scale = sum(got[k] for k in free) / sum(want[k] for k in free)
+        assert all(got[k] == pytest.approx(want[k] * scale, rel=1e-3) for k in free)
+        assert scale == pytest.approx(1, abs=1e-3) or len(free) < len(want)
+    assert short
+
+
 def test_warc_index_finds_single_captures(spark, scratch):
     rows = [(i, None if i == 3 else f"http://h{i % 4}.org/p\té{i % 9}", None if i % 7 == 0 else f"<p>{i % 13}é</p>") for i in range(90)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
