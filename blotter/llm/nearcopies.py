@@ -14,7 +14,12 @@ member is compared with the bucket's most connected one, then only members
 that are still in different components are, as far as they can have enough
 shingles in common. So every pair that shares a
 sketch is compared, known to be connected, or known not to link. At similarity
-0.8 a pair shares no sketch with probability 0.0002, less above.
+0.8 a pair shares no sketch with probability 0.0003 at most, less above.
+
+Few shingles would miss more, so a pair with a text below ``SHORT`` shingles is
+found exactly: texts that can be in one have their rarest labelled shingles
+(so many that two texts which agree to ``SIMILARITY`` have one of them in
+common) as keys beside the sketches, or, below ``SHORT``, instead of them.
 
 Defined cases: null, empty and wordless texts are classes of their own; texts
 below ``SHINGLE`` words are copies only if their words are equal; rows that
@@ -40,6 +45,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 PICKED = 5
 SKETCHES = 22
+#: Pairs with a text of fewer shingles than this do not depend on sketches.
+SHORT = 40
 _WORD = re.compile(r"[^\W_]+")
 _CACHE_WORDS = 500_000
 #: Buckets up to this size compare what is apart in them pair by pair; larger
@@ -95,15 +102,19 @@ def occurrences(h: np.ndarray) -> np.ndarray:
     return out
 
 
+def labelled(h: np.ndarray) -> np.ndarray:
+    return _mixed(h + occurrences(h).astype(np.uint64) * _PRIME)
+
+
 def sketch(h: np.ndarray, picked: int = PICKED, sketches: int = SKETCHES) -> np.ndarray:
     """Keys of the ordered sketches of the shingle hashes ``h``; none for none."""
     n = len(h)
     if not n:
         return np.zeros(0, dtype=np.uint64)
-    labelled = _mixed(h + occurrences(h).astype(np.uint64) * _PRIME)
+    own = labelled(h)
     keys, step, take = [], max(1, _BLOCK // n), min(picked, n)
     for at in range(0, sketches, step):
-        rows = labelled[None, :] * _MULTIPLY[at:at + step, None] + _ADD[at:at + step, None]
+        rows = own[None, :] * _MULTIPLY[at:at + step, None] + _ADD[at:at + step, None]
         low = np.argpartition(rows, take - 1, axis=1)[:, :take] if take < n else np.broadcast_to(
             np.arange(n), (len(rows), n))
         chosen = h[np.sort(low, axis=1)]
@@ -169,8 +180,12 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     return _common(a, b, least) >= least
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, n, keys) of every row with an id."""
+def sketches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, digest, n, keys, short) of every row with an id; short: labelled
+    shingles of a text that can agree with one below ``SHORT`` shingles."""
+    few, none = SHORT, np.zeros(0, dtype=np.uint64)
+    most = (few - 1) / similarity + 1e-9
+
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = _Words()
         for b in batches:
@@ -179,11 +194,13 @@ def sketches(docs: DataFrame) -> DataFrame:
                 words = word_hashes(text, cache)
                 h = shingles(words)
                 own = words.tobytes() if len(words) else b"%d" % doc
-                rows.append((doc, hashlib.blake2b(own, digest_size=16).digest(), len(h), sketch(h).view(np.int64)))
-            yield pd.DataFrame(rows, columns=["doc_id", "digest", "n", "keys"])
+                keys = sketch(h) if len(h) >= few else none
+                short = labelled(h) if len(h) <= most else none
+                rows.append((doc, hashlib.blake2b(own, digest_size=16).digest(), len(h), keys.view(np.int64), short.view(np.int64)))
+            yield pd.DataFrame(rows, columns=["doc_id", "digest", "n", "keys", "short"])
 
     return (docs.select("doc_id", "text").filter("doc_id is not null")
-            .mapInPandas(work, "doc_id long, digest binary, n int, keys array<long>"))
+            .mapInPandas(work, "doc_id long, digest binary, n int, keys array<long>, short array<long>"))
 
 
 def sequences(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -210,12 +227,26 @@ def verify(pairs: DataFrame, sequence: DataFrame, similarity: float = SIMILARITY
     return both.select("a", "b", "ha", "hb").mapInPandas(work, "a long, b long")
 
 
-def _buckets(reps: DataFrame) -> DataFrame:
+def _short_keys(reps: DataFrame, similarity: float) -> DataFrame:
+    """(rep, n, key): prefix filter. Of n shingles, ordered by how many texts
+    have them, the first n - ceil(similarity n) + 1 are kept; texts that agree
+    share one. Those of a single text only take their places in the order."""
+    shingle = stored(reps.filter(F.size("short") > 0).select("rep", "n", F.explode("short").alias("s")), "copies-short")
+    often = shingle.groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    own = (salted_lookup(shingle, often, ["s"], F.col("rep")).groupBy("rep", "n")
+           .agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("e")))
+    room = F.size("e") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1
+    return (own.filter(room > 0).select("rep", "n", F.explode(F.slice("e", F.lit(1), room)).alias("x"))
+            .select("rep", "n", F.col("x.s").alias("key")))
+
+
+def _buckets(reps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Members (key, rep, n, leader) of the sketches that several texts share.
 
     The leader is the member that shares most: with near copies of one text it
     is mostly that text, which is more like each copy than they are alike."""
-    member = stored(reps.select("rep", "n", F.explode("keys").alias("key")), "copies-members")
+    member = stored(reps.select("rep", "n", F.explode("keys").alias("key"))
+                    .unionByName(_short_keys(reps, similarity)), "copies-members")
     size = member.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = stored(salted_lookup(member, size, ["key"], F.col("rep")), "copies-shared")
     weight = shared.groupBy("rep").agg(F.sum("size").alias("weight"))
@@ -272,7 +303,7 @@ def _across_large(members: DataFrame, sequence: DataFrame, least: Column) -> Dat
 
 def links(reps: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b) between representatives, enough to connect all that link."""
-    bucket = _buckets(reps)
+    bucket = _buckets(reps, similarity)
     n_of = reps.select(F.col("rep").alias("leader"), F.col("n").alias("n2")).hint("shuffle_merge")
     star = (bucket.filter("rep <> leader").select("leader", "rep", "n").distinct()
             .join(n_of, "leader").filter(_alike_in_length(similarity)))
@@ -306,9 +337,9 @@ def _with_component(bucket: DataFrame, comp: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id): smallest id of the class, for every id of ``docs``."""
     small_text_batches(docs.sparkSession)
-    drawn = stored(sketches(docs), "copies-sketches")
+    drawn = stored(sketches(docs, similarity), "copies-sketches")
     reps = stored(drawn.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"),
-                                              F.first("keys").alias("keys")), "copies-reps")
+                                              F.first("keys").alias("keys"), F.first("short").alias("short")), "copies-reps")
     found = links(reps.filter("n > 0"), docs, similarity)
     comp = components(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
     to = (reps.select("digest", "rep").join(comp.select(F.col("node").alias("rep"), "component")

@@ -160,6 +160,26 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, small, rare):
     assert got == {i: root(i) for i in range(len(docs))}
 
 
+def test_short_near_copies_equal_brute_force(spark):
+    """Texts of 8 to 60 words: extensions, cut ends and changed words, links found exactly."""
+    rng = random.Random(21)
+    vocab = [f"w{i}" for i in range(4000)]
+    docs = []
+    for k in range(400):
+        base = [rng.choice(vocab) for _ in range(rng.randrange(8, 21) if k % 4 else rng.randrange(40, 61))]
+        docs.append(" ".join(base))
+        docs.append(" ".join(base + [rng.choice(vocab)]) if k % 2 else " ".join(base[:-1] + [rng.choice(vocab)]))
+        docs.append(" ".join([rng.choice(vocab)] + base[rng.randrange(2):]))
+    parent = list(range(len(docs)))
+    for at in range(0, len(docs), 3):
+        for i, j in ((at, at + 1), (at, at + 2), (at + 1, at + 2)):
+            if jaccard_ordered(docs[i], docs[j]) >= 0.8:
+                parent[j] = min(parent[j], parent[i])
+    assert sum(p != i for i, p in enumerate(parent)) > 300
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.class_id for r in nearcopies.classes(df).collect()} == dict(enumerate(parent))
+
+
 def test_near_copies_without_their_source(spark):
     """Copies that link in a chain only, none of them in the middle of a star."""
     rng = random.Random(3)
