@@ -28,8 +28,10 @@ MIN_CONFIDENCE = 0.8
 MIN_LIFT = 1.5
 #: Labelled pages that must meet a rule.
 MIN_PAGES = 10
-#: Tokens of a rule, label aside, and rules that are kept at most (strongest first).
+#: Tokens of a rule, label aside.
 MAX_TOKENS = 3
+#: The index is broadcast up to this many rules (of MAX_TOKENS tokens); beyond,
+#: it is joined by salted shuffles.
 MAX_RULES = 5_000
 BAD = "=bad"
 
@@ -85,25 +87,31 @@ def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT,
              .filter(F.col("confidence") / base >= MIN_LIFT)
              .select(F.array_sort("antecedent").alias("tokens"), "confidence",
                      F.round(F.col("support") * n).cast("long").alias("pages"))
-             .withColumn("rule_id", F.array_join("tokens", " & "))
-             .orderBy(F.desc("confidence"), F.desc("pages"), "rule_id").limit(MAX_RULES))
+             .withColumn("rule_id", F.array_join("tokens", " & ")))
     rules = stored(rules.select("rule_id", "tokens", "confidence", "pages"), "url-rules")
-    # A rule goes if a shorter one has a part of its tokens and no less confidence.
-    r, s = rules.alias("r"), rules.withColumn("t", F.explode("tokens")).alias("s")
-    covered = (rules.withColumn("t", F.explode("tokens")).alias("r").join(s, F.col("r.t") == F.col("s.t"))
-               .filter((F.size("s.tokens") < F.size("r.tokens")) & (F.col("s.confidence") >= F.col("r.confidence"))
-                       & (F.size(F.array_except("s.tokens", "r.tokens")) == 0))
-               .select("r.rule_id").distinct())
-    return r.join(covered.alias("c"), F.col("r.rule_id") == F.col("c.rule_id"), "left_anti")
+    # A rule goes if a shorter one has a part of its tokens and no less confidence:
+    # each rule looks up its own parts, so that no token brings its rules together.
+    def part(mask: int) -> Column:
+        return F.filter("tokens", lambda t, i: i.isin([k for k in range(MAX_TOKENS) if mask >> k & 1]))
+
+    parts = F.array_distinct(F.array(*[part(m) for m in range(1, (1 << MAX_TOKENS) - 1)]))
+    asked = (rules.select("tokens", "confidence", F.explode(parts).alias("part"))
+             .filter((F.size("part") > 0) & (F.size("part") < F.size("tokens"))))
+    shorter = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("_c"))
+    covered = (salted_lookup(asked, shorter, ["part"], F.col("tokens")).filter(F.col("_c") >= F.col("confidence"))
+               .select("tokens").distinct())
+    return rules.join(covered, "tokens", "left_anti").select(*rules.columns)
 
 
 def index_rules(rules: DataFrame, pages: DataFrame) -> DataFrame:
     """Inverted index: each rule under the one of its tokens that fewest pages have."""
+    rules = stored(rules, "url-kept-rules")
     asked = rules.select("rule_id", "tokens", F.explode("tokens").alias("token"))
-    seen = (pages.select(F.explode("tokens").alias("token"))
-            .join(F.broadcast(asked.select("token").distinct()), "token")
-            .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
-    return (asked.join(seen, "token", "left")
+    held = pages.select(F.explode("tokens").alias("token"))
+    if rules.count() <= MAX_RULES:
+        held = held.join(F.broadcast(asked.select("token").distinct()), "token")
+    seen = held.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return (salted_lookup(asked, seen, ["token"], F.col("rule_id"), "left")
             .groupBy("rule_id", "tokens").agg(F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), "token")).alias("token")))
 
 
@@ -113,14 +121,15 @@ def judge(pages: DataFrame, labels: DataFrame, rules=LIST) -> DataFrame:
     rows = rows.withColumn("tokens", tokens(F.col("host"), F.col("path")))
     rule, say = listed(F.col("host"), F.col("path"), rules)
     keyed = rows.select("page_id", "tokens")
-    # MAX_RULES rules of MAX_TOKENS tokens bound what is broadcast here.
     index = stored(index_rules(mine(keyed, labels), keyed), "url-index")
     has = F.lit(None).cast("string")
     if not index.isEmpty():
-        met = (keyed.select("tokens").distinct().select("tokens", F.explode("tokens").alias("token")).alias("p")
-               .join(F.broadcast(index).alias("i"), "token")
-               .filter(F.size(F.array_except("i.tokens", "p.tokens")) == 0)
-               .groupBy(F.col("p.tokens").alias("tokens")).agg(F.min("i.rule_id").alias("mined_rule")))
+        asked = keyed.select("tokens").distinct().select("tokens", F.explode("tokens").alias("token"))
+        need = index.select("rule_id", "token", F.col("tokens").alias("_need"))
+        met = (asked.join(F.broadcast(need), "token") if index.count() <= MAX_RULES
+               else salted_lookup(asked, need, ["token"], F.col("tokens")))
+        met = (met.filter(F.size(F.array_except("_need", "tokens")) == 0)
+               .groupBy("tokens").agg(F.min("rule_id").alias("mined_rule")))
         rows = salted_lookup(rows, met, ["tokens"], F.col("page_id"), "left")
         has = F.col("mined_rule")
     else:

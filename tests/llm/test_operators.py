@@ -333,6 +333,20 @@ def test_mined_rules_block_what_is_bad(spark):
     assert {r.page_id for r in got if r.verdict == "block"} == {i for i in range(300) if i % 5 == 0}
 
 
+def test_no_mined_rule_is_cut(spark, monkeypatch):
+    """More rules than may be broadcast, most of them covered by shorter ones."""
+    monkeypatch.setattr(urls, "MAX_RULES", 10)
+    rows = []
+    for k in range(12):
+        rows += [(f"http://pills{k}.shop{k}.com/buy{k}", True)] * (20 + k)
+    rows += [("http://lone.com/read", True)] * 12
+    rows += [(f"http://site{i % 7}.com/read/{i}", False) for i in range(900)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(rows)], "page_id long, bad boolean")
+    got = {r.page_id: r.verdict == "block" for r in urls.judge(pages, labels).collect()}
+    assert got == {i: b for i, (_, b) in enumerate(rows)}
+
+
 # ---------------------------------------------------------------- secrets
 def test_trigram_queries_are_necessary():
     q = secrets.trigram_query(secrets.BASE[0].regex)
