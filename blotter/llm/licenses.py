@@ -7,6 +7,10 @@ identifiers is matched against ordered rules. Rules are tried in order, and
 what a rule matched is taken out before the next, so a whole licence text is
 not reported again as its first sentence. DataFrame functions only.
 
+Full sentences of real licence texts (``PHRASES``) are found in the joined words
+of the text, so neither line ends nor comment marks nor a list number before
+them matter. Short notices (``SENTENCES``) count as whole sentences only.
+
 Defined cases: a null or empty text has no sentence and no licence; a sentence
 that repeats counts each time; each licence is listed once, in rule order;
 other columns pass through unless named ``licence_ids`` or ``licences``.
@@ -55,6 +59,49 @@ RULES = (
     ("CC-BY-4.0", ("cc-by4-notice",)),
     ("All-rights-reserved", ("reserved",)),
 )
+# Full sentences of licence texts, normalised, found in running words.
+PHRASES = {
+    "licensed under the apache license version 2 0 the license": "apache-notice-long",
+    "you may not use this file except in compliance with the license": "apache-comply",
+    "you may obtain a copy of the license at": "apache-obtain",
+    "apache license version 2 0 january 2004 http www apache org licenses": "apache-title",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+    "the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
+    "distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject "
+    "to the following conditions": "mit-grant",
+    "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software":
+        "mit-notice-kept",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+    "merchantability fitness for a particular purpose and noninfringement": "as-is",
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+    "conditions are met": "bsd-grant-full",
+    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer":
+        "bsd-source",
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in "
+    "the documentation and or other materials provided with the distribution": "bsd-binary",
+    "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior "
+    "written permission": "bsd-endorse",
+    "as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness "
+    "for a particular purpose are disclaimed": "bsd-as-is",
+    "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
+    "merchantability or fitness for a particular purpose": "gpl-hope",
+    "gnu general public license version 2 june 1991": "gpl2-title",
+    "gnu general public license version 3 29 june 2007": "gpl3-title",
+} | {f"{start}is free software you can redistribute it and or modify it under the terms of the gnu general public license as published "
+     f"by the free software foundation either version {v} of the license or at your option any later version": f"gpl{v}-or-later"
+     for start in ("this program ", "") for v in "23"}
+# Rules for the full texts, before the others.
+FULL_RULES = (
+    ("Apache-2.0", ("apache-title",)),
+    ("BSD-3-Clause", ("bsd-grant-full", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is")),
+    ("BSD-2-Clause", ("bsd-grant-full", "bsd-source", "bsd-binary", "bsd-as-is")),
+    ("GPL-2.0-or-later", ("gpl2-or-later", "gpl-hope")),
+    ("GPL-2.0-or-later", ("gpl2-or-later",)),
+    ("GPL-3.0-or-later", ("gpl3-or-later", "gpl-hope")),
+    ("GPL-3.0-or-later", ("gpl3-or-later",)),
+    ("GPL-2.0", ("gpl2-title",)),
+    ("GPL-3.0", ("gpl3-title",)),
+)
 _END, _BLANK, _OTHER = "([.!?])[ \\t\\r\\f\\n]+", "\n", "[^a-z0-9]+"
 
 
@@ -64,10 +111,17 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(cut, lambda s: F.trim(F.regexp_replace(s, _OTHER, " "))), lambda s: s != "")
 
 
-def identifiers(found: Column, known: dict[str, str]) -> Column:
-    """Identifiers of the known ones among ``found``, in their order."""
+def identifiers(found: Column, known: dict[str, str], phrases: dict[str, str]) -> Column:
+    """Identifiers of the known sentences among ``found`` and of the phrases in
+    their joined words, in their order."""
     ids = F.create_map(*[F.lit(x) for x in chain(*known.items())])
-    return F.transform(F.filter(found, lambda s: s.isin(*known)), lambda s: ids[s])
+    marked = F.transform(found, lambda s: F.when(s.isin(*known), F.concat(F.lit("="), ids[s], F.lit("="))).otherwise(s))
+    words = F.concat(F.lit(" "), F.array_join(marked, " "))
+    # A line may end where a known sentence does within a phrase.
+    more = {f" {p} ".replace(f" {k} ", f" ={x}= ").strip(): i for p, i in phrases.items() for k, x in known.items() if f" {k} " in f" {p} "}
+    for p, i in sorted((phrases | more).items(), key=lambda x: (-len(x[0]), x[0])):
+        words = F.replace(words, F.lit(" " + p), F.lit(f" ={i}="))
+    return F.regexp_extract_all(words, F.lit("=([a-z0-9-]+)="), F.lit(1))
 
 
 def match_rules(ids: Column, rules=RULES) -> Column:
@@ -81,11 +135,12 @@ def match_rules(ids: Column, rules=RULES) -> Column:
     return F.array_distinct(F.array_compact(F.array(*hits)))
 
 
-def recognise(docs: DataFrame, known: dict[str, str] = SENTENCES, rules=RULES) -> DataFrame:
+def recognise(docs: DataFrame, known: dict[str, str] = SENTENCES, rules=FULL_RULES + RULES,
+              phrases: dict[str, str] = PHRASES) -> DataFrame:
     """``docs`` with ``n_sentences``, ``licence_ids`` and ``licences`` (arrays)."""
     found = docs.withColumn("licence_ids", sentences(F.col("text")))
     rows = (found.withColumn("n_sentences", F.size("licence_ids").cast("long"))
-            .withColumn("licence_ids", identifiers(F.col("licence_ids"), known)))
+            .withColumn("licence_ids", identifiers(F.col("licence_ids"), known, phrases)))
     none = F.array().cast("array<string>")
     return rows.withColumn("licences", F.when(F.size("licence_ids") > 0, match_rules(F.col("licence_ids"), rules))
                            .otherwise(none))

@@ -410,6 +410,49 @@ def test_longer_licence_first(spark):
     assert got == {0: (4, ["MIT"]), 1: (2, ["MIT", "All-rights-reserved"]), 2: (0, []), 3: (2, [])}
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM."""
+BSD2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+BSD3 = BSD2.replace("THIS SOFTWARE IS", """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS""")
+GPL2 = """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
+GPL3 = GPL2.replace("software;", "software:").replace("version 2", "version 3")
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS."""
+
+
+def test_real_licence_texts_wrapped_and_not(spark):
+    import textwrap
+    rows, want = [], {}
+    for name, text in (("MIT", MIT), ("BSD-2-Clause", BSD2), ("BSD-3-Clause", BSD3), ("GPL-2.0-or-later", GPL2), ("GPL-3.0-or-later", GPL3),
+                       ("Apache-2.0", APACHE)):
+        forms = [text]
+        for width in (50, 64, 72, 79):
+            lines = [x for par in text.split("\n\n") for x in [*textwrap.wrap(par, width), ""]]
+            forms += ["\n".join(lines), "\n".join(" * " + x for x in lines), "\r\n".join("# " + x for x in lines)]
+        forms.append(text.replace("modify it under", "modify it\nunder").replace("Version 2.0 (", "Version 2.0\n("))
+        for form in forms:
+            want[len(rows)] = [name]
+            rows.append((len(rows), "Copyright (c) 2020 Some One\n\n" + form + "\n\nint main() { }"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.licences for r in licenses.recognise(df).collect()} == want
+
+
 def test_raking_meets_targets(spark):
     cells = spark.createDataFrame([(s, l, t, (i * 7) % 11 + 1) for i, (s, l, t) in enumerate(
         (s, l, t) for s in "ab" for l in "xyz" for t in "pq")], "source string, lang string, topic string, n long")
