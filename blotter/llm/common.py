@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +61,42 @@ def small_text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
 
 
+def whole(embedding: str | Column, scale: int = 256) -> Column:
+    """floor(scale * x) of every component as a long; what is beyond a long holds the nearest one."""
+    return F.transform(embedding, lambda x: F.floor(x.cast("double") * scale))
+
+
+#: Elements of a block of ``running``.
+_RUN = 256
+
+
+def running(values: Column, step: Callable[[Column, Column], Column], start: int = 0) -> Column:
+    """For each element of an int array, what ``step`` (associative, ``start`` its
+    neutral element) makes of those before it; one more entry holds all.
+
+    Folded in blocks, so that a long array isn't copied for each element."""
+    def fold(items: Column, value: Callable[[Column], Column]) -> Column:
+        first = F.struct(F.lit(start).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(items, first, lambda acc, x: F.struct(
+            step(acc["at"], value(x)).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")))
+
+    def joined(parts: Column) -> Column:
+        all_of = fold(parts, lambda p: p["at"])
+        each = F.zip_with(parts, all_of["out"], lambda p, o: F.transform(p["out"], lambda v: step(o, v)))
+        return F.array_append(F.flatten(each), all_of["at"])
+
+    def blocks(v: Column) -> Column:
+        cuts = F.sequence(F.lit(0), F.floor(F.size(v) / _RUN).cast("int"))
+        return F.transform(cuts, lambda b: fold(F.slice(v, b * _RUN + 1, _RUN), lambda x: x))
+
+    return let(let(values, blocks), joined)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def salted_lookup(left: DataFrame, right: DataFrame, keys: list[str], spread: Column,
                   how: str = "inner", salts: int = 8) -> DataFrame:
     """Join ``left`` to ``right`` (one row per key) when a key may be hot on the left.

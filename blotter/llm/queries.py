@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, mixing, nearcopies, neighbours, packing, quality, repeats, secrets, urls, warc
+from . import clusters, licenses, mixing, nearcopies, negatives, neighbours, packing, pii, quality, repeats, secrets, urls, warc
 
 QUERIES = {
     "op1_warc_index": warc.op1_warc_index,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_quality_trees": quality.op8_quality_trees,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_order_minhash": nearcopies.op10_order_minhash,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
+    "op12_drift_clusters": clusters.op12_drift_clusters,
+    "op13_pii_bootstrap": pii.op13_pii_bootstrap,
 }
 ORACLES = {
     "op1_warc_index": warc.ORACLE_SQL,
@@ -23,4 +26,7 @@ ORACLES = {
     "op5_source_mixing": mixing.ORACLE_SQL,
     "op6_suffix_dedup": repeats.ORACLE_SQL,
     "op9_secret_scan": secrets.ORACLE_SQL,
+    "op11_hard_negatives": negatives.ORACLE_SQL,
+    "op12_drift_clusters": clusters.ORACLE_SQL,
+    "op13_pii_bootstrap": pii.ORACLE_SQL,
 }
