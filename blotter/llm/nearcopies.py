@@ -23,7 +23,9 @@ common) as keys beside the sketches, or, below ``SHORT``, instead of them.
 
 Defined cases: null, empty and wordless texts are classes of their own; texts
 below ``SHINGLE`` words are copies only if their words are equal; rows that
-repeat an id are one document; rows without id have no class and are kept.
+repeat an id with a text are one document; an id with several texts stands in
+the class of each, and has the smallest of them as its own; rows without id have
+no class and are kept.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from .common import components, packed, salted_lookup, small_text_batches, stored, table, unpacked
 
@@ -193,10 +196,9 @@ def sketches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             for doc, text in zip(b.doc_id, b.text):
                 words = word_hashes(text, cache)
                 h = shingles(words)
-                own = words.tobytes() if len(words) else b"%d" % doc
                 keys = sketch(h) if len(h) >= few else none
                 short = labelled(h) if len(h) <= most else none
-                rows.append((doc, hashlib.blake2b(own, digest_size=16).digest(), len(h), keys.view(np.int64), short.view(np.int64)))
+                rows.append((doc, _digest(words, doc), len(h), keys.view(np.int64), short.view(np.int64)))
             yield pd.DataFrame(rows, columns=["doc_id", "digest", "n", "keys", "short"])
 
     return (docs.select("doc_id", "text").filter("doc_id is not null")
@@ -233,7 +235,7 @@ def _short_keys(reps: DataFrame, similarity: float) -> DataFrame:
     share one. Those of a single text only take their places in the order."""
     shingle = stored(reps.filter(F.size("short") > 0).select("rep", "n", F.explode("short").alias("s")), "copies-short")
     often = shingle.groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    own = (salted_lookup(shingle, often, ["s"], F.col("rep")).groupBy("rep", "n")
+    own = (salted_lookup(shingle, often, ["s"], F.col("rep"), rows="c", total=shingle.count()).groupBy("rep", "n")
            .agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("e")))
     room = F.size("e") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1
     return (own.filter(room > 0).select("rep", "n", F.explode(F.slice("e", F.lit(1), room)).alias("x"))
@@ -248,33 +250,45 @@ def _buckets(reps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     member = stored(reps.select("rep", "n", F.explode("keys").alias("key"))
                     .unionByName(_short_keys(reps, similarity)), "copies-members")
     size = member.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = stored(salted_lookup(member, size, ["key"], F.col("rep")), "copies-shared")
+    shared = stored(salted_lookup(member, size, ["key"], F.col("rep"), rows="size", total=member.count()), "copies-shared")
     weight = shared.groupBy("rep").agg(F.sum("size").alias("weight"))
     best = (shared.join(weight, "rep").groupBy("key")
-            .agg(F.max(F.struct("weight", (-F.col("rep")).alias("m"))).alias("top"))
-            .select("key", (-F.col("top.m")).alias("leader")))
-    return stored(salted_lookup(shared, best, ["key"], F.col("rep")), "copies-buckets")
+            .agg(F.max(F.struct("weight", (-F.col("rep")).alias("m"))).alias("top"), F.count(F.lit(1)).alias("_n"))
+            .select("key", (-F.col("top.m")).alias("leader"), "_n"))
+    return stored(salted_lookup(shared, best, ["key"], F.col("rep"), rows="_n", total=shared.count()).drop("_n"), "copies-buckets")
 
 
 def _alike_in_length(similarity: float):
     return F.least("n", "n2") >= F.greatest("n", "n2") * similarity - 1e-9
 
 
-def _across(members: DataFrame, least: Column | None = None) -> DataFrame:
-    """Pairs (a, b) of a bucket's members in different components of which one
-    is not in the leader's; with ``least`` only those whose ``f`` reaches it."""
+def _across(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a small bucket's members in different components of which
+    one is not in the leader's."""
     apart = (members.filter("component <> _lead")
-             .select("key", F.col("rep").alias("x"), F.col("component").alias("cx"),
-                     *[F.col(c).alias(f"{c}2") for c in ("n", "f") if c in members.columns]))
+             .select("key", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("n").alias("n2")))
     new = ((F.col("component") != F.col("cx")) & (F.col("rep") != F.col("leader"))
            & ((F.col("component") == F.col("_lead")) | (F.col("rep") < F.col("x"))))
-    if least is not None:
-        new = new & (F.least("f", "f2") >= least)
     return (members.join(apart, "key").filter(new)
             .select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b"), "n", "n2"))
 
 
-def _across_large(members: DataFrame, sequence: DataFrame, least: Column) -> DataFrame:
+def _across_frequent(members: DataFrame, similarity: float, least: Column) -> DataFrame:
+    """Pairs as ``_across`` gives them whose smaller ``f`` reaches ``least``.
+
+    Where n <= n2, that asks f >= 2 s n / (1 + s) of the shorter and f2 >= s n2 of
+    the longer text (s: ``similarity``). Most texts that share boilerplate only
+    meet neither, so they are gone before anything is paired."""
+    own = members.filter(F.col("rep") != F.col("leader")).withColumn("_out", F.col("component") != F.col("_lead"))
+    short = own.filter(F.col("f") >= F.col("n") * (2 * similarity / (1 + similarity)) - 1e-6)
+    long = (own.filter(F.col("f") >= F.col("n") * similarity - 1e-6)
+            .select("key", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("n").alias("n2"), F.col("f").alias("f2"), F.col("_out").alias("_out2")))
+    met = short.filter("_out").join(long, "key").unionByName(short.filter("not _out").join(long.filter("_out2"), "key"))
+    return (met.filter((F.col("n") <= F.col("n2")) & (F.col("component") != F.col("cx")) & (F.least("f", "f2") >= least))
+            .select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b"), "n", "n2"))
+
+
+def _across_large(members: DataFrame, sequence: DataFrame, similarity: float, least: Column) -> DataFrame:
     """``_across`` for large buckets, without the pairs that cannot link.
 
     f: a document's shingles that more than ``RARE`` places have. Documents
@@ -286,11 +300,12 @@ def _across_large(members: DataFrame, sequence: DataFrame, least: Column) -> Dat
     shingle = stored(sequence.join(docs.select("rep").hint("shuffle_merge"), "rep").select("rep", F.explode("h").alias("s"))
                      .groupBy("rep", "s").agg(F.count(F.lit(1)).alias("k")), "copies-shingles")
     few = shingle.groupBy("s").agg(F.sum("k").alias("c")).filter(F.col("c") <= RARE)
-    rare = stored(salted_lookup(shingle, few, ["s"], F.col("rep")), "copies-rare")
+    # At most RARE rows for each of these keys.
+    rare = stored(shingle.join(few.hint("shuffle_merge"), "s"), "copies-rare")
     own = rare.groupBy("rep").agg(F.sum("k").alias("rare"))
     f = F.col("n") - F.coalesce("rare", F.lit(0))
     docs = stored(docs.join(own.hint("shuffle_merge"), "rep", "left").withColumn("f", f).drop("rare"), "copies-docs")
-    frequent = _across(members.join(docs.select("rep", "f").hint("shuffle_merge"), "rep"), least).select("a", "b", "n", "n2")
+    frequent = _across_frequent(members.join(docs.select("rep", "f").hint("shuffle_merge"), "rep"), similarity, least)
     held = rare.filter("c > k")
     share = (held.select("s", F.col("rep").alias("a"), "k").join(held.select("s", F.col("rep").alias("b"), F.col("k").alias("k2")), "s")
              .filter("a < b").groupBy("a", "b").agg(F.sum(F.least("k", "k2")).alias("r")))
@@ -315,7 +330,9 @@ def links(reps: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> D
     # Where a bucket is not connected, what is apart meets the other members.
     known = _with_component(bucket, comp)
     lead = comp.select(F.col("node").alias("leader"), F.col("component").alias("_lead"))
-    known = stored(salted_lookup(known, lead, ["leader"], F.col("rep"), "left")
+    led = bucket.groupBy("leader").agg(F.count(F.lit(1)).alias("_n"))
+    lead = lead.join(led.hint("shuffle_merge"), "leader")
+    known = stored(salted_lookup(known, lead, ["leader"], F.col("rep"), "left", rows="_n", total=bucket.count()).drop("_n")
                    .withColumn("_lead", F.coalesce("_lead", "leader")), "copies-known")
     torn = known.filter("component <> _lead").select("key").distinct()
     some = stored(known.join(torn.hint("shuffle_merge"), "key", "left_semi"), "copies-some")
@@ -323,7 +340,7 @@ def links(reps: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> D
     met = _across(some.filter(F.col("size") <= SMALL_BUCKET))
     large = some.filter(F.col("size") > SMALL_BUCKET)
     if not large.isEmpty():
-        met = met.unionByName(_across_large(large, sequence, least))
+        met = met.unionByName(_across_large(large, sequence, similarity, least))
     met = met.filter(_alike_in_length(similarity)).select("a", "b").distinct()
     two = stored(verify(stored(met, "copies-pairs"), sequence, similarity), "copies-links")
     return one.unionByName(two)
@@ -334,26 +351,72 @@ def _with_component(bucket: DataFrame, comp: DataFrame) -> DataFrame:
             .withColumn("component", F.coalesce("component", "rep")))
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id): smallest id of the class, for every id of ``docs``."""
-    small_text_batches(docs.sparkSession)
-    drawn = stored(sketches(docs, similarity), "copies-sketches")
-    reps = stored(drawn.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"),
+def _digest(words: np.ndarray, doc: int) -> bytes:
+    return hashlib.blake2b(words.tobytes() if len(words) else b"%d" % doc, digest_size=16).digest()
+
+
+@F.pandas_udf(BinaryType())
+def digest_of(doc: pd.Series, text: pd.Series) -> pd.Series:
+    cache = _Words()
+    return pd.Series([_digest(word_hashes(t, cache), d) for d, t in zip(doc, text)], dtype=object)
+
+
+def _classes(docs: DataFrame, drawn: DataFrame, similarity: float) -> DataFrame:
+    """(doc_id, digest, class_id) where an id has one text."""
+    reps = stored(drawn.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("_n"), F.first("n").alias("n"),
                                               F.first("keys").alias("keys"), F.first("short").alias("short")), "copies-reps")
     found = links(reps.filter("n > 0"), docs, similarity)
     comp = components(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    to = (reps.select("digest", "rep").join(comp.select(F.col("node").alias("rep"), "component")
-                                            .hint("shuffle_merge"), "rep", "left")
-          .select("digest", F.coalesce("component", "rep").alias("class_id")))
-    rows = salted_lookup(drawn.select("doc_id", "digest"), to, ["digest"], F.col("doc_id"))
-    return rows.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    to = (reps.select("digest", "rep", "_n").join(comp.select(F.col("node").alias("rep"), "component")
+                                                  .hint("shuffle_merge"), "rep", "left")
+          .select("digest", "_n", F.coalesce("component", "rep").alias("class_id")))
+    return (salted_lookup(drawn.select("doc_id", "digest"), to, ["digest"], F.col("doc_id"), rows="_n", total=drawn.count())
+            .select("doc_id", "digest", "class_id").distinct())
+
+
+def _by_text(docs: DataFrame, similarity: float) -> DataFrame:
+    """(doc_id, digest, class_id) for every id and each text that rows of it have;
+    the class of a text is the smallest id on rows with a text of the class."""
+    small_text_batches(docs.sparkSession)
+    drawn = stored(sketches(docs, similarity), "copies-sketches")
+    low, high = F.min(F.xxhash64("digest")).alias("low"), F.max(F.xxhash64("digest")).alias("high")
+    if drawn.groupBy("doc_id").agg(low, high).filter("low <> high").isEmpty():
+        return _classes(docs, drawn, similarity)
+    # Some id has several texts: each (id, text) goes by a number of its own.
+    own = stored(drawn.select("doc_id", "digest").distinct().withColumn("own", F.monotonically_increasing_id()), "copies-own")
+    keys = ["doc_id", "digest"]
+    texts = docs.filter("doc_id is not null").select("doc_id", "text", digest_of("doc_id", "text").alias("digest"))
+    numbered = stored(texts.join(own, keys).select(F.col("own").alias("doc_id"), "text"), "copies-numbered")
+    found = stored(_classes(numbered, drawn.join(own, keys).drop("doc_id").withColumnRenamed("own", "doc_id"), similarity)
+                   .select(F.col("doc_id").alias("own"), "class_id"), "copies-own-classes")
+    rows = own.join(found, "own")
+    first = rows.groupBy("class_id").agg(F.min("doc_id").alias("_first"))
+    return rows.join(first, "class_id").select("doc_id", "digest", F.col("_first").alias("class_id"))
+
+
+def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, class_id): smallest id of the class, for every id of ``docs``."""
+    return _by_text(docs, similarity).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its class, and those without id."""
-    gone = stored(classes(docs, similarity).filter("class_id <> doc_id").select(F.col("doc_id").alias("_gone")),
-                  "copies-gone")
-    return unpacked(packed(docs, "doc_id").join(gone.hint("shuffle_merge"), F.col("doc_id") == F.col("_gone"), "left_anti"))
+    """The rows of ``docs`` whose text stands in its class under the smallest id,
+    and those without id. So every class keeps a row, whatever else its id is on."""
+    by = stored(_by_text(docs, similarity), "copies-classes")
+    gone = by.filter("class_id <> doc_id").select(F.col("doc_id").alias("_gone"), F.col("digest").alias("_digest"))
+    held = by.filter("class_id = doc_id").select("doc_id")
+    whole = stored(gone.join(held, F.col("_gone") == F.col("doc_id"), "left_anti").select("_gone").distinct(), "copies-gone")
+    rows = packed(docs, "doc_id", "text")
+    rows = rows.join(whole.hint("shuffle_merge"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    some = stored(gone.join(held, F.col("_gone") == F.col("doc_id"), "left_semi"), "copies-partly")
+    if not some.isEmpty():
+        # Ids with one text that stays and another that goes.
+        mixed = some.select(F.col("_gone").alias("_id")).distinct()
+        apart = rows.join(mixed, F.col("doc_id") == F.col("_id"), "left_semi")
+        stay = apart.withColumn("_d", digest_of("doc_id", "text")).join(
+            some, (F.col("doc_id") == F.col("_gone")) & (F.col("_d") == F.col("_digest")), "left_anti").select("_row", "doc_id", "text")
+        rows = rows.join(mixed, F.col("doc_id") == F.col("_id"), "left_anti").unionByName(stay)
+    return unpacked(rows)
 
 
 def op10_order_minhash(spark, sf_dir):

@@ -180,6 +180,31 @@ def test_short_near_copies_equal_brute_force(spark):
     assert {r.doc_id: r.class_id for r in nearcopies.classes(df).collect()} == dict(enumerate(parent))
 
 
+def test_several_texts_under_one_id(spark):
+    rng = random.Random(8)
+    text = lambda: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(50))
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(3, a), (5, a), (5, b), (9, b), (7, c), (7, d), (8, d + " end"), (7, c), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in nearcopies.classes(df).collect()} == {3: 3, 5: 3, 9: 5, 7: 7, 8: 7}
+    kept = sorted(map(tuple, nearcopies.keep_one(df).collect()), key=str)
+    assert kept == sorted([(3, a), (5, b), (7, c), (7, d), (7, c), (None, a)], key=str)
+
+
+def test_boilerplate_that_links_nothing(spark, monkeypatch):
+    """Texts that share most words but too few to link: no pair of them is made."""
+    monkeypatch.setattr(nearcopies, "SMALL_BUCKET", 4)
+    made = []
+    verify = nearcopies.verify
+    monkeypatch.setattr(nearcopies, "verify", lambda pairs, *a: made.append(pairs.count()) or verify(pairs, *a))
+    rng = random.Random(6)
+    shared = [f"s{i}" for i in range(44)]
+    docs = [(i, " ".join(shared + [f"u{rng.randrange(10 ** 7)}" for _ in range(8)])) for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert nearcopies.classes(df).filter("doc_id <> class_id").count() == 0
+    assert sum(made) < 300 * 4
+
+
 def test_near_copies_without_their_source(spark):
     """Copies that link in a chain only, none of them in the middle of a star."""
     rng = random.Random(3)
