@@ -99,6 +99,24 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def matches(text: Column, regex: str, group: int = 0) -> Column:
+    """Array of (start, end, before, value, part) of the leftmost non-overlapping
+    matches: code points, the text since the match before, the match and its
+    ``group``. The work is in proportion to text and matches; ``regex`` never
+    matches nothing."""
+    def placed(between: Column, whole: Column) -> Column:
+        part = F.regexp_extract_all(text, F.lit(regex), F.lit(group)) if group else whole
+        size = F.zip_with(between, whole, lambda b, w: F.length(b) + F.coalesce(F.length(w), F.lit(0)))
+        each = let(running(size, lambda x, y: x + y), lambda at: F.arrays_zip(
+            between.alias("before"), whole.alias("value"), part.alias("part"), at.alias("at")))
+        found = F.filter(each, lambda x: x["value"].isNotNull())
+        return F.transform(found, lambda x: F.struct(
+            (x["at"] + F.length(x["before"])).alias("start"), (x["at"] + F.length(x["before"]) + F.length(x["value"])).alias("end"),
+            x["before"].alias("before"), x["value"].alias("value"), x["part"].alias("part")))
+
+    return let(F.split(text, regex, -1), lambda b: let(F.regexp_extract_all(text, F.lit(regex), F.lit(0)), lambda w: placed(b, w)))
+
+
 def salted_lookup(left: DataFrame, right: DataFrame, keys: list[str], spread: Column,
                   how: str = "inner", salts: int = 8, rows: str | None = None, total: int = 0) -> DataFrame:
     """Join ``left`` to ``right`` (one row per key) when a key may be hot on the left.

@@ -38,7 +38,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, running, small_text_batches, stored, table
+from .common import let, matches, small_text_batches, stored, table
 
 ROUNDS = 3
 FULL = 1000
@@ -109,20 +109,6 @@ def pattern(before: Column, first: Column) -> Column:
     return let(words, lambda w: F.array_join(F.when(F.size(w) > 2, F.slice(w, -2, 2)).otherwise(w), " "))
 
 
-def _matches(text: Column, regex: str) -> Column:
-    """Array of (start, end, value, before) of the leftmost non-overlapping matches."""
-    def at(between: Column, whole: Column) -> Column:
-        size = F.zip_with(between, whole, lambda b, w: F.length(b) + F.coalesce(F.length(w), F.lit(0)))
-        each = let(running(size, lambda x, y: x + y), lambda before: F.arrays_zip(
-            between.alias("gap"), whole.alias("value"), before.alias("at")))
-        found = F.filter(each, lambda x: x["value"].isNotNull())
-        return F.transform(found, lambda x: F.struct(
-            (x["at"] + F.length(x["gap"])).alias("start"), (x["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("end"),
-            x["value"].alias("value"), x["gap"].alias("before")))
-
-    return let(F.split(text, regex, -1), lambda b: let(F.regexp_extract_all(text, F.lit(regex), F.lit(0)), lambda w: at(b, w)))
-
-
 _MENTIONS = "array<struct<kind:int,start:int,end:int,pattern:string,key:string,fits:int>>"
 
 
@@ -151,7 +137,7 @@ def mentions(docs: DataFrame) -> DataFrame:
             value = y["x"]["value"]
             return _valid(k.name, value) if n < _OTHER else F.rtrim(F.ltrim(value, F.lit(_LEAD)), F.lit(_TAIL)) != ""
 
-        found = F.transform(_matches(text, k.regex), lambda x, i: F.struct(x.alias("x"), i.alias("i")))
+        found = F.transform(matches(text, k.regex), lambda x, i: F.struct(x.alias("x"), i.alias("i")))
         made = F.transform(F.filter(found, counts), lambda y: _mention(n, y["x"], y["i"])).cast(_MENTIONS)
         return F.when(text.rlike(k.regex), made).otherwise(F.array().cast(_MENTIONS))
 

@@ -97,14 +97,16 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Forest
     """Forest for P(quality = 1), or None without both classes in the sample."""
     known = (labels.filter("doc_id is not null and quality is not null").groupBy("doc_id")
              .agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    sample = (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-              .select("doc_id", "quality", F.xxhash64("text").alias("h"), statistics("text").alias("s"))
-              .select("doc_id", "quality", "h", *[F.col(f"s.{c}") for c in FEATURES]).limit(2 * rows).collect())
-    sample.sort(key=lambda r: (r.doc_id, r.h))
+    # Of rows that repeat an id, the text with the smallest hash counts.
+    text = (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+            .groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")))
+    sample = (text.select("doc_id", "quality", statistics("t.text").alias("s"))
+              .select("doc_id", "quality", *[F.col(f"s.{c}") for c in FEATURES]).collect())
+    sample.sort(key=lambda r: r.doc_id)
     y = np.array([r.quality for r in sample], dtype=float)
     if not len(y) or y.min() == y.max():
         return None
-    return fit(np.array([r[3:] for r in sample], dtype=float), y, MONOTONE)
+    return fit(np.array([r[2:] for r in sample], dtype=float), y, MONOTONE)
 
 
 def judge(docs: DataFrame, forest: Forest | None, least: float = LEAST_QUALITY) -> DataFrame:

@@ -24,7 +24,7 @@ from re import _parser as P
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, small_text_batches, stored, table
+from .common import let, matches, packed, running, salted_lookup, small_text_batches, stored, table
 
 
 @dataclass(frozen=True)
@@ -173,26 +173,9 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...], wanted: list[str]) ->
 
 
 def _found(text: Column, rule: Rule, order: int) -> Column:
-    """Spans (start, kind number, end) of the leftmost non-overlapping matches.
-
-    Starts follow from the lengths of the pieces between the matches."""
-    between = F.split(text, rule.regex, -1)
-    whole = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0))
-    part = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(rule.group)) if rule.group else whole
-    each = F.arrays_zip(F.transform(between, F.length).alias("gap"), F.transform(whole, F.length).alias("size"),
-                        F.transform(part, F.length).alias("held"))
-    span = "struct<start:int,kind:int,end:int>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("out"))
-
-    def step(acc, x):
-        begin = acc["at"] + x["gap"]
-        end = begin + F.coalesce(x["size"], F.lit(0))
-        one = F.struct(begin.alias("start"), F.lit(order).alias("kind"), end.alias("end"))
-        keep = F.coalesce(x["held"], F.lit(0)) >= rule.least
-        return F.struct(end.alias("at"),
-                        F.when(keep, F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(each, start, step, lambda acc: acc["out"])
+    """Spans (start, kind number, end) of the leftmost non-overlapping matches."""
+    kept = F.filter(matches(text, rule.regex, rule.group), lambda x: F.length(x["part"]) >= rule.least)
+    return F.transform(kept, lambda x: F.struct(x["start"], F.lit(order).alias("kind"), x["end"]))
 
 
 def _fast(rule: Rule) -> Rule:
@@ -208,9 +191,10 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     start, then kind (its number in ``rules``)."""
     wanted = sorted(set().union(*(trigrams(trigram_query(r.regex)) for r in rules)))
     index = stored(postings(docs, wanted), "secret-postings")
-    found = candidates(index, rules, wanted)
-    on = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
-    rows = docs.alias("d").join(found.alias("c"), on, "left").select("d.*", "c._c")
+    found = candidates(index, rules, wanted).alias("c")
+    many = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).alias("n")
+    found = (found.join(many, F.col("c.doc_id").eqNullSafe(F.col("n.doc_id"))).select("c.doc_id", "c._c", "n._n"))
+    rows = salted_lookup(docs, found, ["doc_id"], F.col("text"), "left", rows="_n", total=docs.count()).drop("_n")
     text = F.coalesce(F.col("text"), F.lit(""))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     spans = []
@@ -223,20 +207,37 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return rows.withColumn("spans", F.array_sort(F.concat(*spans))).drop("_c")
 
 
+#: Code points of a piece of text that is cut as a whole.
+_CHUNK = 4096
+
+
+def _piece(chunks: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to ``end``, from its ``chunks``: no cut reads more than one of them."""
+    first, last = F.floor(start / _CHUNK).cast("int"), F.floor(end / _CHUNK).cast("int")
+    at, to = start % _CHUNK, end % _CHUNK
+    head, tail = F.coalesce(F.get(chunks, first), F.lit("")), F.coalesce(F.get(chunks, last), F.lit(""))
+    return F.when(first == last, F.substring(head, at + 1, to - at)).otherwise(
+        F.concat(F.substring(head, at + 1, F.lit(_CHUNK)), F.array_join(F.slice(chunks, first + 2, last - first - 1), ""),
+                 F.substring(tail, F.lit(1), to)))
+
+
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = REDACTED, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span replaced by ``mark`` (overlapping spans by one);
     ``n_chars``, if there, follows. Texts without a span, null ones too, stay."""
-    text = F.col("text")
+    text, ends = F.col("text"), F.transform("spans", lambda s: s["end"])
+
+    def without(chunks: Column, before: Column) -> Column:
+        """``before``: the end of what is taken out before each span, and at last."""
+        def left(s: Column) -> Column:
+            return F.when(s["start"] >= s["at"], F.concat(_piece(chunks, s["at"], s["start"]), F.lit(mark))).otherwise("")
 
-    def step(acc, s):
-        fresh = s["start"] >= acc["at"]
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(fresh, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"))
+        each = F.zip_with("spans", F.slice(before, F.lit(1), F.size("spans")),
+                          lambda s, at: F.struct(s["start"].alias("start"), at.alias("at")))
+        rest = _piece(chunks, F.element_at(before, -1), F.length(text))
+        return F.concat(F.array_join(F.transform(each, left), ""), rest)
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("spans", start, step,
-                        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+    clean = let(cut, lambda chunks: let(running(ends, F.greatest), lambda before: without(chunks, before)))
     hit = F.size("spans") > 0
     new = {"text": F.col("_s"), "n_chars": F.length("_s").cast("long")}
     rows = scan(packed(docs, "doc_id", "text"), rules).withColumn("_s", F.when(hit, clean))

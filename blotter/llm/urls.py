@@ -1,8 +1,9 @@
 """Operator 4: URL filter by association rules and a host-path rule list.
 
-FP-growth mines combinations of URL tokens that occur with the label token in
-labelled pages; rules that end in the label are pruned by support, confidence
-and lift and by shorter rules that say as much. An inverted index (rarest
+FP-growth mines the combinations of URL tokens that enough pages with a bad label
+have (a number of pages, so a small host is not lost among many pages); their
+confidence is counted over all labelled pages. Rules are pruned by support,
+confidence and lift and by shorter rules that say as much. An inverted index (rarest
 token of a rule -> rule) finds the rules a page may meet, and the rule's other
 tokens are then verified. A fixed rule list (host suffix, path prefix) goes
 before the mined rules; of several entries the longest wins.
@@ -23,17 +24,15 @@ from .common import salted_lookup, stored, table
 
 # Fixed values: (rule, verdict); host, then path from the first slash on.
 LIST = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.8
 MIN_LIFT = 1.5
-#: Labelled pages that must meet a rule.
+#: Bad pages that must meet a rule.
 MIN_PAGES = 10
 #: Tokens of a rule, label aside.
 MAX_TOKENS = 3
 #: The index is broadcast up to this many rules (of MAX_TOKENS tokens); beyond,
 #: it is joined by salted shuffles.
 MAX_RULES = 5_000
-BAD = "=bad"
 
 
 def host_of(url: Column) -> Column:
@@ -65,30 +64,36 @@ def listed(host: Column, path: Column, rules=LIST) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT,
-         min_confidence: float = MIN_CONFIDENCE, min_pages: int = MIN_PAGES) -> DataFrame:
+def mine(pages: DataFrame, labels: DataFrame, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE,
+         min_lift: float = MIN_LIFT) -> DataFrame:
     """Rules (rule_id, tokens, confidence, pages) from ``labels`` (page_id, bad)."""
     spark = pages.sparkSession
     label = labels.groupBy("page_id").agg(F.max(F.col("bad").cast("int")).alias("bad"))
-    basket = stored(pages.join(label, "page_id").select(
-        F.when(F.col("bad") == 1, F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items")),
-        "url-baskets")
-    n, bad = basket.agg(F.count(F.lit(1)), F.sum(F.array_contains("items", BAD).cast("long"))).first()
+    known = stored(pages.join(label, "page_id").select("tokens", F.coalesce("bad", F.lit(0)).alias("bad")), "url-baskets")
+    n, bad = known.agg(F.count(F.lit(1)), F.sum("bad")).first()
     none = spark.createDataFrame([], "rule_id string, tokens array<string>, confidence double, pages long")
-    if not n or not bad:
+    if not n or not bad or bad < min_pages:
         return none
-    least = max(min_support, min_pages / n)
-    if least > 1:
-        return none
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(basket)
-    base = bad / n
-    rules = (model.associationRules.filter(F.col("consequent")[0] == BAD)
-             .filter(F.size("antecedent") <= MAX_TOKENS)
-             .filter(F.col("confidence") / base >= MIN_LIFT)
-             .select(F.array_sort("antecedent").alias("tokens"), "confidence",
-                     F.round(F.col("support") * n).cast("long").alias("pages"))
+    # Combinations that ``min_pages`` bad pages have, whatever share of all that is.
+    model = FPGrowth(itemsCol="tokens", minSupport=min_pages / bad * (1 - 1e-9)).fit(known.filter("bad = 1"))
+    often = (model.freqItemsets.filter(F.size("items") <= MAX_TOKENS)
+             .select(F.array_sort("items").alias("tokens"), F.col("freq").alias("pages"))
              .withColumn("rule_id", F.array_join("tokens", " & ")))
-    rules = stored(rules.select("rule_id", "tokens", "confidence", "pages"), "url-rules")
+    often = stored(often, "url-often")
+    # How many labelled pages meet each: a combination is looked up by its rarest
+    # token; pages with the same tokens are one row.
+    basket = known.groupBy("tokens").agg(F.count(F.lit(1)).alias("n"))
+    need = index_rules(often.select("rule_id", "tokens"), basket).select("rule_id", "token", F.col("tokens").alias("_need"))
+    asked = basket.select("tokens", "n", F.explode("tokens").alias("token"))
+    met = asked.join(F.broadcast(need) if often.count() <= MAX_RULES else need, "token")
+    met = (met.filter(F.size(F.array_except("_need", "tokens")) == 0).groupBy("rule_id").agg(F.sum("n").alias("_met")))
+    base = bad / n
+    # A lift cannot pass 1 / base: where most pages are bad, half of what is left to 1 is asked for.
+    least = max(min_confidence, min(min_lift * base, (1 + base) / 2))
+    confidence = F.col("pages") / F.col("_met")
+    rules = stored(often.join(met, "rule_id").withColumn("confidence", confidence).filter(F.col("confidence") >= least)
+                   .select("rule_id", "tokens", "confidence", "pages"), "url-rules")
+
     # A rule goes if a shorter one has a part of its tokens and no less confidence:
     # each rule looks up its own parts, so that no token brings its rules together.
     def part(mask: int) -> Column:
