@@ -35,6 +35,8 @@ ALPHA = 0.7
 KEEP = 0.6
 #: Rakings of all three marginals.
 SWEEPS = 12
+#: A cell is full from this part of its tokens on, so that rounding decides nothing.
+FULL = 1 - 1e-9
 #: The largest miss of a category, as a part of all tokens, that isn't reported.
 TOLERANCE = 1e-3
 #: Cell, target and factor tables are broadcast up to this many rows (some 80
@@ -110,7 +112,7 @@ def bounded(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP,
     out = cells.withColumn("w", F.col("n") * F.lit(float(keep)))
     for _ in range(sweeps):
         for dim, goal in want.items():
-            full = F.col("w") >= F.col("n")
+            full = F.col("w") >= F.col("n") * FULL
             had = out.groupBy(dim).agg(F.sum(F.when(full, F.col("n")).otherwise(0)).cast("double").alias("_full"),
                                        F.sum(F.when(full, 0.0).otherwise(F.col("w"))).alias("_free"))
             left, both = F.col("goal") - F.col("_full"), F.col("_full") + F.col("_free")
@@ -184,7 +186,7 @@ g_{d} AS MATERIALIZED (SELECT {d}, least(have, target * (SELECT scale FROM r_{d}
             ctes.append(f"""
 c{k} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, c.n, c.w * CASE WHEN g.goal > h.f AND h.free > 0 THEN (g.goal - h.f) / h.free
     WHEN g.goal < h.f + h.free THEN g.goal / (h.f + h.free) ELSE 1 END AS w
-  FROM {last} c JOIN (SELECT {d}, CAST(sum(CASE WHEN w >= n THEN n ELSE 0 END) AS DOUBLE) AS f, sum(CASE WHEN w >= n THEN 0.0 ELSE w END) AS free
+  FROM {last} c JOIN (SELECT {d}, CAST(sum(CASE WHEN w >= n * CAST({FULL!r} AS DOUBLE) THEN n ELSE 0 END) AS DOUBLE) AS f, sum(CASE WHEN w >= n * CAST({FULL!r} AS DOUBLE) THEN 0.0 ELSE w END) AS free
     FROM {last} GROUP BY {d}) h ON c.{d} IS NOT DISTINCT FROM h.{d} JOIN g_{d} g ON g.{d} IS NOT DISTINCT FROM c.{d})""")
             last = f"c{k}"
     return f"""
