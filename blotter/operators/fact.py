@@ -86,7 +86,7 @@ AUDIT_COLUMNS = ["bronze_load_datetime", "silver_processed_datetime", "gold_proc
 def attach_foreign_keys(silver: DataFrame, dims: Mapping[str, DataFrame],
                         cfg: C.Config = C.DEFAULT, sizes: Mapping[str, int] | None = None) -> DataFrame:
     """The nine left joins, adding one foreign key each. ``sizes``: rows
-    per dimension where known."""
+    per dimension where known. A dimension that is not given adds none."""
     known = {**(sizes or {}), "dim_date": spine_days(cfg), "dim_time": MINUTES_PER_DAY}
     weapon = F.coalesce(F.col("weapon_used_cd"), F.lit(C.NO_WEAPON_CODE))
     victim = [(F.col(c), c) for c in ("vict_age_clean", "vict_sex", "vict_descent")]
@@ -105,6 +105,8 @@ def attach_foreign_keys(silver: DataFrame, dims: Mapping[str, DataFrame],
     ]
     f = silver
     for name, on, key, column, role in joins:
+        if name not in dims:
+            continue
         f = star_join(f, dims[name], on, {key: column}, role, null_safe=role == "victim", cfg=cfg,
                       known_rows=known.get(name), hot=cfg.hot_keys.get(role, ()))
     return f
@@ -114,8 +116,12 @@ def fact_incidents(silver: DataFrame, dims: Mapping[str, DataFrame], cfg: C.Conf
                    ts: Column | None = None, sizes: Mapping[str, int] | None = None) -> DataFrame:
     """One row per silver row: surrogate key, business key, nine foreign
     keys, degenerate columns, measures, flags and audit (25 columns)."""
-    f = attach_foreign_keys(silver, dims, cfg, sizes)
-    return f.select(
+    return attach_foreign_keys(silver, dims, cfg, sizes).select(*fact_columns(cfg, ts))
+
+
+def fact_columns(cfg: C.Config = C.DEFAULT, ts: Column | None = None) -> list:
+    """The fact's columns over silver rows with their foreign keys."""
+    return [
         incident_key(F.col("dr_no"), cfg.key_mode).alias("incident_key"),
         "dr_no", *FOREIGN_KEYS,
         F.col("location").alias("location_address"),
@@ -129,7 +135,7 @@ def fact_incidents(silver: DataFrame, dims: Mapping[str, DataFrame], cfg: C.Conf
         "silver_processed_datetime",
         (ts if ts is not None else F.current_timestamp()).alias("gold_processed_datetime"),
         F.lit(C.FLOW_FACT).alias("created_by"),
-    )
+    ]
 
 
 def fact_null_fk_counts(fact: DataFrame) -> DataFrame:

@@ -19,11 +19,13 @@ from ..operators import marts as M
 from ..operators import profile as R
 from ..operators import quality as Q
 from ..operators import silver as S
+from ..operators import exact as X
 from ..operators.fact import AUDIT_COLUMNS, STAR_ROLES, fact_null_fk_counts
 from ..sources.csv import with_ingest_audit
 from ..sources.fixture import incidents, read_driver_table
 from ..sources.schema import SOURCE_COLUMNS
-from ..sources.tables import Layout, append_flow, read_table
+from ..sources.tables import Layout, append_flow, materialize, read_table
+from ..streaming import grain, late
 from ..streaming.flows import run_flows
 from .execution import shared_folder
 from .pipeline import Layers, bronze_from_fixture, read_layers, run_batch
@@ -250,6 +252,79 @@ def q_layer_counts(spark, sf_dir):
     return M.layer_counts(L.bronze, L.silver, L.fact)
 
 
+# ---------------------------------------------------------------- across runs
+def q_late_members_fact(spark, sf_dir):
+    """X4 where members come after their facts: the first run's facts meet the
+    members of a part of its rows only; the others are added later."""
+    L, layout = _layers(spark, sf_dir), Layout(shared_folder(spark, "late"))
+    early = dict(L.dims)
+    for name, build in D.DATA_DIMS.items():
+        materialize(build(L.silver.filter("dr_no % 4 = 0"), CFG), layout.path(name))
+        early[name] = read_table(spark, layout.path(name))
+    late.append_facts(L.silver.filter("dr_no % 2 = 0"), early, layout, 1, CFG)
+    late.rekey_late(spark, layout, {name: late.new_members(L.dims[name], early[name], name) for name in D.DATA_DIMS}, CFG)
+    late.append_facts(L.silver.filter("dr_no % 2 <> 0"), L.dims, layout, 2, CFG, sizes=L.sizes)
+    return _drop_ts(late.maintained_fact(spark, layout))
+
+
+def q_settled_locations(spark, sf_dir):
+    """A12/X3 over three runs whose rows differ in the members' payload."""
+    layout, silver = Layout(shared_folder(spark, "settled")), _layers(spark, sf_dir).silver
+    third = F.col("dr_no") % 3
+    silver = silver.withColumn("area_name", F.when(third == 1, F.lower("area_name")).when(third == 0, F.col("area_name")))
+    for version in (2, 1, 0):
+        late.settle_members(silver.filter(third == version), "dim_location", layout, version)
+    return _drop_ts(late.settled_dimension(spark, layout, "dim_location", CFG))
+
+
+def q_unique_incidents(spark, sf_dir):
+    """Q6 enforced over two runs: the second repeats incidents of the first and
+    has some of its own twice."""
+    layout, rows = Layout(shared_folder(spark, "grain")), incidents(spark, sf_dir)
+    again = rows.filter("dr_no % 10 = 0").withColumn("status", F.lit("again"))
+    fresh = (rows.filter("dr_no % 10 = 1 and date_rptd is not null").withColumn("dr_no", -F.col("dr_no"))
+             .withColumn("status", F.lit("fresh")))
+    later = fresh.withColumn("date_rptd", F.expr("date_rptd + interval 1 day")).withColumn("status", F.lit("later"))
+    grain.enforce_grain(rows, layout, 0)
+    grain.enforce_grain(again.unionByName(later).unionByName(fresh), layout, 1)
+    kept = read_table(spark, layout.path(grain.UNIQUE)).select("dr_no", "status", F.lit("kept").alias("outcome"))
+    return kept.unionByName(read_table(spark, layout.path(grain.REPEATED)).select("dr_no", "status", F.col("failed_rules").alias("outcome")))
+
+
+QUANTILES = (0.01, 0.25, 0.5, 0.75, 0.99)
+
+
+def q_exact_quantiles(spark, sf_dir):
+    """A5 on a column of mostly distinct values and on one of few."""
+    rows, out = read_driver_table(spark, sf_dir, "lineitem"), None
+    for c in ("l_extendedprice", "l_quantity"):
+        one = X.exact_quantiles(rows, c, QUANTILES).select(F.lit(c).alias("column_name"), "prob", F.round("value", 6).alias("value"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_proven_top(spark, sf_dir):
+    """T2 on keys of similar frequency and on skewed ones."""
+    rows = read_driver_table(spark, sf_dir, "lineitem")
+    skewed = rows.select(F.floor(F.sqrt(F.sqrt("l_partkey"))).cast("long").alias("k"))
+    return (X.proven_top_k(rows, "l_partkey", 25).select(F.lit("l_partkey").alias("column_name"), "key", "count")
+            .unionByName(X.proven_top_k(skewed, "k", 5).select(F.lit("root").alias("column_name"), "key", "count")))
+
+
+def q_dense_location_keys(spark, sf_dir):
+    """G1/Q7: keys of the second run follow those of the first."""
+    silver, path = _layers(spark, sf_dir).silver, shared_folder(spark, "registry")
+    X.register_keys(silver.filter("dr_no % 3 = 0 and area is not null"), ["area", "rpt_dist_no"], path, 1)
+    return X.register_keys(silver.filter("area is not null"), ["area", "rpt_dist_no"], path, 2)
+
+
+GRID_LEVELS = (0, 4, 8, 10, 12)
+
+
+def q_grid_levels(spark, sf_dir):
+    return X.grid_levels(_layers(spark, sf_dir).fact, GRID_LEVELS)
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "clean_age": _bronze_step(S.clean_age),
@@ -324,6 +399,13 @@ def registry() -> dict[str, Query]:
     for name in M.MARTS:
         q[name] = _mart(name)
     q["layer_counts"] = q_layer_counts
+    q["late_members_fact"] = q_late_members_fact
+    q["settled_locations"] = q_settled_locations
+    q["unique_incidents"] = q_unique_incidents
+    q["exact_quantiles"] = q_exact_quantiles
+    q["proven_top"] = q_proven_top
+    q["dense_location_keys"] = q_dense_location_keys
+    q["grid_levels"] = q_grid_levels
     q["crime_category"] = q_crime_category
     q["out_of_bounds_flag"] = q_out_of_bounds_flag
     q["fiscal_july"] = q_fiscal_july

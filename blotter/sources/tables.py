@@ -131,6 +131,21 @@ def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.parquet(path)
 
 
+def write_part(df: DataFrame, path: str, options: dict[str, str] | None = None, **part: int) -> None:
+    """Write one partition folder of a table anew (K2): writing a run again,
+    after a failure, leaves the same rows."""
+    folder = "/".join(f"{k}={v}" for k, v in part.items())
+    df.write.mode("overwrite").options(**(options or {})).parquet(f"{path}/{folder}")
+
+
+def overwrite_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
+    """Replace those partitions of a table that ``df`` has rows of; others stay as they are.
+
+    ``df`` must not read the table itself: write it to another folder first."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*columns).parquet(path))
+
+
 def append_flow(df: DataFrame, path: str, checkpoint: str, name: str | None = None,
                 available_now: bool = True, partition_by: list[str] | None = None) -> StreamingQuery:
     """Start an append-only streaming flow into a Parquet table (K1).

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from blotter import config as C
 from blotter.operators.profile import ISSUES
+from blotter.plans.queries import GRID_LEVELS, QUANTILES
 from blotter.sources.fixture import INCIDENTS_SQL
 from blotter.sources.schema import SOURCE_COLUMNS
 
@@ -406,6 +407,31 @@ LEFT JOIN (SELECT time_occ, count(*) AS incidents FROM silver GROUP BY time_occ)
   coalesce({LAT_BAD} OR {LON_BAD}, false) AS is_out_of_bounds FROM silver""")
     q["fact_incidents"] = q["flows_fact"] = W("SELECT * FROM fact")
     q["flows_dim_location"] = q["dim_location"]
+    # Across runs, and exact forms with bounded memory.
+    q["late_members_fact"] = q["fact_incidents"]
+    q["settled_locations"] = W("SELECT * FROM dim_location", silver="SELECT * REPLACE (CASE dr_no % 3 WHEN 0 THEN area_name "
+                               f"WHEN 1 THEN lower(area_name) END AS area_name) FROM ({SILVER})")
+    fresh = "FROM incidents WHERE dr_no % 10 = 1 AND date_rptd IS NOT NULL"
+    q["unique_incidents"] = W(f"""SELECT dr_no, status, 'kept' AS outcome FROM incidents
+UNION ALL SELECT dr_no, 'again', 'unique_incident' FROM incidents WHERE dr_no % 10 = 0
+UNION ALL SELECT -dr_no, 'fresh', 'kept' {fresh} UNION ALL SELECT -dr_no, 'later', 'unique_incident' {fresh}""")
+    q["exact_quantiles"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS prob, round(quantile_cont(CAST({c} AS DOUBLE), {p}), 6) AS value FROM lineitem"
+        for c in ("l_extendedprice", "l_quantity") for p in QUANTILES)
+    q["proven_top"] = """SELECT 'l_partkey' AS column_name, * FROM (SELECT l_partkey AS "key", count(*) AS "count" FROM lineitem
+  GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25)
+UNION ALL SELECT 'root', * FROM (SELECT CAST(floor(sqrt(sqrt(l_partkey))) AS BIGINT) AS "key", count(*) AS "count" FROM lineitem
+  GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5)"""
+    q["dense_location_keys"] = W("""SELECT area, rpt_dist_no, row_number() OVER (ORDER BY later, area NULLS FIRST, rpt_dist_no NULLS FIRST) - 1 AS "key"
+FROM (SELECT area, rpt_dist_no, CAST(min(CASE WHEN dr_no % 3 = 0 THEN 0 ELSE 1 END) AS INT) AS later FROM silver WHERE area IS NOT NULL
+  GROUP BY area, rpt_dist_no)""")
+    finest = 12
+    place = {c: f"CAST(round(({c} + {span // 2}) * 1000000) AS BIGINT) * {1 << finest} // {span * 1000000}"
+             for c, span in (("latitude", 180), ("longitude", 360))}
+    bits = " + ".join(f"(((y >> {b}) & 1) << {2 * b + 1}) + (((x >> {b}) & 1) << {2 * b})" for b in range(finest))
+    q["grid_levels"] = W(" UNION ALL ".join(f"""SELECT {n} AS level, z >> {2 * (finest - n)} AS cell, count(*) AS incidents
+FROM (SELECT {bits} AS z FROM (SELECT {place['latitude']} AS y, {place['longitude']} AS x FROM fact
+  WHERE latitude IS NOT NULL AND longitude IS NOT NULL)) GROUP BY 1, 2""" for n in GRID_LEVELS))
     q["flows_layer_rows"] = W("""SELECT 'bronze' AS layer, count(*) AS "rows" FROM incidents
 UNION ALL SELECT 'silver', count(*) FROM silver UNION ALL SELECT 'fact', count(*) FROM fact
 UNION ALL SELECT 'quarantine', (SELECT count(*) FROM incidents) - (SELECT count(*) FROM silver)""")
