@@ -15,8 +15,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Keys with more than this part of all rows count as hot.
-HOT_SHARE = 1000
 #: Rows per Arrow batch where whole texts go to Python.
 TEXT_BATCH_ROWS = 1000
 
@@ -118,36 +116,28 @@ def matches(text: Column, regex: str, group: int = 0) -> Column:
 
 
 def salted_lookup(left: DataFrame, right: DataFrame, keys: list[str], spread: Column,
-                  how: str = "inner", salts: int = 8, rows: str | None = None, total: int = 0) -> DataFrame:
+                  how: str = "inner", salts: int = 8) -> DataFrame:
     """Join ``left`` to ``right`` (one row per key) when a key may be hot on the left.
 
     Left rows of a key go to ``salts`` places by a hash of ``spread`` (columns of
     the row itself, so that a repeated task deals alike); the right row is there
     in each. Both sides are then exchanged for this join alone, so Spark can
-    also split what is still too large. Keys match null-safely.
-
-    Where the column ``rows`` of ``right`` says how many of the ``total`` left rows
-    a key has, only keys with more than one in ``HOT_SHARE`` of them are dealt
-    out, over as many places as there are shuffle partitions. There are at most
-    ``HOT_SHARE`` of those, so their list is broadcast and only they are repeated."""
-    a, b, places = left.alias("a"), right.alias("b"), F.lit(salts)
-    if rows is not None:
-        salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        hot = F.col(rows) * HOT_SHARE > total
-        listed = right.filter(hot).select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], F.lit(True).alias("_hot"))
-        same = F.lit(True)
-        for i, k in enumerate(keys):
-            same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"_h{i}"))
-        a = a.join(F.broadcast(listed), same, "left").alias("a")
-        places = F.when(hot, salts).otherwise(1)
+    also split what is still too large. Keys match null-safely."""
     salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-    a = a.withColumn("_salt", salt if rows is None else F.when(F.col("_hot"), salt).otherwise(0)).alias("a")
-    b = b.withColumn("_salt", F.explode(F.sequence(F.lit(0), places - 1))).alias("b")
-    on = (F.col("a._salt") == F.col("b._salt"))
+    a = left.withColumn("_salt", salt)
+    b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return lookup(a, b, [*keys, "_salt"], how).drop("_salt")
+
+
+def lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join ``left`` to ``right`` (one row per key), null-safely, for large ``right``
+    sides, which are not repeated: both sides are exchanged for this join alone, so
+    a hot key's left rows are split over tasks by the adaptive skew join."""
+    on = F.lit(True)
     for k in keys:
         on = on & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
     picked = [F.col(f"a.{c}") for c in left.columns] + [F.col(f"b.{c}") for c in right.columns if c not in keys]
-    return a.join(b, on, how).select(*picked)
+    return left.alias("a").join(right.alias("b"), on, how).select(*picked)
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -156,7 +146,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Large-star and small-star steps in turn: every node's neighbours are linked
     to the smallest one known until the edges are stars around the smallest
     node of each component. Minima are combined before the shuffle and a hot
-    node's edges are salted, so no step holds a node's neighbours together."""
+    node's edges are split by the adaptive skew join, so no step holds a node's neighbours together."""
     e = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                .filter("u <> v").distinct(), "links")
     for _ in range(rounds):
@@ -164,11 +154,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n")).select("u", F.least("u", "m").alias("m"), "_n")
-        large = stored(salted_lookup(both, low, ["u"], F.col("v"), rows="_n", total=2 * e.count()).filter("v > u")
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = stored(lookup(both, low, ["u"]).filter("v > u")
                        .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v"), "links")
-        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
-        small = salted_lookup(large, low, ["u"], F.col("v"), rows="_n", total=large.count())
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = lookup(large, low, ["u"])
         pair = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                  F.struct(F.col("u"), F.col("m").alias("v"))))
         e = stored(small.select(pair.alias("e")).select("e.*").filter("u <> v").distinct(), "links")

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from .common import components, packed, salted_lookup, small_text_batches, stored, table, unpacked
+from .common import components, lookup, packed, small_text_batches, stored, table, unpacked
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -235,7 +235,7 @@ def _short_keys(reps: DataFrame, similarity: float) -> DataFrame:
     share one. Those of a single text only take their places in the order."""
     shingle = stored(reps.filter(F.size("short") > 0).select("rep", "n", F.explode("short").alias("s")), "copies-short")
     often = shingle.groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    own = (salted_lookup(shingle, often, ["s"], F.col("rep"), rows="c", total=shingle.count()).groupBy("rep", "n")
+    own = (lookup(shingle, often, ["s"]).groupBy("rep", "n")
            .agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("e")))
     room = F.size("e") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1
     return (own.filter(room > 0).select("rep", "n", F.explode(F.slice("e", F.lit(1), room)).alias("x"))
@@ -250,12 +250,12 @@ def _buckets(reps: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     member = stored(reps.select("rep", "n", F.explode("keys").alias("key"))
                     .unionByName(_short_keys(reps, similarity)), "copies-members")
     size = member.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = stored(salted_lookup(member, size, ["key"], F.col("rep"), rows="size", total=member.count()), "copies-shared")
+    shared = stored(lookup(member, size, ["key"]), "copies-shared")
     weight = shared.groupBy("rep").agg(F.sum("size").alias("weight"))
     best = (shared.join(weight, "rep").groupBy("key")
-            .agg(F.max(F.struct("weight", (-F.col("rep")).alias("m"))).alias("top"), F.count(F.lit(1)).alias("_n"))
-            .select("key", (-F.col("top.m")).alias("leader"), "_n"))
-    return stored(salted_lookup(shared, best, ["key"], F.col("rep"), rows="_n", total=shared.count()).drop("_n"), "copies-buckets")
+            .agg(F.max(F.struct("weight", (-F.col("rep")).alias("m"))).alias("top"))
+            .select("key", (-F.col("top.m")).alias("leader")))
+    return stored(lookup(shared, best, ["key"]), "copies-buckets")
 
 
 def _alike_in_length(similarity: float):
@@ -330,9 +330,7 @@ def links(reps: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> D
     # Where a bucket is not connected, what is apart meets the other members.
     known = _with_component(bucket, comp)
     lead = comp.select(F.col("node").alias("leader"), F.col("component").alias("_lead"))
-    led = bucket.groupBy("leader").agg(F.count(F.lit(1)).alias("_n"))
-    lead = lead.join(led.hint("shuffle_merge"), "leader")
-    known = stored(salted_lookup(known, lead, ["leader"], F.col("rep"), "left", rows="_n", total=bucket.count()).drop("_n")
+    known = stored(lookup(known, lead, ["leader"], "left")
                    .withColumn("_lead", F.coalesce("_lead", "leader")), "copies-known")
     torn = known.filter("component <> _lead").select("key").distinct()
     some = stored(known.join(torn.hint("shuffle_merge"), "key", "left_semi"), "copies-some")
@@ -363,14 +361,14 @@ def digest_of(doc: pd.Series, text: pd.Series) -> pd.Series:
 
 def _classes(docs: DataFrame, drawn: DataFrame, similarity: float) -> DataFrame:
     """(doc_id, digest, class_id) where an id has one text."""
-    reps = stored(drawn.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("_n"), F.first("n").alias("n"),
+    reps = stored(drawn.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"),
                                               F.first("keys").alias("keys"), F.first("short").alias("short")), "copies-reps")
     found = links(reps.filter("n > 0"), docs, similarity)
     comp = components(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    to = (reps.select("digest", "rep", "_n").join(comp.select(F.col("node").alias("rep"), "component")
+    to = (reps.select("digest", "rep").join(comp.select(F.col("node").alias("rep"), "component")
                                                   .hint("shuffle_merge"), "rep", "left")
-          .select("digest", "_n", F.coalesce("component", "rep").alias("class_id")))
-    return (salted_lookup(drawn.select("doc_id", "digest"), to, ["digest"], F.col("doc_id"), rows="_n", total=drawn.count())
+          .select("digest", F.coalesce("component", "rep").alias("class_id")))
+    return (lookup(drawn.select("doc_id", "digest"), to, ["digest"])
             .select("doc_id", "digest", "class_id").distinct())
 
 

@@ -24,7 +24,7 @@ from re import _parser as P
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, matches, packed, running, salted_lookup, small_text_batches, stored, table
+from .common import let, lookup, matches, packed, running, small_text_batches, stored, table
 
 
 @dataclass(frozen=True)
@@ -191,10 +191,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     start, then kind (its number in ``rules``)."""
     wanted = sorted(set().union(*(trigrams(trigram_query(r.regex)) for r in rules)))
     index = stored(postings(docs, wanted), "secret-postings")
-    found = candidates(index, rules, wanted).alias("c")
-    many = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).alias("n")
-    found = (found.join(many, F.col("c.doc_id").eqNullSafe(F.col("n.doc_id"))).select("c.doc_id", "c._c", "n._n"))
-    rows = salted_lookup(docs, found, ["doc_id"], F.col("text"), "left", rows="_n", total=docs.count()).drop("_n")
+    rows = lookup(docs, candidates(index, rules, wanted), ["doc_id"], "left")
     text = F.coalesce(F.col("text"), F.lit(""))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     spans = []
