@@ -1,14 +1,15 @@
 """Dashboard marts over the star (B1-B18) and layer counts.
 
-Each mart takes the star view (fact joined to the dimension roles it needs)
-and returns a small aggregate. Shares are computed by conditional
+Each mart takes the star view (fact joined to the dimension roles it needs, or
+facts already counted by foreign key, with their counts in ``WEIGHT``) and
+returns a small aggregate. Shares are computed by conditional
 aggregation in a single pass instead of joining against a total, and
 period-over-period changes join aggregated periods by index.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -16,10 +17,21 @@ from ..functions import expressions as X
 from .aggregates import period_change, top_k, union_counts, value_counts
 
 N = "incidents"
+#: In a star of counted facts: the incidents that a row stands for.
+WEIGHT = "_incidents"
+
+
+def _total(star: DataFrame, pred: Column | None = None) -> Column:
+    """Incidents (that meet ``pred``) of a group."""
+    if WEIGHT not in star.columns:
+        return F.count(F.lit(1)) if pred is None else F.count_if(pred)
+    return F.coalesce(F.sum(WEIGHT if pred is None else F.when(pred, F.col(WEIGHT))), F.lit(0).cast("bigint"))
 
 
 def _count(df: DataFrame, keys: list[str]) -> DataFrame:
-    return value_counts(df, keys, N)
+    if WEIGHT not in df.columns:
+        return value_counts(df, keys, N)
+    return df.groupBy(*keys).agg(_total(df).alias(N))
 
 
 def yearly_yoy(star: DataFrame) -> DataFrame:
@@ -51,7 +63,8 @@ def density_grid(star: DataFrame, cfg: C.Config = C.DEFAULT) -> DataFrame:
         return F.floor(F.round(F.col(c) * 1_000_000).cast("bigint") / step)
 
     cells = star.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
-        cell("latitude").alias("lat_cell"), cell("longitude").alias("lon_cell"))
+        cell("latitude").alias("lat_cell"), cell("longitude").alias("lon_cell"),
+        *[c for c in star.columns if c == WEIGHT])
     return _count(cells, ["lat_cell", "lon_cell"])
 
 
@@ -98,7 +111,7 @@ def weapon_category_share(star: DataFrame) -> DataFrame:
         code = F.when(F.col("weapon_key") != C.NO_WEAPON_KEY, F.col("weapon_used_cd"))
         cat = weapon_category_expr(code, "weapon_desc")
     names = [label for _, label in C.WEAPON_CATEGORIES] + [C.WEAPON_OTHER, C.WEAPON_NONE]
-    one = star.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(cat == n).alias(n) for n in names])
+    one = star.agg(_total(star).alias("__n"), *[_total(star, cat == n).alias(n) for n in names])
     long = one.unpivot("__n", names, "weapon_category", N)
     return long.select("weapon_category", N, X.pct(F.col(N), F.col("__n")).alias("pct_share"))
 
@@ -126,7 +139,7 @@ def descent_breakdown(star: DataFrame) -> DataFrame:
 def arrest_rate(star: DataFrame) -> DataFrame:
     """Overall arrest rate in % (unknown status counts as no arrest)."""
     arrested = F.coalesce(F.col("is_arrested"), F.lit(False))
-    return star.agg(F.count(F.lit(1)).alias(N), F.count_if(arrested).alias("arrests")).select(
+    return star.agg(_total(star).alias(N), _total(star, arrested).alias("arrests")).select(
         N, "arrests", X.pct(F.col("arrests"), F.col(N)).alias("arrest_rate_pct"))
 
 
@@ -139,7 +152,7 @@ def arrest_trend_area(star: DataFrame) -> DataFrame:
     """Arrest rate per area and month."""
     arrested = F.coalesce(F.col("is_arrested"), F.lit(False))
     g = star.groupBy("area", "area_name", "year_month").agg(
-        F.count(F.lit(1)).alias(N), F.count_if(arrested).alias("arrests"))
+        _total(star).alias(N), _total(star, arrested).alias("arrests"))
     return g.withColumn("arrest_rate_pct", X.pct(F.col("arrests"), F.col(N)))
 
 

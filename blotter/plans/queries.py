@@ -25,7 +25,7 @@ from ..sources.csv import with_ingest_audit
 from ..sources.fixture import incidents, read_driver_table
 from ..sources.schema import SOURCE_COLUMNS
 from ..sources.tables import Layout, append_flow, materialize, read_table
-from ..streaming import grain, late
+from ..streaming import grain, late, refresh
 from ..streaming.flows import run_flows
 from .execution import shared_folder
 from .pipeline import Layers, bronze_from_fixture, read_layers, run_batch
@@ -291,6 +291,38 @@ def q_unique_incidents(spark, sf_dir):
     return kept.unionByName(read_table(spark, layout.path(grain.REPEATED)).select("dr_no", "status", F.col("failed_rules").alias("outcome")))
 
 
+def _refreshed(spark: SparkSession, sf_dir: str) -> Layout:
+    """Cubes after five deltas: a run whose members come late, their keys, a second
+    run, a run that repeats some facts, and its withdrawal."""
+    key = (spark.sparkContext.applicationId, "refreshed", _input_state(spark, sf_dir), repr(CFG))
+    if key not in _WRITTEN:
+        L, layout = _layers(spark, sf_dir), Layout(shared_folder(spark, "refreshed"))
+        early = {**L.dims, **{name: L.dims[name].filter(F.pmod(F.xxhash64(F.col(D.NATURAL_KEYS[name][0])), F.lit(4)) != 0)
+                              for name in D.DATA_DIMS}}
+
+        def run_facts(run):
+            return read_table(spark, layout.path(late.FACT)).filter(F.col("run") == run)
+
+        late.append_facts(L.silver.filter("dr_no % 2 = 0"), early, layout, 1, CFG)
+        refresh.write_delta(layout, 1, run_facts(1))
+        late.rekey_late(spark, layout, {name: late.new_members(L.dims[name], early[name], name) for name in D.DATA_DIMS}, CFG,
+                        on_change=refresh.rekeyed_delta(layout, 1))
+        late.append_facts(L.silver.filter("dr_no % 2 <> 0"), L.dims, layout, 2, CFG, sizes=L.sizes)
+        refresh.write_delta(layout, 2, run_facts(2))
+        again = L.fact.filter("dr_no % 5 = 0")
+        refresh.write_delta(layout, 3, again)
+        refresh.write_delta(layout, 3, removed=again, change=refresh.WITHDRAWN)
+        _WRITTEN[key] = layout.base
+    return Layout(_WRITTEN[key])
+
+
+def _refreshed_mart(name: str) -> Query:
+    def q(spark, sf_dir):
+        L = _layers(spark, sf_dir)
+        return refresh.refreshed_mart(spark, _refreshed(spark, sf_dir), name, L.dims, CFG, L.sizes)
+    return q
+
+
 QUANTILES = (0.01, 0.25, 0.5, 0.75, 0.99)
 
 
@@ -398,6 +430,7 @@ def registry() -> dict[str, Query]:
     }
     for name in M.MARTS:
         q[name] = _mart(name)
+        q[f"refreshed_{name}"] = _refreshed_mart(name)
     q["layer_counts"] = q_layer_counts
     q["late_members_fact"] = q_late_members_fact
     q["settled_locations"] = q_settled_locations

@@ -18,7 +18,7 @@ run that is repeated after a failure leaves the same tables.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,11 +77,16 @@ def maintained_fact(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def rekey_late(spark: SparkSession, layout: Layout, members: Mapping[str, DataFrame],
-               cfg: C.Config = C.DEFAULT) -> dict[str, int]:
+               cfg: C.Config = C.DEFAULT,
+               on_change: Callable[[DataFrame, DataFrame], None] | None = None) -> dict[str, int]:
     """Give the waiting facts the keys of ``members`` (dimension -> members that
     are new since). Returns the rows that got a key, the partitions written again
     and the rows that still wait.
 
+    ``on_change`` gets the rows that found a key, with the keys they had and with
+    those they have now, before anything is written again. Both come from the
+    list, so a call repeated after a failure hands over the same rows.
+
     The list of touched partitions (month, run) passes the driver; rows don't."""
     path = layout.path(PENDING)
     if not table_exists(spark, path):
@@ -95,12 +100,12 @@ def rekey_late(spark: SparkSession, layout: Layout, members: Mapping[str, DataFr
         found = found | (F.col(known[k]).isNull() & F.col(k).isNotNull())
     keys = [F.coalesce(F.col(known[k]), F.col(k)).alias(k) if k in given else F.col(known[k]).alias(k) for k in FOREIGN_KEYS]
     # Rows with equal natural keys get equal foreign keys: one is enough.
-    fixed = _staged(looked.filter(found).select(*_PLACE, *keys).dropDuplicates(_PLACE), layout, "keys")
+    fixed = _staged(looked.filter(found).select(*_PLACE, *keys, *known.values()).dropDuplicates(_PLACE), layout, "keys")
     parts = sorted((r.month_occurred, r.run) for r in fixed.select("month_occurred", "run").distinct().collect())
     rows = 0
     if parts:
         months, runs = sorted({m for m, _ in parts}), sorted({r for _, r in parts})
-        new = fixed.withColumnsRenamed({k: f"_new_{k}" for k in FOREIGN_KEYS})
+        new = fixed.select(*_PLACE, *[F.col(k).alias(f"_new_{k}") for k in FOREIGN_KEYS])
 
         def repaired(df: DataFrame) -> DataFrame:
             joined = df.join(new, _PLACE, "left")
@@ -110,6 +115,10 @@ def rekey_late(spark: SparkSession, layout: Layout, members: Mapping[str, DataFr
         fact = read_table(spark, layout.path(FACT)).filter(F.col("month_occurred").isin(months) & F.col("run").isin(runs))
         fact = _staged(repaired(fact.join(F.broadcast(only), ["month_occurred", "run"], "left_semi")), layout, "fact")
         rows = fact.join(fixed.select(*_PLACE), _PLACE, "left_semi").count()
+        if on_change:
+            changed = fact.drop(*FOREIGN_KEYS).join(fixed, _PLACE)
+            had = changed.drop(*FOREIGN_KEYS).withColumnsRenamed({v: k for k, v in known.items()})
+            on_change(had.select(*FACT_COLUMNS), changed.select(*FACT_COLUMNS))
         overwrite_partitions(fact, layout.path(FACT), ["month_occurred", "run"])
         listed = read_table(spark, path).filter(F.col("run").isin(runs))
         listed = _staged(repaired(listed).withColumn("waits", _waits()), layout, "pending")

@@ -9,6 +9,7 @@ the report itself. The fixed values (bands, labels, patterns) come from
 from __future__ import annotations
 
 from blotter import config as C
+from blotter.operators.marts import MARTS
 from blotter.operators.profile import ISSUES
 from blotter.plans.queries import GRID_LEVELS, QUANTILES
 from blotter.sources.fixture import INCIDENTS_SQL
@@ -575,6 +576,8 @@ WHERE status IN ({_in(C.ARREST_STATUSES)}) GROUP BY ALL""")
     q["arrest_trend_area"] = W(f"""SELECT area, area_name, year_month, incidents, arrests, {pct('arrests', 'incidents')} AS arrest_rate_pct
 FROM (SELECT area, area_name, year_month, {cnt}, count(*) FILTER (WHERE coalesce(is_arrested, false)) AS arrests
       FROM {star('location', 'date_occurred')} GROUP BY ALL)""")
+    for name in MARTS:
+        q[f"refreshed_{name}"] = q[name]
     q["layer_counts"] = W("""SELECT 'Bronze' AS layer, count(*) AS "rows" FROM bronze
 UNION ALL SELECT 'Silver', count(*) FROM silver UNION ALL SELECT 'Fact', count(*) FROM fact""")
     return q
