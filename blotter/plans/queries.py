@@ -21,6 +21,7 @@ from ..operators import quality as Q
 from ..operators import silver as S
 from ..operators import exact as X
 from ..operators.fact import AUDIT_COLUMNS, STAR_ROLES, fact_null_fk_counts
+from ..sources import drift
 from ..sources.csv import with_ingest_audit
 from ..sources.fixture import incidents, read_driver_table
 from ..sources.schema import SOURCE_COLUMNS
@@ -323,6 +324,39 @@ def _refreshed_mart(name: str) -> Query:
     return q
 
 
+def _drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incidents as CSV files of four layouts, streamed in file by file and
+    reconciled: columns in another order; two left out and one added; one renamed
+    and one with text among its numbers; whole numbers as fractions."""
+    key = (spark.sparkContext.applicationId, "drifted", _input_state(spark, sf_dir))
+    if key not in _WRITTEN:
+        base, rows = shared_folder(spark, "drifted"), incidents(spark, sf_dir)
+        part = F.coalesce(F.col("dr_no") % 4, F.lit(0))
+        layouts = [
+            lambda df: df.select(*reversed(df.columns)),
+            lambda df: df.drop("mocodes", "cross_street").withColumn("Beat No", F.concat(F.lit("B"), "area")),
+            lambda df: (df.withColumn("vict_age", F.when(F.col("area") == 3, "30+").otherwise(F.col("vict_age").cast("string")))
+                        .withColumnRenamed("crm_cd_desc", "Crime Description")),
+            lambda df: df.withColumns({"area": F.col("area").cast("double"), "lat": F.when(F.col("lat") == 0, "n/a").otherwise(F.col("lat").cast("string"))}),
+        ]
+        for i, shape in enumerate(layouts):
+            shape(rows.filter(part == i)).write.mode("append").option("header", True).csv(f"{base}/input")
+        drift.reconciled_flow(spark, Layout(f"{base}/tables", f"{base}/checkpoints"), f"{base}/input",
+                              aliases={"crime_description": "crm_cd_desc"}).awaitTermination()
+        _WRITTEN[key] = base
+    return read_table(spark, Layout(f"{_WRITTEN[key]}/tables").path(drift.RECONCILED))
+
+
+def q_drifted_incidents(spark, sf_dir):
+    """Every row of the drifted files, with the cells that have no column."""
+    cells = F.array_join(F.transform(F.array_sort(F.map_entries(drift.RESCUED)), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+    return _drifted(spark, sf_dir).select(*SOURCE_COLUMNS, cells.alias("rescued_cells"), drift.CORRUPT)
+
+
+def q_drift_report(spark, sf_dir):
+    return drift.drift_report(_drifted(spark, sf_dir))
+
+
 QUANTILES = (0.01, 0.25, 0.5, 0.75, 0.99)
 
 
@@ -435,6 +469,8 @@ def registry() -> dict[str, Query]:
     q["late_members_fact"] = q_late_members_fact
     q["settled_locations"] = q_settled_locations
     q["unique_incidents"] = q_unique_incidents
+    q["drifted_incidents"] = q_drifted_incidents
+    q["drift_report"] = q_drift_report
     q["exact_quantiles"] = q_exact_quantiles
     q["proven_top"] = q_proven_top
     q["dense_location_keys"] = q_dense_location_keys

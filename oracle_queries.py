@@ -416,6 +416,16 @@ LEFT JOIN (SELECT time_occ, count(*) AS incidents FROM silver GROUP BY time_occ)
     q["unique_incidents"] = W(f"""SELECT dr_no, status, 'kept' AS outcome FROM incidents
 UNION ALL SELECT dr_no, 'again', 'unique_incident' FROM incidents WHERE dr_no % 10 = 0
 UNION ALL SELECT -dr_no, 'fresh', 'kept' {fresh} UNION ALL SELECT -dr_no, 'later', 'unique_incident' {fresh}""")
+    part = "coalesce(dr_no % 4, 0)"
+    q["drifted_incidents"] = W(f"""SELECT * REPLACE (
+  CASE WHEN {part} <> 1 THEN mocodes END AS mocodes, CASE WHEN {part} <> 1 THEN cross_street END AS cross_street,
+  CASE WHEN {part} = 2 AND area = 3 THEN NULL ELSE vict_age END AS vict_age, CASE WHEN {part} = 3 AND lat = 0 THEN NULL ELSE lat END AS lat),
+  CASE WHEN {part} = 1 THEN 'Beat No=B' || area WHEN {part} = 2 AND area = 3 THEN 'vict_age=30+'
+    WHEN {part} = 3 AND lat = 0 THEN 'lat=n/a' END AS rescued_cells, CAST(NULL AS VARCHAR) AS corrupt_record FROM incidents""")
+    q["drift_report"] = W(f"""SELECT * FROM (
+  SELECT 'Beat No' AS column_name, count(*) AS cells, false AS known, 'string' AS fits FROM incidents WHERE {part} = 1
+  UNION ALL SELECT 'vict_age', count(*), true, 'string' FROM incidents WHERE {part} = 2 AND area = 3
+  UNION ALL SELECT 'lat', count(*), true, 'string' FROM incidents WHERE {part} = 3 AND lat = 0) WHERE cells > 0""")
     q["exact_quantiles"] = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS prob, round(quantile_cont(CAST({c} AS DOUBLE), {p}), 6) AS value FROM lineitem"
         for c in ("l_extendedprice", "l_quantity") for p in QUANTILES)
