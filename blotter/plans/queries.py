@@ -17,6 +17,7 @@ from ..functions.keys import surrogate_key
 from ..operators import dims as D
 from ..operators import marts as M
 from ..operators import profile as R
+from ..operators import profile_state as P
 from ..operators import quality as Q
 from ..operators import silver as S
 from ..operators import exact as X
@@ -357,6 +358,40 @@ def q_drift_report(spark, sf_dir):
     return drift.drift_report(_drifted(spark, sf_dir))
 
 
+# Reports that between them use every kind of merged state.
+MERGED_REPORTS = ("lag_stats", "age_stats", "coordinate_stats", "location_stats", "district_stats", "key_stats", "issue_summary",
+                  "null_profile", "date_range", "top_profiles", "illogical_dates_sample")
+# Ten standard errors of a sketch and one value.
+SKETCH_ERROR = 10 * 1.04 / 2 ** (P.LG_K / 2)
+
+
+def _states(spark: SparkSession, sf_dir: str) -> tuple[Layout, DataFrame]:
+    """Profile states of the incidents in three batches of uneven size."""
+    key, rows = (spark.sparkContext.applicationId, "states", _input_state(spark, sf_dir), repr(CFG)), incidents(spark, sf_dir)
+    if key not in _WRITTEN:
+        layout, part = Layout(shared_folder(spark, "states")), F.coalesce(F.col("dr_no") % 10, F.lit(0))
+        for batch, share in enumerate((part < 6, (part >= 6) & (part < 9), part == 9)):
+            P.write_states(rows.filter(share), layout, batch, CFG)
+        _WRITTEN[key] = layout.base
+    return Layout(_WRITTEN[key]), rows
+
+
+def _merged_report(name: str) -> Query:
+    def q(spark, sf_dir):
+        layout, rows = _states(spark, sf_dir)
+        return P.merged_profile(spark, layout, rows.schema, CFG)[name]
+    return q
+
+
+def q_sketched_cardinality(spark, sf_dir):
+    """Distinct counts by united sketches, held against the exact ones."""
+    layout, rows = _states(spark, sf_dir)
+    exact = R.cardinality_profile(rows).select("column_name", F.col("distinct_count").alias("exact_count"), "total_records")
+    off = F.abs(F.col("distinct_count") - F.col("exact_count"))
+    return (exact.join(P.sketched_distinct(spark, layout), "column_name")
+            .select("column_name", "exact_count", "total_records", (off <= F.col("exact_count") * SKETCH_ERROR + 1).alias("within_error")))
+
+
 QUANTILES = (0.01, 0.25, 0.5, 0.75, 0.99)
 
 
@@ -471,6 +506,9 @@ def registry() -> dict[str, Query]:
     q["unique_incidents"] = q_unique_incidents
     q["drifted_incidents"] = q_drifted_incidents
     q["drift_report"] = q_drift_report
+    for name in MERGED_REPORTS:
+        q[f"merged_{name}"] = _merged_report(name)
+    q["sketched_cardinality"] = q_sketched_cardinality
     q["exact_quantiles"] = q_exact_quantiles
     q["proven_top"] = q_proven_top
     q["dense_location_keys"] = q_dense_location_keys

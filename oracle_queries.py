@@ -11,7 +11,7 @@ from __future__ import annotations
 from blotter import config as C
 from blotter.operators.marts import MARTS
 from blotter.operators.profile import ISSUES
-from blotter.plans.queries import GRID_LEVELS, QUANTILES
+from blotter.plans.queries import GRID_LEVELS, MERGED_REPORTS, QUANTILES
 from blotter.sources.fixture import INCIDENTS_SQL
 from blotter.sources.schema import SOURCE_COLUMNS
 
@@ -588,6 +588,11 @@ FROM (SELECT area, area_name, year_month, {cnt}, count(*) FILTER (WHERE coalesce
       FROM {star('location', 'date_occurred')} GROUP BY ALL)""")
     for name in MARTS:
         q[f"refreshed_{name}"] = q[name]
+    for name in MERGED_REPORTS:
+        q[f"merged_{name}"] = q[name]
+    ctes, exact = q["cardinality_profile"].split("\n)\nSELECT ", 1)
+    q["sketched_cardinality"] = (f"{ctes}\n)\nSELECT column_name, distinct_count AS exact_count, total_records, true AS within_error "
+                                 f"FROM (SELECT {exact})")
     q["layer_counts"] = W("""SELECT 'Bronze' AS layer, count(*) AS "rows" FROM bronze
 UNION ALL SELECT 'Silver', count(*) FROM silver UNION ALL SELECT 'Fact', count(*) FROM fact""")
     return q
