@@ -153,3 +153,52 @@ def op4_url_rules(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return (judge(pages, page_labels(table(spark, sf_dir, "labels")))
             .select("page_id", "host", "path", "rule", "verdict", "mined_rule"))
+
+
+def _oracle() -> str:
+    def words(text: str, prefix: str) -> str:
+        cut = f"list_filter(string_split_regex(lower({text}), '[^a-z0-9]+'), lambda t: t <> '')"
+        return f"list_transform({cut}, lambda t: '{prefix}' || CASE WHEN regexp_matches(t, '^[0-9]+$') THEN '#' ELSE t END)"
+
+    def sets(of: str) -> str:
+        """Combinations of one to three of the tokens of each row of ``of``."""
+        return (f"SELECT id, [t] AS s FROM {of} UNION ALL "
+                f"SELECT a.id, [a.t, b.t] FROM {of} a JOIN {of} b ON a.id = b.id AND a.t < b.t UNION ALL "
+                f"SELECT a.id, [a.t, b.t, c.t] FROM {of} a JOIN {of} b ON a.id = b.id AND a.t < b.t JOIN {of} c ON b.id = c.id AND b.t < c.t")
+
+    rule, verdict = [], []
+    for entry, say in sorted(LIST, key=lambda r: (-len(r[0]), r[0])):
+        h, slash, path = entry.partition("/")
+        fits = f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{slash + path}')"
+        rule.append(f"WHEN {fits} THEN '{entry}'")
+        verdict.append(f"WHEN {fits} THEN '{say}'")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH u AS (SELECT row_number() OVER () AS id, page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{upper}', '{upper.lower()}') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+k AS (SELECT *, list_sort(list_distinct(list_concat(
+    list_transform(list_filter(string_split(host, '.'), lambda t: t <> ''), lambda t: 'd:' || t),
+    list_concat({words('host', 'h:')}, {words('path', 'p:')})))) AS tokens FROM u),
+lab AS (SELECT doc_id, max(CASE WHEN coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1 THEN 1 ELSE 0 END) AS bad
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+known AS (SELECT id, tokens, bad FROM k JOIN lab ON lab.doc_id = k.page_id),
+total AS (SELECT count(*) AS n, sum(bad) AS bad FROM known),
+bt AS (SELECT id, unnest(tokens) AS t FROM known WHERE bad = 1),
+common AS (SELECT t FROM bt GROUP BY t HAVING count(*) >= {MIN_PAGES}),
+bc AS (SELECT id, t FROM bt SEMI JOIN common USING (t)),
+often AS (SELECT s, count(*) AS pages FROM ({sets('bc')}) GROUP BY s HAVING count(*) >= {MIN_PAGES}),
+kc AS (SELECT id, t FROM (SELECT id, unnest(tokens) AS t FROM known) SEMI JOIN common USING (t)),
+met AS (SELECT s, count(*) AS n FROM ({sets('kc')}) SEMI JOIN often USING (s) GROUP BY s),
+r AS (SELECT s, pages / met.n AS c FROM often JOIN met USING (s), total
+    WHERE pages / met.n >= greatest({MIN_CONFIDENCE}, least({MIN_LIFT} * total.bad / total.n, (1 + total.bad / total.n) / 2))),
+rules AS (SELECT s, array_to_string(s, ' & ') AS rule_id FROM r ANTI JOIN r o
+    ON len(o.s) < len(r.s) AND list_has_all(r.s, o.s) AND o.c >= r.c),
+hit AS (SELECT k.id, min(rule_id) AS mined_rule FROM k JOIN rules ON list_has_all(k.tokens, rules.s) GROUP BY k.id)
+SELECT page_id, host, path, CASE {" ".join(rule)} END AS rule,
+  coalesce(CASE {" ".join(verdict)} END, CASE WHEN mined_rule IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, mined_rule
+FROM k LEFT JOIN hit USING (id)
+"""
+
+
+ORACLE_SQL = _oracle()
