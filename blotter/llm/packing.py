@@ -1,19 +1,21 @@
 """Operator 7: packing by optimal length buckets.
 
-Documents are cut into pieces of at most ``MAX_TOKENS`` tokens (words). The
-histogram of piece lengths has at most ``MAX_TOKENS`` + 1 entries whatever the
-input; dynamic programming over it chooses the bucket boundaries that waste
-the fewest padding tokens. Inside each bucket the pieces are numbered without
-gaps and cut into batches of at most ``BUDGET`` padded tokens, so all batches
-of a bucket but its last are full.
+Documents are cut into pieces of at most ``MAX_TOKENS`` tokens (words); a piece
+carries its words, joined by one space. The histogram of piece lengths has at most
+``MAX_TOKENS`` + 1 entries whatever the input; dynamic programming over it chooses
+the bucket boundaries that waste the fewest padding tokens. Inside each bucket the
+pieces are numbered without gaps and cut into batches of at most ``BUDGET`` padded
+tokens, so all batches of a bucket but its last are full.
 
 Numbering holds no bucket together: pieces go to shards of some ``SHARD_ROWS``
-rows by a hash of their id, shards are numbered on their own, and each shard
-starts where the pieces of the shards before it end.
-
-Defined cases: a null or empty text is one piece of 0 tokens; rows that repeat
-an id are packed each; an empty table gives no rows; other columns pass
-through ``pack`` unless they have the names it adds.
+rows by a hash of id, piece number and words, shards are numbered on their own, and
+each shard starts where the pieces of the shards before it end. The pieces' words
+are exchanged once, to their shard.
+
+Defined cases: a null or empty text is one piece of 0 tokens and no words; rows that
+repeat an id are packed each, and rows without an id are spread by their words (rows
+equal in id and words share a shard); an empty table gives no rows; other columns
+pass through ``pack`` unless they have the names it adds.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import let, stored, table
 
 MAX_TOKENS = 2048
 BUCKETS = 8
@@ -31,18 +33,21 @@ BUDGET = 32_768
 SHARD_ROWS = 5_000
 
 
-def words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit("[^ \\t-\\r]+")), F.lit(0)).cast("long")
+#: A token.
+WORD = "[^ \\t-\\r]+"
+
 
+def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
+    """One row (doc_id, piece, first_token, n_tokens, text) per piece of a document."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
 
-def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, length: Column | None = None) -> DataFrame:
-    """One row (doc_id, piece, first_token, n_tokens) per piece of a document."""
-    n = words(F.col("text")) if length is None else length
-    rows = docs.select("doc_id", n.alias("_n"))
-    last = F.greatest(F.lit(0), F.ceil(F.col("_n") / max_tokens) - 1).cast("long")
-    return (rows.select("doc_id", "_n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
-            .select("doc_id", "piece", (F.col("piece") * max_tokens).alias("first_token"),
-                    F.least(F.lit(max_tokens).cast("long"), F.col("_n") - F.col("piece") * max_tokens).alias("n_tokens")))
+    def cut(w: Column) -> Column:
+        last = F.greatest(F.lit(0), F.ceil(F.size(w) / max_tokens) - 1).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: let(F.slice(w, i * max_tokens + 1, max_tokens), lambda own: F.struct(
+            i.cast("long").alias("piece"), (i.cast("long") * max_tokens).alias("first_token"),
+            F.size(own).cast("long").alias("n_tokens"), F.array_join(own, " ").alias("text"))))
+
+    return docs.select("doc_id", F.explode(let(words, cut)).alias("_p")).select("doc_id", "_p.*")
 
 
 def boundaries(histogram: dict[int, int], buckets: int = BUCKETS) -> list[int]:
@@ -77,14 +82,15 @@ def boundaries(histogram: dict[int, int], buckets: int = BUCKETS) -> list[int]:
 
 
 def pack(rows: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """``rows`` (doc_id, piece, n_tokens, ...) with bucket_len, batch_no, slot."""
+    """``rows`` (doc_id, piece, n_tokens, text, ...) with bucket_len, batch_no, slot."""
     histogram = {int(r.n_tokens): int(r.n) for r in
                  rows.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()}
     bounds = boundaries(histogram, buckets) or [0]
     shards = max(1, sum(histogram.values()) // shard_rows)
     at = F.array(*[F.lit(b).cast("long") for b in bounds])
     keyed = (rows.withColumn("bucket_len", F.element_at(F.filter(at, lambda b: b >= F.col("n_tokens")), 1))
-             .withColumn("_h", F.xxhash64("doc_id", "piece"))
+             .withColumn("_h", F.conv(F.substring(F.md5(F.concat_ws("|", "doc_id", "piece", "text").cast("binary")), 1, 15), 16, 10)
+                         .cast("long"))
              .withColumn("_shard", F.pmod("_h", F.lit(shards))))
     sizes = keyed.groupBy("bucket_len", "_shard").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy("bucket_len").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -105,3 +111,39 @@ def pack_documents(docs: DataFrame, max_tokens: int = MAX_TOKENS, buckets: int =
 
 def op7_length_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _oracle() -> str:
+    steps = ["b0 AS (SELECT CAST(0 AS BIGINT) AS j, CAST(0 AS BIGINT) AS best, CAST(0 AS BIGINT) AS cut)"]
+    for k in range(1, BUCKETS + 1):
+        steps.append(f"""b{k} AS (SELECT j, m.c AS best, -m.i AS cut FROM (
+  SELECT a.j, min({{'c': CAST(p.best + a.l * (a.r - x.r) - (a.s - x.s) AS BIGINT), 'i': -x.j}}) AS m
+  FROM b{k - 1} p JOIN x ON x.j = p.j JOIN x a ON a.j > x.j GROUP BY a.j))""")
+    every = " UNION ALL ".join(f"SELECT CAST({k} AS BIGINT) AS k, * FROM b{k}" for k in range(1, BUCKETS + 1))
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+e AS (SELECT doc_id, w, unnest(range(0, greatest(1, CAST(ceil(len(w) / {MAX_TOKENS}.0) AS BIGINT)))) AS i FROM w),
+p AS (SELECT doc_id, i AS piece, i * {MAX_TOKENS} AS first_token,
+  CAST(greatest(0, least({MAX_TOKENS}, len(w) - i * {MAX_TOKENS})) AS BIGINT) AS n_tokens,
+  coalesce(array_to_string(w[i * {MAX_TOKENS} + 1:(i + 1) * {MAX_TOKENS}], ' '), '') AS text FROM e),
+h AS (SELECT n_tokens AS l, count(*) AS c FROM p GROUP BY n_tokens),
+x AS (SELECT row_number() OVER (ORDER BY l) AS j, l, CAST(sum(c) OVER (ORDER BY l) AS BIGINT) AS r,
+    CAST(sum(c * l) OVER (ORDER BY l) AS BIGINT) AS s FROM h UNION ALL SELECT 0, 0, 0, 0),
+{", ".join(steps)},
+t AS ({every}),
+chosen AS (SELECT k, j, cut FROM t WHERE j = (SELECT max(j) FROM x) ORDER BY best, k LIMIT 1),
+back AS (SELECT k, j, cut FROM chosen UNION ALL SELECT t.k, t.j, t.cut FROM back JOIN t ON t.k = back.k - 1 AND t.j = back.cut),
+bounds AS (SELECT l FROM back JOIN x ON x.j = back.j),
+of_piece AS (SELECT h.l, min(b.l) AS bucket_len FROM h JOIN bounds b ON b.l >= h.l GROUP BY h.l),
+z AS (SELECT p.*, bucket_len, ('0x' || substr(md5(concat_ws('|', doc_id, piece, text)), 1, 15))::BIGINT AS z
+    FROM p JOIN of_piece o ON o.l = p.n_tokens),
+n AS (SELECT *, row_number() OVER (PARTITION BY bucket_len ORDER BY
+    z % (SELECT greatest(1, count(*) // {SHARD_ROWS}) FROM p), z, doc_id NULLS FIRST, piece, n_tokens) - 1 AS rank FROM z)
+SELECT doc_id, piece, first_token, n_tokens, text, CAST(bucket_len AS BIGINT) AS bucket_len,
+  CAST(rank // greatest(1, {BUDGET} // greatest(bucket_len, 1)) AS BIGINT) AS batch_no,
+  CAST(rank % greatest(1, {BUDGET} // greatest(bucket_len, 1)) AS BIGINT) AS slot
+FROM n
+"""
+
+
+ORACLE_SQL = _oracle()

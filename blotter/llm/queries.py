@@ -23,8 +23,10 @@ ORACLES = {
     "op1_warc_index": warc.ORACLE_SQL,
     "op2_license_scan": licenses.ORACLE_SQL,
     "op3_embedding_join": neighbours.ORACLE_SQL,
+    "op4_url_rules": urls.ORACLE_SQL,
     "op5_source_mixing": mixing.ORACLE_SQL,
     "op6_suffix_dedup": repeats.ORACLE_SQL,
+    "op7_length_packing": packing.ORACLE_SQL,
     "op9_secret_scan": secrets.ORACLE_SQL,
     "op11_hard_negatives": negatives.ORACLE_SQL,
     "op12_drift_clusters": clusters.ORACLE_SQL,
