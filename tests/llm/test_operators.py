@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -322,6 +323,7 @@ def test_packing_holds_every_piece_once(spark):
     held, batch = {}, {}
     for r in rows:
         assert r.first_token == r.piece * 100 and r.n_tokens <= r.bucket_len
+        assert r.n_tokens == len(r.text.split(" ")) - (r.text == "")
         held[r.doc_id] = held.get(r.doc_id, 0) + r.n_tokens
         batch.setdefault((r.bucket_len, r.batch_no), []).append(r.slot)
     assert held == words
@@ -330,7 +332,42 @@ def test_packing_holds_every_piece_once(spark):
         assert len(slots) == 1000 // length or no == max(b for n, b in batch if n == length)
 
 
+def test_packed_batches_hold_the_words(spark):
+    """The texts' words come back from the batches, also of rows without an id, repeated, empty and null."""
+    rng = random.Random(8)
+    text = [" ".join(rng.choice(("a", "bé", "c\u00a0c", "\x1e")) for _ in range(rng.randrange(0, 400))) for _ in range(60)]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t) for i, t in enumerate([*text, *text[:20], None, "", " \t\n", "x\n\ny\tz"])]
+    out = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), max_tokens=50, buckets=3, budget=300,
+                                 shard_rows=10).collect()
+    size = lambda t: re.findall(r"[^ \t-\r]+", t or "")
+    want = [(d, k, " ".join(size(t)[k * 50:k * 50 + 50])) for d, t in rows for k in range(max(1, -(-len(size(t)) // 50)))]
+    key = lambda x: (x[0] is None, x[0] or 0, *x[1:])
+    assert sorted(((r.doc_id, r.piece, r.text) for r in out), key=key) == sorted(want, key=key)
+    assert len({(r.bucket_len, r.batch_no, r.slot) for r in out}) == len(out)
+
+
 # ---------------------------------------------------------------- urls
+def test_url_rules_equal_sql_on_bad_hosts(spark, scratch):
+    """The registered query and its SQL where rules are mined: bad hosts, a bad path word on many hosts, repeated pages."""
+    rng = random.Random(3)
+    url = [f"http://{h}/{w}/{rng.randrange(99)}" for h in ("bad.example", "www.spam.info", "good.example", "b.org") for w in
+           ("news", "casino", "fr") for _ in range(15)] + [None, "no url", "http://X.Bad.Example/casino?x"]
+    bad = [int("bad.example" in (u or "") or "casino" in (u or "") and rng.random() < 0.95) for u in url]
+    pages = [(i, u) for i, u in enumerate(url)] + [(3, url[3])] * 2
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{scratch}/pages.parquet")
+    spark.createDataFrame([(i, 1 - b, 0) for i, b in enumerate(bad)] + [(None, 0, 0), (900, 0, 0)], "doc_id long, quality int, toxic int") \
+        .write.parquet(f"{scratch}/labels.parquet")
+    got = QUERIES["op4_url_rules"](spark, scratch)
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{scratch}/{t}.parquet/*.parquet')")
+    want = con.execute(ORACLES["op4_url_rules"])
+    names = [c[0] for c in want.description]
+    assert names == got.columns
+    found = sorted(map(repr, map(tuple, got.collect())))
+    assert found == sorted(map(repr, want.fetchall())) and len({r[5] for r in map(eval, found)}) > 2
+
+
 def test_url_contract(spark):
     url = ["http://A.Example.NET/en/x?q#f", "https://example.net/de", "x://net", "x://net/", "http://b.org/fr/1", "http://org/fr",
            "http://www.example.com/de/4", "notexample.com/de/", None, "http://myexample.com/de/1", "a://b://c.net/en/", "http://c.net?x://d.org/fr/"]
@@ -549,6 +586,63 @@ def test_real_licence_texts_wrapped_and_not(spark):
     assert {r.doc_id: r.licences for r in licenses.recognise(df).collect()} == want
 
 
+OTHER_LICENCES = {
+    "MPL-2.0": ["""This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+                "Mozilla Public License Version 2.0\n=================================="],
+    "ISC": ["""Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE."""],
+    "0BSD": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."],
+    "LGPL-2.1-or-later": ["""This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."""],
+    "AGPL-3.0-or-later": ["""This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""],
+    "GPL-2.0-only": ["""This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.""",
+                     """This file is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License."""],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "Zlib": ["""This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software."""],
+    "GPL-3.0": ["GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007", "Released under the GNU General Public License, version 3."],
+    "BSL-1.0": ["Boost Software License - Version 1.0 - August 17th, 2003", "Distributed under the Boost Software License, Version 1.0."],
+    "CC-BY-NC-SA-4.0": ["This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+                        "Licensed under CC BY-NC-SA 4.0."],
+    "CC0-1.0": ["CC0 1.0 Universal"],
+    "BSD-4-Clause": [BSD3.replace("3. Neither", """3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by Some One.
+
+4. Neither""")],
+    "BSD-3-Clause": [BSD3.replace("the copyright holder nor", "Some Firm Inc. nor").replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "SOME FIRM")],
+    "MIT-0": [MIT.replace(", subject to the following conditions:", ".").split("\n\n")[0] + "\n\n" + MIT.split("\n\n")[2]],
+}
+
+
+def test_many_licences_and_their_sql(spark, scratch):
+    """Wrapped or not, as comments, behind other lines, and by SPDX lines; the registered query equals its SQL."""
+    import textwrap
+    rows, want = [], []
+    for name, texts in OTHER_LICENCES.items():
+        for text in texts:
+            lines = [x for par in text.split("\n\n") for x in [*textwrap.wrap(par, 60), ""]]
+            for form in (text, "\n".join(lines), "\n".join("// " + x for x in lines), "Copyright (c) 1999-2020, Some One\n" + text,
+                         "# A heading without a stop\n" + "\n".join("# " + x for x in lines)):
+                rows.append(form)
+                want.append(name)
+    for name in dict.fromkeys(n for n, _ in licenses.ALL_RULES):
+        if name != "All-rights-reserved":
+            rows.append(f"/* SPDX-License-Identifier: {name} */\n#include <x.h>\n")
+            want.append(name)
+    assert len(set(want)) >= 30
+    rows += [None, "", "\n" * 5000, "no licence here.\nNone; at: all", MIT + "\n\n" + APACHE, "All rights reserved\n" * 300]
+    want += ["", "", "", "", "Apache-2.0,MIT", "All-rights-reserved"]
+    spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").write.parquet(f"{scratch}/documents.parquet")
+    got = QUERIES["op2_license_scan"](spark, scratch).collect()
+    found = {r.doc_id: r.licences for r in got}
+    assert {i: (found[i], rows[i]) for i in found if found[i] != want[i]} == {}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{scratch}/documents.parquet/*.parquet')")
+    assert sorted(map(tuple, got)) == sorted(con.execute(ORACLES["op2_license_scan"]).fetchall())
+
+
 def test_raking_meets_targets(spark):
     cells = spark.createDataFrame([(s, l, t, (i * 7) % 11 + 1) for i, (s, l, t) in enumerate(
         (s, l, t) for s in "ab" for l in "xyz" for t in "pq")], "source string, lang string, topic string, n long")
