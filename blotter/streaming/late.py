@@ -60,12 +60,19 @@ def _staged(df: DataFrame, layout: Layout, name: str) -> DataFrame:
     return read_table(df.sparkSession, path)
 
 
+def _row_hash() -> Column:
+    """md5 of the natural columns, each with its length in front, so that different
+    rows never spell the same text."""
+    text = [F.col(c).cast("string") for c in NATURAL]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text]))
+
+
 def append_facts(silver: DataFrame, dims: Mapping[str, DataFrame], layout: Layout, run: int,
                  cfg: C.Config = C.DEFAULT, ts: Column | None = None, sizes: Mapping[str, int] | None = None) -> None:
     """Write the facts of a run and the list of those that wait for a member."""
     month = F.coalesce(F.year("date_occ") * 100 + F.month("date_occ"), F.lit(0))
     keyed = (attach_foreign_keys(silver, dims, cfg, sizes)
-             .withColumns({"row_hash": F.md5(F.to_json(F.struct(*NATURAL))), "month_occurred": month, "run": F.lit(run)}))
+             .withColumns({"row_hash": _row_hash(), "month_occurred": month, "run": F.lit(run)}))
     overwrite_partitions(keyed.select(*fact_columns(cfg, ts), *_PLACE), layout.path(FACT), ["month_occurred", "run"])
     waiting = keyed.filter(_waits()).select(*NATURAL, *FOREIGN_KEYS, F.lit(True).alias("waits"), *_PLACE)
     write_part(waiting.drop("run"), layout.path(PENDING), run=run)
@@ -105,21 +112,24 @@ def rekey_late(spark: SparkSession, layout: Layout, members: Mapping[str, DataFr
     rows = 0
     if parts:
         months, runs = sorted({m for m, _ in parts}), sorted({r for _, r in parts})
-        new = fixed.select(*_PLACE, *[F.col(k).alias(f"_new_{k}") for k in FOREIGN_KEYS])
+        new = fixed.select(*_PLACE, *[F.col(k).alias(f"_new_{k}") for k in FOREIGN_KEYS], *known.values(), F.lit(True).alias("_found"))
+        now = {k: F.coalesce(F.col(k), F.col(f"_new_{k}")) for k in FOREIGN_KEYS}
 
         def repaired(df: DataFrame) -> DataFrame:
-            joined = df.join(new, _PLACE, "left")
-            return joined.withColumns({k: F.coalesce(F.col(k), F.col(f"_new_{k}")) for k in FOREIGN_KEYS}).select(*df.columns)
+            return df.join(new, _PLACE, "left").withColumns(now).select(*df.columns)
 
         only = spark.createDataFrame(parts, "month_occurred int, run int")
         fact = read_table(spark, layout.path(FACT)).filter(F.col("month_occurred").isin(months) & F.col("run").isin(runs))
-        fact = _staged(repaired(fact.join(F.broadcast(only), ["month_occurred", "run"], "left_semi")), layout, "fact")
-        rows = fact.join(fixed.select(*_PLACE), _PLACE, "left_semi").count()
+        # The rows meet their keys once; what follows reads the staged rows.
+        columns = fact.columns
+        met = _staged(fact.join(F.broadcast(only), ["month_occurred", "run"], "left_semi").join(new, _PLACE, "left"), layout, "fact")
+        changed = met.filter("_found")
+        rows = changed.count()
         if on_change:
-            changed = fact.drop(*FOREIGN_KEYS).join(fixed, _PLACE)
             had = changed.drop(*FOREIGN_KEYS).withColumnsRenamed({v: k for k, v in known.items()})
-            on_change(had.select(*FACT_COLUMNS), changed.select(*FACT_COLUMNS))
-        overwrite_partitions(fact, layout.path(FACT), ["month_occurred", "run"])
+            has = changed.drop(*FOREIGN_KEYS).withColumnsRenamed({f"_new_{k}": k for k in FOREIGN_KEYS})
+            on_change(had.select(*FACT_COLUMNS), has.select(*FACT_COLUMNS))
+        overwrite_partitions(met.withColumns(now).select(*columns), layout.path(FACT), ["month_occurred", "run"])
         listed = read_table(spark, path).filter(F.col("run").isin(runs))
         listed = _staged(repaired(listed).withColumn("waits", _waits()), layout, "pending")
         overwrite_partitions(listed, path, ["run"])
