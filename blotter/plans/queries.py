@@ -361,19 +361,25 @@ def q_drift_report(spark, sf_dir):
 # Reports that between them use every kind of merged state.
 MERGED_REPORTS = ("lag_stats", "age_stats", "coordinate_stats", "location_stats", "district_stats", "key_stats", "issue_summary",
                   "null_profile", "date_range", "top_profiles", "illogical_dates_sample")
+# The incidents as the profile states read them.
+PROFILED = "incidents_profiled"
 # Ten standard errors of a sketch and one value.
 SKETCH_ERROR = 10 * 1.04 / 2 ** (P.LG_K / 2)
 
 
 def _states(spark: SparkSession, sf_dir: str) -> tuple[Layout, DataFrame]:
     """Profile states of the incidents in three batches of uneven size."""
-    key, rows = (spark.sparkContext.applicationId, "states", _input_state(spark, sf_dir), repr(CFG)), incidents(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, "states", _input_state(spark, sf_dir), repr(CFG))
     if key not in _WRITTEN:
         layout, part = Layout(shared_folder(spark, "states")), F.coalesce(F.col("dr_no") % 10, F.lit(0))
+        # Every state scans its batch: the view's joins are done once, not for each.
+        materialize(incidents(spark, sf_dir), layout.path(PROFILED))
+        rows = read_table(spark, layout.path(PROFILED))
         for batch, share in enumerate((part < 6, (part >= 6) & (part < 9), part == 9)):
             P.write_states(rows.filter(share), layout, batch, CFG)
         _WRITTEN[key] = layout.base
-    return Layout(_WRITTEN[key]), rows
+    layout = Layout(_WRITTEN[key])
+    return layout, read_table(spark, layout.path(PROFILED))
 
 
 def _merged_report(name: str) -> Query:

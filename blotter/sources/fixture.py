@@ -48,17 +48,19 @@ def incidents(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None)
     """The 28-column incident source over ``sf_dir``'s orders/customer/nation.
 
     Only the columns the view uses are read (Catalyst prunes the parquet
-    scans); nation is tiny and customer is joined by key, so Spark picks a
-    broadcast or a shuffle join from the sizes at hand.
+    scans). nation is tiny and broadcast. customer grows with the orders, so in
+    batch both are shuffled by its key: no part of either passes the driver, and
+    the rows are dealt over all cores however few row groups the orders have.
 
     ``orders`` replaces the orders table, e.g. with a stream over it: the
     result is then a stream (stream-static joins to customer and nation).
     """
     text = (INCIDENTS_SQL.replace("FROM orders JOIN customer", "FROM {orders} JOIN {customer}")
             .replace("JOIN nation ON", "JOIN {nation} ON"))
+    customer = read_driver_table(spark, sf_dir, "customer")
     return spark.sql(
         text,
         orders=orders if orders is not None else read_driver_table(spark, sf_dir, "orders"),
-        customer=read_driver_table(spark, sf_dir, "customer"),
+        customer=customer if orders is not None and orders.isStreaming else customer.hint("shuffle_merge"),
         nation=read_driver_table(spark, sf_dir, "nation"),
     )
