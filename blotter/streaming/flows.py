@@ -177,7 +177,9 @@ def dimension_flows(spark: SparkSession, layout: Layout, cfg: C.Config = C.DEFAU
     queries = []
     sschema = silver_schema(spark, cfg, schema)
     for name, fn in D.DATA_DIMS.items():
-        s = stream_table(spark, layout.path(SILVER), sschema)
+        # A micro-batch is handed over whole: only the dimension's columns are read into it.
+        keys, payload = D.DIM_COLUMNS[name]
+        s = stream_table(spark, layout.path(SILVER), sschema).select(*keys, *payload)
         if stateful:
             q = append_flow(fn(s, cfg), layout.path(name), layout.checkpoint(name), name=name)
         else:
