@@ -306,13 +306,15 @@ def _across_large(members: DataFrame, sequence: DataFrame, similarity: float, le
     f = F.col("n") - F.coalesce("rare", F.lit(0))
     docs = stored(docs.join(own.hint("shuffle_merge"), "rep", "left").withColumn("f", f).drop("rare"), "copies-docs")
     frequent = _across_frequent(members.join(docs.select("rep", "f").hint("shuffle_merge"), "rep"), similarity, least)
-    held = rare.filter("c > k")
-    share = (held.select("s", F.col("rep").alias("a"), "k").join(held.select("s", F.col("rep").alias("b"), F.col("k").alias("k2")), "s")
-             .filter("a < b").groupBy("a", "b").agg(F.sum(F.least("k", "k2")).alias("r")))
-    second = docs.select(F.col("rep").alias("b"), F.col("n").alias("n2"), F.col("f").alias("f2"), F.col("component").alias("cb"))
-    rarely = (share.join(docs.withColumnRenamed("rep", "a"), "a").join(second, "b")
-              .filter((F.col("component") != F.col("cb")) & (F.least("f", "f2") + F.col("r") >= least))
-              .select("a", "b", "n", "n2"))
+    # Two documents meet on a shingle only where they can link at all: they are apart, alike
+    # in length, and all rare shingles of the one with fewer would be enough.
+    held = rare.filter("c > k").join(docs.hint("shuffle_merge"), "rep").select("s", F.col("rep").alias("a"), "k", "n", "f", "component")
+    second = held.select("s", *[F.col(c).alias(to) for c, to in (("a", "b"), ("k", "k2"), ("n", "n2"), ("f", "f2"), ("component", "cb"))])
+    enough = F.least("f", "f2") + F.least(F.col("n") - F.col("f"), F.col("n2") - F.col("f2")) >= least
+    rarely = (held.join(second, "s")
+              .filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("cb")) & _alike_in_length(similarity) & enough)
+              .groupBy("a", "b").agg(F.sum(F.least("k", "k2")).alias("r"), *[F.first(c).alias(c) for c in ("n", "n2", "f", "f2")])
+              .filter(F.least("f", "f2") + F.col("r") >= least).select("a", "b", "n", "n2"))
     return frequent.unionByName(rarely)
 
 
