@@ -291,26 +291,31 @@ def _across_frequent(members: DataFrame, similarity: float, least: Column) -> Da
 def _across_large(members: DataFrame, sequence: DataFrame, similarity: float, least: Column) -> DataFrame:
     """``_across`` for large buckets, without the pairs that cannot link.
 
-    f: a document's shingles that more than ``RARE`` places have. Documents
-    that share r rarer ones align in no more than the smaller f plus r, so
-    pairs come from members with enough frequent shingles, and from those that
-    do share rare ones (at most RARE places each)."""
+    f: a document's shingles that other documents have too, in more than ``RARE``
+    places. Documents that share r rarer ones align in no more than the smaller
+    f plus r, so pairs come from members with enough frequent shingles, and from
+    those that do share rare ones (at most RARE places each)."""
     docs = members.select("rep", "n", "component").distinct()
     # One row for each shingle of a document, however often it repeats there.
     shingle = stored(sequence.join(docs.select("rep").hint("shuffle_merge"), "rep").select("rep", F.explode("h").alias("s"))
                      .groupBy("rep", "s").agg(F.count(F.lit(1)).alias("k")), "copies-shingles")
-    few = shingle.groupBy("s").agg(F.sum("k").alias("c")).filter(F.col("c") <= RARE)
+    # What a single document has is only counted: it joins nothing.
+    place = stored(shingle.groupBy("s").agg(F.sum("k").alias("c"), F.count(F.lit(1)).alias("docs"), F.min("rep").alias("rep"))
+                   .filter((F.col("docs") == 1) | (F.col("c") <= RARE)), "copies-places")
+    alone = place.filter("docs = 1").groupBy("rep").agg(F.sum("c").alias("alone"))
     # At most RARE rows for each of these keys.
+    few = place.filter("docs > 1").select("s")
     rare = stored(shingle.join(few.hint("shuffle_merge"), "s"), "copies-rare")
     own = rare.groupBy("rep").agg(F.sum("k").alias("rare"))
-    f = F.col("n") - F.coalesce("rare", F.lit(0))
-    docs = stored(docs.join(own.hint("shuffle_merge"), "rep", "left").withColumn("f", f).drop("rare"), "copies-docs")
+    docs = (docs.join(alone.hint("shuffle_merge"), "rep", "left").join(own.hint("shuffle_merge"), "rep", "left")
+            .withColumn("rare", F.coalesce("rare", F.lit(0))))
+    docs = stored(docs.withColumn("f", F.col("n") - F.coalesce("alone", F.lit(0)) - F.col("rare")).drop("alone"), "copies-docs")
     frequent = _across_frequent(members.join(docs.select("rep", "f").hint("shuffle_merge"), "rep"), similarity, least)
     # Two documents meet on a shingle only where they can link at all: they are apart, alike
     # in length, and all rare shingles of the one with fewer would be enough.
-    held = rare.filter("c > k").join(docs.hint("shuffle_merge"), "rep").select("s", F.col("rep").alias("a"), "k", "n", "f", "component")
-    second = held.select("s", *[F.col(c).alias(to) for c, to in (("a", "b"), ("k", "k2"), ("n", "n2"), ("f", "f2"), ("component", "cb"))])
-    enough = F.least("f", "f2") + F.least(F.col("n") - F.col("f"), F.col("n2") - F.col("f2")) >= least
+    held = rare.join(docs.hint("shuffle_merge"), "rep").select("s", F.col("rep").alias("a"), "k", "n", "f", "rare", "component")
+    second = held.select("s", *[F.col(c).alias(to) for c, to in (("a", "b"), ("k", "k2"), ("n", "n2"), ("f", "f2"), ("rare", "rare2"), ("component", "cb"))])
+    enough = F.least("f", "f2") + F.least("rare", "rare2") >= least
     rarely = (held.join(second, "s")
               .filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("cb")) & _alike_in_length(similarity) & enough)
               .groupBy("a", "b").agg(F.sum(F.least("k", "k2")).alias("r"), *[F.first(c).alias(c) for c in ("n", "n2", "f", "f2")])
