@@ -36,12 +36,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
     """``df`` written once to the shared folder and read back: later steps read
     it with column pruning, and a lost executor loses nothing of it."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
