@@ -141,13 +141,14 @@ def partition(reps: DataFrame, cosine: float = COSINE, chunk: int = CHUNK) -> Pa
 def deal_out(sizes, part: Partition, chunk: int = CHUNK) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per length the number of blocks and the first block of each cell, and the bundle
     of each block. Cells near the same one of the first pivots stand together."""
-    dealt, bundle = {}, -1
-    for d in sorted({r.d for r in sizes}):
+    dealt, bundle, cells = {}, -1, {}
+    for r in sizes:
+        cells.setdefault(r.d, []).append(r)
+    for d in sorted(cells):
         p, most = part.pivots.get(d), max(1, min(BUNDLE * chunk, BUNDLE_BYTES // (8 * d)))
         homes = np.zeros(1 if p is None else len(p), np.int64)
-        for r in sizes:
-            if r.d == d:
-                homes[r.cell] = r.homes
+        for r in cells[d]:
+            homes[r.cell] = r.homes
         n = -(-homes // min(chunk, most))
         order = np.arange(len(n)) if p is None else np.argsort((p @ p[:BOUND_PIVOTS].T).argmax(axis=1), kind="stable")
         first, of, full = np.cumsum(n) - n, np.zeros(n.sum(), np.int64), most + 1
@@ -162,8 +163,8 @@ def deal_out(sizes, part: Partition, chunk: int = CHUNK) -> dict[int, tuple[np.n
 
 
 def bundles(reps: DataFrame, part: Partition, chunk: int = CHUNK) -> DataFrame:
-    """The vectors, each once, in blocks of a cell and bundles of blocks; with the least and
-    largest distance that the vectors of a bundle, and of each block, have to each pivot."""
+    """The vectors, each once, in blocks of a cell and bundles of blocks, stored with an id; with the
+    least and largest distance that the vectors of a bundle, and of each block, have to each pivot."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
@@ -197,9 +198,12 @@ def bundles(reps: DataFrame, part: Partition, chunk: int = CHUNK) -> DataFrame:
                              "low": [lows.min(axis=0)], "high": [highs.max(axis=0)], "cell": [f.cell.to_numpy()[first]],
                              "size": [np.diff(np.append(first, len(f)))], "lows": [lows.reshape(-1)], "highs": [highs.reshape(-1)]})
 
-    return (reps.select("node", "m", "embedding").mapInPandas(
+    made = (reps.select("node", "m", "embedding").mapInPandas(
         deal, "d int, bundle long, block long, cell int, node long, m long, wide int, raw binary")
-        .groupBy("bundle").applyInPandas(pack, _BUNDLE))
+        .groupBy("bundle").applyInPandas(pack, _BUNDLE).withColumn("id", F.monotonically_increasing_id()))
+    # Large bundles get files of their own; small ones, as of rare lengths, share them.
+    number, held = 1 + max((int(of.max()) for _, _, of in dealt.values()), default=0), sum(8 * r.d * r.homes for r in sizes)
+    return stored(made, "vector-bundles", maxRecordsPerFile=max(1, BUNDLE_BYTES * number // max(1, held)))
 
 
 def _numbers(raw: bytes, wide: int, d: int) -> np.ndarray:
@@ -241,8 +245,8 @@ class Block:
         return np.flatnonzero(to)
 
 
-def hits(x: Block, y: Block, part: Partition, cosine: float = COSINE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of x and rows of y that link, in parts."""
+def hits(x: Block, y: Block, part: Partition, cosine: float = COSINE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Rows of x and rows of y that link, in parts: pair by pair, or with a matrix that tells which do."""
     rows, cols = x.facing(y, part), y.facing(x, part)
     if not len(rows) or not len(cols):
         return
@@ -258,14 +262,14 @@ def hits(x: Block, y: Block, part: Partition, cosine: float = COSINE) -> Iterato
                 some = np.flatnonzero(np.matmul(short[0][r:r + n], short[1][c:c + w].T, out=s).max(axis=1) >= low)
                 if not len(some):
                     continue
-                i, j = np.nonzero(s[some] >= low)
-                if len(i) <= n * w // 64:
+                open_ = s[some] >= low
+                if np.count_nonzero(open_) <= n * w // 64:
+                    i, j = np.nonzero(open_)
                     left.append((r + some[i], c + j))
                     continue
             if np.matmul(x.x[rows[r:r + n]], y.x[cols[c:c + w]].T, out=s).max() < low:
                 continue
-            i, j = np.nonzero(s >= high)
-            yield rows[r + i], cols[c + j]
+            yield rows[r:r + n], cols[c:c + w], s >= high
             i, j = np.nonzero((s >= low) & (s < high))
             left.append((r + i, c + j))
     if not left:
@@ -274,14 +278,7 @@ def hits(x: Block, y: Block, part: Partition, cosine: float = COSINE) -> Iterato
     for k in range(0, len(i), 50_000):
         u, v = rows[i[k:k + 50_000]], cols[j[k:k + 50_000]]
         linked = np.einsum("ij,ij->i", _unit(x.raw[u]), _unit(y.raw[v])) >= cosine
-        yield u[linked], v[linked]
-
-
-def _sums(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Whole sums of ``weight`` by position."""
-    out = np.zeros(int(at.max()) + 1, np.int64)
-    np.add.at(out, at, weight)
-    return out
+        yield u[linked], v[linked], None
 
 
 class Forest:
@@ -320,16 +317,27 @@ class Forest:
             self.parent[a[first]] = b[first]
             self.edges.append(np.column_stack([a[first], b[first]]))
 
-    def met(self, x: int, y: int, i: np.ndarray, j: np.ndarray) -> None:
-        """Rows i of the block at x link to rows j of the block at y; of a block with itself, both ways are there."""
+    def met(self, x: int, y: int, i: np.ndarray, j: np.ndarray, hit: np.ndarray | None) -> None:
+        """``hits`` of the block at x with the block at y; of a block with itself, both ways are there."""
+        i, j = x + i, y + j
+        if hit is None:
+            i, j = (i, j) if x != y else (i[i != j], j[i != j])
+            np.add.at(self.count, i, self.m[j])
+            if x != y:
+                np.add.at(self.count, j, self.m[i])
+            self.link(i, j)
+            return
         if x == y:
-            i, j = i[i != j], j[i != j]
-        for to, at, of in ((x + i, x, y + j), (y + j, y, x + i))[:1 if x == y else 2]:
-            if len(to):
-                first = to.min()
-                some = _sums(to - first, self.m[of])
-                self.count[first:first + len(some)] += some
-        self.link(x + i, y + j)
+            hit &= i[:, None] != j[None, :]
+        weight = hit.astype(np.float64)
+        self.count[i] += (weight @ self.m[j]).astype(np.int64)
+        if x != y:
+            self.count[j] += (weight.T @ self.m[i]).astype(np.int64)
+        # One link of each row and column joins most; what is apart then is few.
+        some, of = hit.any(axis=1), hit.any(axis=0)
+        self.link(np.append(i[some], i[hit.argmax(axis=0)[of]]), np.append(j[hit.argmax(axis=1)[some]], j[of]))
+        a, b = np.nonzero(hit & (self.roots(i)[:, None] != self.roots(j)[None, :]))
+        self.link(i[a], j[b])
 
     def rows(self, size: int = 100_000) -> Iterator[pa.RecordBatch]:
         """(u, null, links of u) and connecting edges (u, v, 0)."""
@@ -378,8 +386,8 @@ def join_bundles(part: Partition, cosine: float = COSINE):
                 for n, (f, one) in enumerate(zip(x.first, x.blocks)):
                     for g, other in list(zip(y.first, y.blocks))[n if a == b else 0:]:
                         if one.meets(other, part):
-                            for i, j in hits(one, other, part, cosine):
-                                forest.met(int(at_x + f), int(at_y + g), i, j)
+                            for found in hits(one, other, part, cosine):
+                                forest.met(int(at_x + f), int(at_y + g), *found)
         yield from forest.rows()
 
     return join
@@ -395,8 +403,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, chunk: int = CHUNK)
     reps = stored(own.filter(valid()).groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("m"))
                   .withColumn("node", F.monotonically_increasing_id()).withColumn("key", _key()), "vectors")
     part = partition(reps, cosine, chunk)
-    b = stored(bundles(reps, part, chunk).withColumn("id", F.monotonically_increasing_id()), "vector-bundles", maxRecordsPerFile=1)
-    found = stored(pairs(b, part).mapInArrow(join_bundles(part, cosine), "u long, v long, c long"), "vector-links")
+    found = stored(pairs(bundles(reps, part, chunk), part).mapInArrow(join_bundles(part, cosine), "u long, v long, c long"), "vector-links")
     count = found.filter("v is null").groupBy("u").agg(F.sum("c").alias("c"))
     comp = components(found.filter("v is not null").select("u", "v"))
     node = (reps.join(count.hint("shuffle_merge"), F.col("node") == F.col("u"), "left")
